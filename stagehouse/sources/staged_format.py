@@ -1,0 +1,100 @@
+"""``spark.read.format("stagehouse")``: a staged Parquet directory by short name.
+
+A convenience over ``spark.read.parquet`` for callers that only pass format names and options.  One
+partition per file, a large file in several; Arrow batches go to Spark as they are read.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+from pyspark.sql import SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.types import StructType
+
+SHORT_NAME = "stagehouse"
+SPLIT_BYTES = 128 << 20
+# Fixed value: the footer key under which Spark keeps the schema of a Parquet file.
+_SCHEMA_KEY = b"org.apache.spark.sql.parquet.row.metadata"
+
+
+def register(spark: SparkSession) -> None:
+    spark.dataSource.register(StagedFiles)
+
+
+def _open(path: str):
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path if ":" in path.split("/")[0] else "file://" + path)
+
+
+def _data_files(path: str) -> list[tuple[str, int]]:
+    """Name and size of the data files; Spark's own markers start with ``_`` or ``.``."""
+    from pyarrow import fs
+
+    files, folder = _open(path)
+    found = files.get_file_info(fs.FileSelector(folder, recursive=False))
+    return sorted(
+        (f.path, f.size)
+        for f in found
+        if f.type == fs.FileType.File and not f.base_name.startswith(("_", "."))
+    )
+
+
+@dataclass
+class StagedSplit(InputPartition):
+    """Every ``of``-th row group of a file, starting with number ``start``."""
+
+    file: str
+    start: int
+    of: int
+
+
+class StagedFiles(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return SHORT_NAME
+
+    @property
+    def path(self) -> str:
+        path = self.options.get("path") or self.options.get("stagingdir")
+        if not path:
+            raise ValueError("option 'path' must name a staged directory")
+        return path
+
+    def schema(self) -> StructType:
+        from pyarrow import parquet
+
+        listed = _data_files(self.path)
+        if not listed:
+            raise ValueError(f"no staged files in {self.path}")
+        about = parquet.read_schema(listed[0][0], filesystem=_open(self.path)[0]).metadata or {}
+        if _SCHEMA_KEY not in about:
+            raise ValueError(f"{listed[0][0]} was not staged by Spark")
+        return StructType.fromJson(json.loads(about[_SCHEMA_KEY]))
+
+    def reader(self, schema: StructType) -> DataSourceReader:
+        return StagedReader(self.path, schema)
+
+
+class StagedReader(DataSourceReader):
+    def __init__(self, path: str, schema: StructType):
+        self.path = path
+        self.schema = schema
+
+    def partitions(self) -> list[StagedSplit]:
+        splits = []
+        for file, size in _data_files(self.path):
+            of = max(1, -(-size // SPLIT_BYTES))
+            splits += [StagedSplit(file, i, of) for i in range(of)]
+        return splits
+
+    def read(self, partition: StagedSplit) -> Iterator:
+        from pyarrow import parquet
+
+        with parquet.ParquetFile(partition.file, filesystem=_open(self.path)[0]) as file:
+            groups = list(range(file.num_row_groups))[partition.start :: partition.of]
+            if groups:
+                yield from file.iter_batches(row_groups=groups, columns=self.schema.names)
