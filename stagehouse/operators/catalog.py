@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import logging
+import re
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
@@ -36,6 +37,7 @@ log = logging.getLogger(__name__)
 
 # Formats whose files carry no schema of their own: read them under that of the table.
 _SCHEMALESS = ("csv", "json", "text", "xml")
+_PLAIN = re.compile(r"\w+", re.ASCII)
 BROADCAST_BYTES = 64 << 20
 
 
@@ -75,8 +77,8 @@ class CatalogWarehouse(Warehouse):
 
     A new version is written in full before the catalog entry moves to it, so a failed job leaves
     the table as it was, a table may be overwritten from its own rows, and frames on the old version
-    still answer.  Moving the entry is two catalog steps, DROP and RENAME, and not atomic: between
-    them another session may find no table.  Old versions are deleted when the session ends, unless
+    still answer.  Moving the entry is two catalog steps, the old entry out and the new one in, and
+    not atomic: between them another session may find no table.  Old versions are deleted when the session ends, unless
     ``keep_old``.
     """
 
@@ -97,18 +99,38 @@ class CatalogWarehouse(Warehouse):
 
     # -- looking up -------------------------------------------------------------------------------
 
+    @staticmethod
+    def _parts(table: str) -> list[str]:
+        """``[database,] table`` of the session catalog."""
+        parts = split_name(table)
+        if len(parts) > 1 and parts[0].lower() == "spark_catalog":
+            parts = parts[1:]
+        if len(parts) > 2 or not all(_PLAIN.fullmatch(p) for p in parts):
+            raise OptionError(
+                f"{table}: a table of the session catalog is [database.]table, of letters, digits "
+                "and underscores"
+            )
+        return parts
+
+    def _quoted(self, table: str) -> str:
+        return ".".join(quote_part(p) for p in self._parts(table))
+
     def source(self, table: str | None = None, query: str | None = None) -> DataFrame:
         self._one_source(table, query)
         try:
-            return self.spark.sql(query) if query is not None else self.spark.table(quote_name(table))
+            if query is not None:
+                return self.spark.sql(query)
+            return self.spark.table(quote_name(table))
         except AnalysisException as cause:
             raise SchemaError(f"cannot resolve {table or query}: {cause.getMessage()}", cause)
 
     def schema_of(self, table: str | None = None, query: str | None = None) -> T.StructType:
         schema = self.source(table, query).schema
         not_null = set()
-        if table is not None and not self.spark.catalog.getTable(quote_name(table)).isTemporary:
-            not_null = self.entry(table).not_null
+        if table is not None:
+            found = self.spark.catalog.getTable(quote_name(table))
+            if not found.isTemporary and found.catalog == "spark_catalog":
+                not_null = self.entry(table).not_null
         return T.StructType(
             [
                 T.StructField(f.name, f.dataType, f.nullable and f.name not in not_null, f.metadata)
@@ -117,7 +139,7 @@ class CatalogWarehouse(Warehouse):
         )
 
     def exists(self, table: str) -> bool:
-        name = quote_name(table)
+        name = self._quoted(table)
         if not self.spark.catalog.tableExists(name):
             return False
         if self.spark.catalog.getTable(name).isTemporary:
@@ -125,7 +147,7 @@ class CatalogWarehouse(Warehouse):
         return True
 
     def entry(self, table: str) -> TableEntry:
-        text = self.spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(table)} AS JSON").first()[0]
+        text = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self._quoted(table)} AS JSON").first()[0]
         about = json.loads(text)
         return TableEntry(
             location=about.get("location"),
@@ -152,7 +174,7 @@ class CatalogWarehouse(Warehouse):
         by_bucket = not any(e.buckets and is_hot(*e.spread(), e.buckets) for e in entries)
         frames = []
         for name, entry in zip(names, entries):
-            frame = self.spark.table(quote_name(name))
+            frame = self.spark.table(self._quoted(name))
             if entry.buckets and not by_bucket:
                 reader = self.spark.read.format(entry.provider).schema(frame.schema)
                 frame = reader.load(entry.location)
@@ -199,11 +221,11 @@ class CatalogWarehouse(Warehouse):
         """Remove the entry, if present.  Its files, when they are ours, go when the session ends."""
         if self.exists(table):
             location = self.entry(table).location
-            self.spark.sql(f"DROP TABLE IF EXISTS {quote_name(table)}")
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._quoted(table)}")
             self._retire(location)
 
     def _version_dir(self, table: str) -> str:
-        return "/".join([self.root, *split_name(table), f"v_{uuid.uuid4().hex}"])
+        return "/".join([self.root, *self._parts(table), f"v_{uuid.uuid4().hex}"])
 
     def _retire(self, location: str | None) -> None:
         if location and not self.keep_old and is_below(location, self.root):
@@ -232,7 +254,7 @@ class CatalogWarehouse(Warehouse):
             clustered = f"CLUSTERED BY ({columns}) INTO {layout.buckets} BUCKETS "
         listed = ", ".join(f"{quote_text(k)} = {quote_text(v)}" for k, v in properties.items())
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {quote_name(table)} ({ddl_for(schema)}) USING parquet "
+            f"CREATE TABLE IF NOT EXISTS {self._quoted(table)} ({ddl_for(schema)}) USING parquet "
             f"{clustered}LOCATION {quote_text(location)} TBLPROPERTIES ({listed})"
         )
 
@@ -290,9 +312,7 @@ class CatalogWarehouse(Warehouse):
         not_null = [f.name for f in df.schema.fields if not f.nullable]
         frame = guard_not_null(df, not_null, table)
         version = self._version_dir(table)
-        building = ".".join(
-            quote_part(p) for p in [*split_name(table)[:-1], f"v_{uuid.uuid4().hex}"]
-        )
+        building = self._beside(table, "new")
         staged = None
         largest = 0
         try:
@@ -306,6 +326,7 @@ class CatalogWarehouse(Warehouse):
             rows = self._insert(frame, building)
             if layout.kind == "hash":
                 self._set_spread(building, largest, rows)
+            self._swap(building, table, replace)
         except BaseException:
             self.spark.sql(f"DROP TABLE IF EXISTS {building}")
             path, fs = hadoop_path(self.spark, version)
@@ -314,21 +335,28 @@ class CatalogWarehouse(Warehouse):
         finally:
             if staged is not None:
                 self.area.release(staged.path)
-        self._swap(building, table, version, replace)
 
-    def _swap(self, building: str, table: str, version: str, replace: bool) -> None:
-        old = self.entry(table).location if replace else None
+    def _beside(self, table: str, word: str) -> str:
+        """A fresh name in the database of the table."""
+        return ".".join([*map(quote_part, self._parts(table)[:-1]), f"{word}_{uuid.uuid4().hex}"])
+
+    def _swap(self, building: str, table: str, replace: bool) -> None:
+        """Move the entry: the old one steps aside, and comes back if the new one cannot."""
+        if not replace:
+            self._rename(building, table)
+            return
+        old, location = self._beside(table, "old"), self.entry(table).location
+        self._rename(table, old)
         try:
-            if replace:
-                self.spark.sql(f"DROP TABLE IF EXISTS {quote_name(table)}")
-            self.spark.sql(f"ALTER TABLE {building} RENAME TO {quote_name(table)}")
-        except Exception as cause:
-            raise LoadError(
-                f"the rows of {table} are complete in {version}, but its entry could not be moved; "
-                f"the table is at {building}",
-                cause,
-            )
-        self._retire(old)
+            self._rename(building, table)
+        except Exception:
+            self._rename(old, table)
+            raise
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._quoted(old)}")
+        self._retire(location)
+
+    def _rename(self, table: str, name: str) -> None:
+        self.spark.sql(f"ALTER TABLE {self._quoted(table)} RENAME TO {self._quoted(name)}")
 
     def _clustered(self, staged, layout: Distribution) -> tuple[DataFrame, int]:
         frame = staged.scan()
@@ -343,11 +371,12 @@ class CatalogWarehouse(Warehouse):
         """One INSERT job.  Its output shows when the job commits; a rerun task adds nothing twice."""
         counted = Observation()
         observed = frame.observe(counted, F.count(F.lit(1)).alias("rows"))
-        observed.write.insertInto(quote_name(table))
+        observed.write.insertInto(self._quoted(table))
+        self.spark.catalog.refreshTable(self._quoted(table))  # the frame may be of another session
         return counted.get["rows"]
 
     def _set_spread(self, table: str, largest: int, rows: int) -> None:
         self.spark.sql(
-            f"ALTER TABLE {quote_name(table)} SET TBLPROPERTIES "
+            f"ALTER TABLE {self._quoted(table)} SET TBLPROPERTIES "
             f"('stagehouse.largest_bucket' = '{largest}', 'stagehouse.rows' = '{rows}')"
         )

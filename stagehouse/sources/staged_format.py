@@ -93,8 +93,14 @@ class StagedReader(DataSourceReader):
 
     def read(self, partition: StagedSplit) -> Iterator:
         from pyarrow import parquet
-
-        with parquet.ParquetFile(partition.file, filesystem=_open(self.path)[0]) as file:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        wanted = to_arrow_schema(self.schema)
+        with parquet.ParquetFile(
+            partition.file,
+            filesystem=_open(self.path)[0],
+            coerce_int96_timestamp_unit="us",
+        ) as file:
             groups = list(range(file.num_row_groups))[partition.start :: partition.of]
-            if groups:
-                yield from file.iter_batches(row_groups=groups, columns=self.schema.names)
+            for batch in file.iter_batches(row_groups=groups, columns=self.schema.names):
+                yield batch.select(self.schema.names).cast(wanted)

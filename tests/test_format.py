@@ -1,0 +1,60 @@
+import os
+
+import pytest
+from conftest import same_rows
+from pyspark.sql import functions as F
+
+from stagehouse import register
+from stagehouse.sources import staged_format
+
+
+def test_short_name(spark, warehouse, orders):
+    register(spark)
+    staged = warehouse.stage(orders.repartition(3))
+    out = spark.read.format("stagehouse").option("PATH", staged.path).load()
+    assert out.schema == orders.schema and out.rdd.getNumPartitions() == 3
+    assert same_rows(out, orders)
+    assert spark.read.format("StageHouse").load(staged.path).count() == orders.count()
+
+
+def test_short_name_in_sql(spark, warehouse, orders, table):
+    register(spark)
+    staged = warehouse.stage(orders)
+    spark.sql(f"CREATE TEMPORARY VIEW {table} USING stagehouse OPTIONS (path '{staged.path}')")
+    assert spark.sql(f"SELECT count(*) FROM {table}").first()[0] == orders.count()
+
+
+def test_large_file_is_read_in_several_splits(warehouse, orders, monkeypatch):
+    pytest.importorskip("pyarrow")
+    frame = orders.coalesce(1)
+    path = warehouse.area.new_dir()
+    frame.write.mode("append").option("parquet.block.size", 4096).option(
+        "parquet.block.size.row.check.min", 10
+    ).parquet(path)
+    monkeypatch.setattr(staged_format, "SPLIT_BYTES", 10_000)
+    reader = staged_format.StagedReader(path, orders.schema)
+    splits = reader.partitions()
+    assert len(splits) > 1 and all(s.of == len(splits) for s in splits)
+    rows = sum(batch.num_rows for s in splits for batch in reader.read(s))
+    assert rows == orders.count()
+
+
+def test_all_types_and_nested(spark, warehouse):
+    register(spark)
+    rows = spark.sql(
+        "SELECT id, CAST(id AS DECIMAL(12,3)) AS d, TIMESTAMP'2024-01-01 10:00:00' AS ts, "
+        "TIMESTAMP_NTZ'2024-01-01 10:00:00' AS ntz, DATE'2024-01-01' AS day, array(1, 2) AS a, "
+        "named_struct('k', 'v') AS s, X'0A' AS b FROM range(10)"
+    )
+    out = spark.read.format("stagehouse").load(warehouse.stage(rows).path)
+    assert out.dtypes == rows.dtypes
+    assert sorted(map(str, out.collect())) == sorted(map(str, rows.collect()))
+
+
+def test_missing_or_empty_path(spark, tmp_path):
+    register(spark)
+    os.makedirs(tmp_path / "empty")
+    with pytest.raises(Exception, match="path"):
+        spark.read.format("stagehouse").load()
+    with pytest.raises(Exception, match="no staged files"):
+        spark.read.format("stagehouse").load(str(tmp_path / "empty"))
