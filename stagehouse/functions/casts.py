@@ -58,14 +58,14 @@ def find_field(schema: T.StructType, name: str) -> T.StructField | None:
     return (exact or close or [None])[0]
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """``df`` with exactly the columns, order and types of ``schema``; one lazy projection.
+def fit(source: T.StructType, wanted: T.StructType) -> list[tuple[str, T.StructField]]:
+    """For each wanted field, the source column that gives it.
 
     A missing column, or a type that could lose values, is an error.
     """
-    problems, columns = [], []
-    for field in schema.fields:
-        found = find_field(df.schema, field.name)
+    problems, pairs = [], []
+    for field in wanted.fields:
+        found = find_field(source, field.name)
         if found is None:
             problems.append(f"column {field.name!r} is missing")
         elif not widens(found.dataType, field.dataType):
@@ -74,10 +74,17 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
                 f"{field.dataType.simpleString()}"
             )
         else:
-            columns.append(column_of(df, found.name).cast(field.dataType).alias(field.name))
+            pairs.append((found.name, field))
     if problems:
         raise SchemaError("; ".join(problems))
-    return df.select(columns)
+    return pairs
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` with exactly the columns, order and types of ``schema``; one lazy projection."""
+    return df.select(
+        [column_of(df, n).cast(f.dataType).alias(f.name) for n, f in fit(df.schema, schema)]
+    )
 
 
 def guard_not_null(df: DataFrame, names: list[str], where: str) -> DataFrame:

@@ -23,6 +23,7 @@ from stagehouse.operators.layout import (
     cluster_by_bucket,
     is_hot,
     measure_buckets,
+    widen_splits,
 )
 from stagehouse.operators.load import align
 from stagehouse.operators.warehouse import Warehouse
@@ -365,6 +366,7 @@ class CatalogWarehouse(Warehouse):
         if spread.hot:
             log.warning("largest of %d buckets: %d of %d rows", *(
                 layout.buckets, spread.largest_rows, spread.rows))
+        frame = widen_splits(frame, size)
         return cluster_by_bucket(frame, layout, spread), spread.largest_rows
 
     def _insert(self, frame: DataFrame, table: str) -> int:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from stagehouse.errors import OptionError, SchemaError
 from stagehouse.functions.casts import column_of, find_field
+from stagehouse.functions.ddl import quote_column
 
 # One clause of a layout text: words, with at most one parenthesised list.
 _CLAUSE = re.compile(r"(?:[^,()]|\([^()]*\))+")
@@ -19,8 +20,9 @@ _HASH = re.compile(r"(?:DISTRIBUTION\s*=\s*)?HASH\s*\(([^()]*)\)", re.IGNORECASE
 _WORD = re.compile(r"(?:DISTRIBUTION\s*=\s*)?(ROUND_ROBIN|REPLICATE)", re.IGNORECASE)
 
 MIN_BUCKETS, MAX_BUCKETS = 8, 65536
-BUCKET_BYTES = 256 << 20  # aim for buckets of this many staged bytes
-FILE_BYTES = 512 << 20  # no task loads much more than this many staged bytes
+BUCKET_BYTES = 1 << 30  # aim for buckets of this many staged bytes
+FILE_BYTES = 2 << 30  # no task loads much more than this many staged bytes
+MAP_BYTES = 1 << 30  # a shuffle of very many small splits reads them in tasks of this size
 HOT_FACTOR = 4.0  # a bucket this many times the mean counts as hot
 
 
@@ -83,6 +85,16 @@ class Distribution:
     def of(cls, value: "Distribution | str | None") -> "Distribution":
         return value if isinstance(value, cls) else cls.parse(value)
 
+    def clause(self, dialect: str) -> str:
+        """What follows the column list of CREATE TABLE in a database: the ``tsql`` dialect takes the
+        whole layout, others only the clauses this class does not know."""
+        if dialect != "tsql":
+            return " ".join(self.other)
+        words = self.kind.upper()
+        if self.kind == "hash":
+            words = f"HASH({', '.join(quote_column(c, dialect) for c in self.columns)})"
+        return f"WITH ({', '.join([*(self.other or ('HEAP',)), f'DISTRIBUTION = {words}'])})"
+
     def check(self, schema: T.StructType) -> "Distribution":
         """The same layout with column names as the schema spells them; unknown ones are an error."""
         fields = [find_field(schema, c) for c in self.columns]
@@ -153,6 +165,15 @@ def measure_buckets(
     return BucketSpread(slices, max(counts.values(), default=0), rows)
 
 
+def widen_splits(df: DataFrame, staged_bytes: int) -> DataFrame:
+    """Fewer, larger scan tasks where there are many times more than the cluster runs at once: each
+    task of a wide shuffle writes a block for every target, and tiny blocks are slow to fetch."""
+    tasks = staged_bytes // MAP_BYTES
+    if tasks > 4 * df.sparkSession.sparkContext.defaultParallelism:
+        return df.coalesce(tasks)
+    return df
+
+
 def cluster_by_bucket(df: DataFrame, layout: Distribution, spread: BucketSpread) -> DataFrame:
     """``df`` shuffled so that every task holds rows of one bucket only.
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from stagehouse.errors import LoadError, OptionError, SchemaError
-from stagehouse.functions.casts import conform
+from stagehouse.functions.casts import conform, fit
 from stagehouse.functions.names import is_name
 from stagehouse.operators.layout import Distribution
 from stagehouse.sources.staging import StagedDataset, StagingArea, stage
@@ -88,10 +88,9 @@ class Warehouse(ABC):
         before the export, so only the result of the query is written.
         ``schema`` reorders, subsets and widens the columns; ``how`` goes to ``source``.
         """
-        rows = self.source(table, query, **how)
         if schema is not None:  # refuse a bad schema before the export, not after it
-            conform(rows, schema)
-        staged = self._export(rows, location, file_format)
+            fit(self.schema_of(table, query), schema)
+        staged = self._exported(table, query, location, file_format, **how)
         return staged.scan() if schema is None else conform(staged.scan(), schema)
 
     def unload(
@@ -105,7 +104,12 @@ class Warehouse(ABC):
         Files in a named location stay after the session; those in the staging directory do not,
         unless ``area.keep(path)`` is called.
         """
-        staged = self._export(self._frame(source), location, file_format)
+        if not isinstance(source, str):
+            staged = self._export(source, location, file_format)
+        elif is_name(source):
+            staged = self._exported(source, None, location, file_format)
+        else:
+            staged = self._exported(None, source, location, file_format)
         if location is not None:
             self.area.keep(staged.path)
         return staged
@@ -114,23 +118,29 @@ class Warehouse(ABC):
         """Write ``df`` to a new directory of the staging area."""
         return stage(df, self.area)
 
+    def _exported(
+        self,
+        table: str | None,
+        query: str | None,
+        location: str | None,
+        file_format: str | None,
+        **how,
+    ) -> StagedDataset:
+        return self._export(self.source(table, query, **how), location, file_format)
+
     def _export(
         self, df: DataFrame, location: str | None, file_format: str | None
     ) -> StagedDataset:
-        parent = None if location is None else self._location(location)
+        parent = self._location(location)
         spark_format, options = self._format(file_format)
         return stage(df, self.area, parent, spark_format, options)
 
-    def _frame(self, source: DataFrame | str) -> DataFrame:
-        if not isinstance(source, str):
-            return source
-        return self.source(table=source) if is_name(source) else self.source(query=source)
-
-    def _location(self, name: str) -> str:
-        if name not in self.locations:
+    def _location(self, name: str | None) -> str | None:
+        """The folder of a named location; None for the staging directory."""
+        if name is not None and name not in self.locations:
             known = ", ".join(sorted(self.locations)) or "none"
             raise OptionError(f"unknown location {name!r}, known: {known}")
-        return self.locations[name]
+        return None if name is None else self.locations[name]
 
     def _format(self, name: str | None) -> tuple[str, Mapping[str, str]]:
         if (name or "parquet") not in self.formats:

@@ -10,12 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stagehouse.plans.workspace import new_warehouse
 
+# Orders are combined per customer, then per nation, so no hot customer or nation is shuffled whole.
 JOIN = """
-SELECT n.n_name, sum(o.n_orders) AS n_orders, round(sum(o.total), 2) AS total
-FROM (SELECT o_custkey, count(*) AS n_orders, sum(o_totalprice) AS total
-      FROM orders GROUP BY o_custkey) o
-JOIN customer c ON o.o_custkey = c.c_custkey
-JOIN nation n ON c.c_nationkey = n.n_nationkey
+SELECT n.n_name, sum(t.n_orders) AS n_orders, round(sum(t.total), 2) AS total
+FROM (SELECT c.c_nationkey, sum(o.n_orders) AS n_orders, sum(o.total) AS total
+      FROM (SELECT o_custkey, count(*) AS n_orders, sum(o_totalprice) AS total
+            FROM orders GROUP BY o_custkey) o
+      JOIN customer c ON o.o_custkey = c.c_custkey
+      GROUP BY c.c_nationkey) t
+JOIN nation n ON t.c_nationkey = n.n_nationkey
 GROUP BY n.n_name
 """
 
@@ -40,24 +43,30 @@ FROM orders GROUP BY ROLLUP (o_orderstatus, o_orderpriority)
 """
 
 # Rows are numbered within a customer's day; the days of a customer, few and already combined,
-# carry the running count and the last order of the day before.
+# carry the running count and the last order of the day before.  Keys are made null free, with the
+# null kept beside, so that one shuffle by customer and day serves the join and the window.
 WINDOW = """
-WITH days AS (
-  SELECT o_custkey AS k, o_orderdate AS d, count(*) AS n, max(o_orderkey) AS last_order
-  FROM orders GROUP BY o_custkey, o_orderdate
+WITH keyed AS (
+  SELECT o_custkey, o_orderkey,
+         coalesce(o_custkey, 0) AS k, o_custkey IS NULL AS no_k,
+         coalesce(o_orderdate, TIMESTAMP_NTZ '1970-01-01') AS d, o_orderdate IS NULL AS no_d
+  FROM orders
+), days AS (
+  SELECT k, no_k, d, no_d, count(*) AS n, max(o_orderkey) AS last_order
+  FROM keyed GROUP BY k, no_k, d, no_d
 ), offsets AS (
-  SELECT k, d,
-         coalesce(sum(n) OVER (PARTITION BY k ORDER BY d
+  SELECT k, no_k, d, no_d,
+         coalesce(sum(n) OVER (PARTITION BY k, no_k ORDER BY no_d DESC, d
                                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
-         lag(last_order) OVER (PARTITION BY k ORDER BY d) AS order_before
+         lag(last_order) OVER (PARTITION BY k, no_k ORDER BY no_d DESC, d) AS order_before
   FROM days
 )
-SELECT o_custkey, o_orderkey,
-       before + row_number() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey) AS rn,
-       coalesce(lag(o_orderkey) OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey),
-                order_before) AS prev_order
-FROM orders JOIN offsets
-  ON o_custkey IS NOT DISTINCT FROM k AND o_orderdate IS NOT DISTINCT FROM d
+SELECT o_custkey, o_orderkey, before + nth AS rn,
+       if(nth = 1, order_before, order_above) AS prev_order
+FROM (SELECT o_custkey, o_orderkey, before, order_before,
+             row_number() OVER (PARTITION BY k, no_k, d, no_d ORDER BY o_orderkey) AS nth,
+             lag(o_orderkey) OVER (PARTITION BY k, no_k, d, no_d ORDER BY o_orderkey) AS order_above
+      FROM keyed JOIN offsets USING (k, no_k, d, no_d))
 """
 
 TOPK = """

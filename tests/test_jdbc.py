@@ -234,3 +234,58 @@ def test_no_connection_is_an_error(spark, tmp_path):
     lost = JdbcWarehouse(spark, "jdbc:derby:memory:absent", str(tmp_path), user="a", password="b")
     with pytest.raises(LoadError, match="cannot connect"):
         lost.exists("t")
+
+
+def test_bulk_load_by_the_database(database, orders, table, monkeypatch):
+    """Derby cannot read Parquet, so the statement is only watched; it comes after drop and create."""
+    ran = []
+    database.write(orders.limit(1), table)
+    monkeypatch.setattr(database, "run_batch", ran.extend)
+    database.bulk_load = "COPY INTO {table} ({columns}) FROM '{path}'"
+    database.write(orders, table, mode="overwrite")
+    drop, create, copy = ran
+    assert drop == f"DROP TABLE {table}" and create.startswith(f"CREATE TABLE {table} (")
+    assert copy.startswith(f'COPY INTO {table} ("o_orderkey", ') and database.area.base in copy
+    assert len(database.area) == 0
+
+
+def test_bulk_unload_by_the_database(spark, database, orders, table, monkeypatch):
+    database.write(orders, table)
+    run_batch, ran = database.run_batch, []
+
+    def with_files(statements):
+        """Stands for a database that writes the Parquet files."""
+        path = statements[0].rsplit("|", 1)[1]
+        ran.extend(statements)
+        orders.select("o_custkey", "o_orderkey").write.mode("append").parquet(path)
+
+    monkeypatch.setattr(database, "run_batch", with_files)
+    database.bulk_unload = ["UNLOAD {query} AS {name} |{path}", "DROP {name}"]
+    back = database.read(table=table, schema=T.StructType.fromDDL("o_orderkey BIGINT"))
+    assert same_rows(back, orders.select("o_orderkey"))
+    assert ran[0].startswith(f"UNLOAD SELECT * FROM {table} AS unload_")
+    assert ran[1] == "DROP " + ran[0].split()[6]
+    monkeypatch.setattr(database, "run_batch", lambda statements: None)
+    assert database.unload("SELECT 1 AS x FROM sysibm.sysdummy1").rows == 0
+    database.bulk_unload = "NOT SQL"
+    monkeypatch.setattr(database, "run_batch", run_batch)
+    left = len(database.area)
+    with pytest.raises(LoadError):
+        database.read(table=table)
+    assert len(database.area) == left
+
+
+def test_layout_text_of_a_database():
+    schema = T.StructType.fromDDL("a INT, b STRING")
+    made = JdbcWarehouse.__new__(JdbcWarehouse)
+    made.type_overrides = {}
+    made.dialect = "tsql"
+    text = lambda layout: made._create_text("dbo.t", schema, Distribution.parse(layout))
+    columns = "CREATE TABLE dbo.t ([a] int, [b] nvarchar(4000))"
+    assert text(None) == f"{columns} WITH (HEAP, DISTRIBUTION = ROUND_ROBIN)"
+    assert text("HASH([a])") == f"{columns} WITH (HEAP, DISTRIBUTION = HASH([a]))"
+    assert text("CLUSTERED COLUMNSTORE INDEX, REPLICATE") == (
+        f"{columns} WITH (CLUSTERED COLUMNSTORE INDEX, DISTRIBUTION = REPLICATE)"
+    )
+    made.dialect = "ansi"
+    assert text("HASH(a)") == 'CREATE TABLE dbo.t ("a" int, "b" varchar(4000))'

@@ -52,7 +52,7 @@ def test_bucket_count_follows_the_data():
     by_key = Distribution.hash("a")
     assert by_key.sized(0).buckets == 8
     assert by_key.sized(100 << 40).buckets == layout_module.MAX_BUCKETS
-    assert by_key.sized(10 << 30).buckets == 64
+    assert by_key.sized(10 << 30).buckets == 16
     assert Distribution.hash("a", buckets=5).sized(10 << 40).buckets == 5
 
 
@@ -186,3 +186,10 @@ def test_other_layout_words_are_kept(warehouse, orders, table):
     properties = warehouse.entry(table).properties
     assert properties["stagehouse.table_options"] == "CLUSTERED COLUMNSTORE INDEX"
     assert properties["team"] == "me"
+
+
+def test_many_small_splits_are_read_in_fewer_tasks(spark, monkeypatch):
+    df = spark.range(0, 1000, 1, 64)
+    monkeypatch.setattr(layout_module, "MAP_BYTES", 100)
+    assert layout_module.widen_splits(df, 2000).rdd.getNumPartitions() == 20
+    assert layout_module.widen_splits(df, 800).rdd.getNumPartitions() == 64
