@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import json
 import logging
+import math
 import re
 import uuid
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -19,15 +20,17 @@ from stagehouse.functions.casts import column_of, guard_not_null
 from stagehouse.functions.ddl import ddl_for
 from stagehouse.functions.names import quote_name, quote_part, quote_text, split_name
 from stagehouse.operators.layout import (
+    BucketSpread,
     Distribution,
     cluster_by_bucket,
-    is_hot,
-    measure_buckets,
+    count_buckets,
+    slice_buckets,
     widen_splits,
 )
 from stagehouse.operators.load import align
 from stagehouse.operators.warehouse import Warehouse
 from stagehouse.sources.staging import (
+    StagedDataset,
     directory_bytes,
     hadoop_path,
     is_below,
@@ -39,6 +42,7 @@ log = logging.getLogger(__name__)
 # Formats whose files carry no schema of their own: read them under that of the table.
 _SCHEMALESS = ("csv", "json", "text", "xml")
 _PLAIN = re.compile(r"\w+", re.ASCII)
+_SPREAD = ("largest_bucket", "rows", "staged_bytes")  # table properties
 BROADCAST_BYTES = 64 << 20
 
 
@@ -65,12 +69,11 @@ class TableEntry:
             return Distribution.hash(*self.bucket_columns, buckets=self.buckets)
         return Distribution()
 
-    def spread(self) -> tuple[int, int]:
-        """Rows of the largest bucket (an upper bound after appends) and of the table."""
-        return (
-            int(self.properties.get("stagehouse.largest_bucket", "0")),
-            int(self.properties.get("stagehouse.rows", "0")),
-        )
+    @property
+    def spread(self) -> BucketSpread:
+        """As counted by the loads; an INSERT from elsewhere is not in it."""
+        kept = [int(self.properties.get(f"stagehouse.{k}", "0")) for k in _SPREAD]
+        return BucketSpread(self.buckets or 1, *kept)
 
 
 class CatalogWarehouse(Warehouse):
@@ -162,17 +165,21 @@ class CatalogWarehouse(Warehouse):
         """The table in place.
 
         A hash distributed table is scanned by bucket, so joins and groupings on its key need no
-        shuffle.  If one bucket holds many times its share, the files are scanned in even splits
+        shuffle.  If one bucket is far too large for a task, the files are scanned in even splits
         instead, and Spark shuffles and splits the hot key.  A replicated table is marked for
         broadcast when its rows are measured to fit ``broadcast_bytes``.
         """
         return self.tables(name)[0]
 
     def tables(self, *names: str) -> list[DataFrame]:
-        """Tables to be joined with each other: by bucket only if none of them has a hot bucket,
-        because skew handling needs both sides of a join shuffled."""
+        """Tables to be joined with each other: by bucket only if none of them has an oversized
+        bucket, because skew handling needs both sides of a join shuffled.
+
+        SQL text that names such a table scans it by bucket; set
+        ``spark.sql.sources.bucketing.enabled`` to false for it.
+        """
         entries = [self.entry(n) for n in names]
-        by_bucket = not any(e.buckets and is_hot(*e.spread(), e.buckets) for e in entries)
+        by_bucket = all(e.spread.by_bucket for e in entries if e.buckets)
         frames = []
         for name, entry in zip(names, entries):
             frame = self.spark.table(self._quoted(name))
@@ -186,19 +193,19 @@ class CatalogWarehouse(Warehouse):
 
     def _fits_broadcast(self, frame: DataFrame, entry: TableEntry) -> bool:
         """Measure the rows about to be broadcast: files first, which costs no job, then, for files
-        within the limit, the unpacked size, since a small file can hold many rows."""
+        within the limit, the unpacked size, since a small file can hold many rows.  Nested columns
+        have no simple size; Spark decides on those tables by itself."""
         if directory_bytes(self.spark, entry.location) > self.broadcast_bytes:
             return False
-        width = F.lit(8 * (1 + len(frame.columns)))
+        width = F.lit(8 * (1 + math.ceil(len(frame.columns) / 64) + len(frame.columns)))
         for field in frame.schema.fields:
-            column = column_of(frame, field.name)
-            if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
-                column = F.to_json(F.struct(column))
-            elif not isinstance(field.dataType, (T.StringType, T.BinaryType, T.DecimalType)):
-                continue
+            if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+                size = F.octet_length(column_of(frame, field.name))
+                width = width + F.coalesce(size, F.lit(0)) + F.lit(8)
             elif isinstance(field.dataType, T.DecimalType):
-                column = F.lit(" " * 16)
-            width = width + F.coalesce(F.octet_length(column), F.lit(0)) + F.lit(8)
+                width = width + F.lit(16)
+            elif not isinstance(field.dataType, T.AtomicType) or field.dataType == T.VariantType():
+                return False
         measured = frame.agg(F.coalesce(F.sum(width.cast("bigint")), F.lit(0))).first()[0]
         return measured <= self.broadcast_bytes
 
@@ -289,12 +296,11 @@ class CatalogWarehouse(Warehouse):
             return self._insert(frame, table)
         staged = stage(frame, self.area)
         try:
-            frame, largest = self._clustered(staged, entry.layout())
+            frame, spread = self._clustered(staged, entry.layout())
             rows = self._insert(frame, table)
         finally:
             self.area.release(staged.path)
-        old_largest, old_rows = entry.spread()
-        self._set_spread(table, old_largest + largest, old_rows + rows)
+        self._set_spread(table, entry.spread + spread)
         return rows
 
     def _publish(
@@ -314,19 +320,18 @@ class CatalogWarehouse(Warehouse):
         frame = guard_not_null(df, not_null, table)
         version = self._version_dir(table)
         building = self._beside(table, "new")
-        staged = None
-        largest = 0
+        staged = spread = None
         try:
             if layout.kind == "hash":
                 staged = stage(frame, self.area)
                 layout = layout.sized(directory_bytes(self.spark, staged.path))
-                frame, largest = self._clustered(staged, layout)
+                frame, spread = self._clustered(staged, layout)
             elif layout.partitions:
                 frame = frame.repartition(layout.partitions)
             self._create_entry(building, df.schema, layout, table_options, version)
-            rows = self._insert(frame, building)
-            if layout.kind == "hash":
-                self._set_spread(building, largest, rows)
+            self._insert(frame, building)
+            if spread is not None:
+                self._set_spread(building, spread)
             self._swap(building, table, replace)
         except BaseException:
             self.spark.sql(f"DROP TABLE IF EXISTS {building}")
@@ -359,26 +364,27 @@ class CatalogWarehouse(Warehouse):
     def _rename(self, table: str, name: str) -> None:
         self.spark.sql(f"ALTER TABLE {self._quoted(table)} RENAME TO {self._quoted(name)}")
 
-    def _clustered(self, staged, layout: Distribution) -> tuple[DataFrame, int]:
-        frame = staged.scan()
+    def _clustered(
+        self, staged: StagedDataset, layout: Distribution
+    ) -> tuple[DataFrame, BucketSpread]:
         size = directory_bytes(self.spark, staged.path)
-        spread = measure_buckets(frame, layout, size)
-        if spread.hot:
-            log.warning("largest of %d buckets: %d of %d rows", *(
-                layout.buckets, spread.largest_rows, spread.rows))
-        frame = widen_splits(frame, size)
-        return cluster_by_bucket(frame, layout, spread), spread.largest_rows
+        counts = count_buckets(staged.scan(), layout)
+        spread = BucketSpread(layout.buckets, max(counts.values(), default=0), staged.rows, size)
+        slices = slice_buckets(counts, layout.buckets, size)
+        if not spread.by_bucket:
+            log.warning("the largest of %d buckets has %d of %d rows", *astuple(spread)[:3])
+        return cluster_by_bucket(widen_splits(staged.scan(), size), layout, slices), spread
 
     def _insert(self, frame: DataFrame, table: str) -> int:
         """One INSERT job.  Its output shows when the job commits; a rerun task adds nothing twice."""
         counted = Observation()
         observed = frame.observe(counted, F.count(F.lit(1)).alias("rows"))
         observed.write.insertInto(self._quoted(table))
-        self.spark.catalog.refreshTable(self._quoted(table))  # the frame may be of another session
+        if frame.sparkSession is not self.spark:  # as in foreachBatch: our cached file list is old
+            self.spark.catalog.refreshTable(self._quoted(table))
         return counted.get["rows"]
 
-    def _set_spread(self, table: str, largest: int, rows: int) -> None:
-        self.spark.sql(
-            f"ALTER TABLE {self._quoted(table)} SET TBLPROPERTIES "
-            f"('stagehouse.largest_bucket' = '{largest}', 'stagehouse.rows' = '{rows}')"
-        )
+    def _set_spread(self, table: str, spread: BucketSpread) -> None:
+        kept = zip(_SPREAD, (spread.largest_rows, spread.rows, spread.staged_bytes))
+        listed = ", ".join(f"'stagehouse.{k}' = '{v}'" for k, v in kept)
+        self.spark.sql(f"ALTER TABLE {self._quoted(table)} SET TBLPROPERTIES ({listed})")

@@ -23,7 +23,9 @@ MIN_BUCKETS, MAX_BUCKETS = 8, 65536
 BUCKET_BYTES = 1 << 30  # aim for buckets of this many staged bytes
 FILE_BYTES = 2 << 30  # no task loads much more than this many staged bytes
 MAP_BYTES = 1 << 30  # a shuffle of very many small splits reads them in tasks of this size
-HOT_FACTOR = 4.0  # a bucket this many times the mean counts as hot
+HOT_FACTOR = 4.0  # a bucket this many times the mean counts as hot,
+HOT_BYTES = 256 << 20  # unless it is this small;
+SCAN_BYTES = 4 << 30  # any bucket above this is too much for one scan task
 
 
 @dataclass(frozen=True)
@@ -130,39 +132,41 @@ def bucket_of(df: DataFrame, columns: tuple[str, ...], buckets: int) -> Column:
 
 @dataclass(frozen=True)
 class BucketSpread:
-    """How many load tasks each bucket gets.  ``slices[b]`` is at least 1."""
+    """How the rows of a table fall into its buckets.  ``staged_bytes`` is the size of all rows."""
 
-    slices: tuple[int, ...]
+    buckets: int
     largest_rows: int
     rows: int
+    staged_bytes: int
 
     @property
-    def hot(self) -> bool:
-        return is_hot(self.largest_rows, self.rows, len(self.slices))
+    def by_bucket(self) -> bool:
+        """False when one scan task per bucket would leave one task with far too much."""
+        largest = self.staged_bytes * self.largest_rows / self.rows if self.rows else 0
+        is_hot = self.largest_rows * self.buckets > HOT_FACTOR * self.rows
+        return largest <= (HOT_BYTES if is_hot else SCAN_BYTES)
 
+    def __add__(self, more: "BucketSpread") -> "BucketSpread":
+        """After an append; the largest bucket is then an upper bound."""
+        return BucketSpread(
+            self.buckets,
+            self.largest_rows + more.largest_rows,
+            self.rows + more.rows,
+            self.staged_bytes + more.staged_bytes,
+        )
 
-def is_hot(largest_rows: int, rows: int, buckets: int) -> bool:
-    """True when one bucket holds many times its share, so that one scan task per bucket is unfair."""
-    return largest_rows > HOT_FACTOR * rows / buckets
 
+def count_buckets(df: DataFrame, layout: Distribution) -> dict[int, int]:
+    """Rows per bucket: scans the key columns only, combines before the shuffle, and returns one row
+    per bucket, a number the layout fixes."""
+    bucket = bucket_of(df, layout.columns, layout.buckets).alias("bucket")
+    return dict(df.select(bucket).groupBy("bucket").count().collect())
 
-def measure_buckets(
-    df: DataFrame, layout: Distribution, staged_bytes: int, file_bytes: int = FILE_BYTES
-) -> BucketSpread:
-    """Count rows per bucket: scans the key columns only, combines before the shuffle, and returns
-    one row per bucket, a number the layout fixes."""
-    counts = dict(
-        df.select(bucket_of(df, layout.columns, layout.buckets).alias("bucket"))
-        .groupBy("bucket")
-        .count()
-        .collect()
-    )
-    rows = sum(counts.values())
-    row_bytes = staged_bytes / rows if rows else 0.0
-    slices = tuple(
-        max(1, math.ceil(counts.get(b, 0) * row_bytes / file_bytes)) for b in range(layout.buckets)
-    )
-    return BucketSpread(slices, max(counts.values(), default=0), rows)
+
+def slice_buckets(counts: dict[int, int], buckets: int, staged_bytes: int) -> list[int]:
+    """How many tasks load each bucket, one at least, so that none loads far more than FILE_BYTES."""
+    row_bytes = staged_bytes / max(1, sum(counts.values()))
+    return [max(1, math.ceil(counts.get(b, 0) * row_bytes / FILE_BYTES)) for b in range(buckets)]
 
 
 def widen_splits(df: DataFrame, staged_bytes: int) -> DataFrame:
@@ -174,7 +178,7 @@ def widen_splits(df: DataFrame, staged_bytes: int) -> DataFrame:
     return df
 
 
-def cluster_by_bucket(df: DataFrame, layout: Distribution, spread: BucketSpread) -> DataFrame:
+def cluster_by_bucket(df: DataFrame, layout: Distribution, slices: list[int]) -> DataFrame:
     """``df`` shuffled so that every task holds rows of one bucket only.
 
     One file per bucket comes out, several for a bucket too large for one task: its rows are dealt
@@ -182,7 +186,7 @@ def cluster_by_bucket(df: DataFrame, layout: Distribution, spread: BucketSpread)
     many copies of one row end up in one task.
     """
     starts, total = [], 0
-    for count in spread.slices:
+    for count in slices:
         starts.append(total)
         total += count
     names = df.columns
@@ -192,8 +196,8 @@ def cluster_by_bucket(df: DataFrame, layout: Distribution, spread: BucketSpread)
         placed = with_bucket
     else:
         placed = with_bucket.withColumn("__deal", F.monotonically_increasing_id())
-        slices = F.get(_int_array(spread.slices), F.col("__bucket"))
-        target = F.get(_int_array(starts), F.col("__bucket")) + F.pmod(F.col("__deal"), slices)
+        of = F.get(_int_array(slices), F.col("__bucket"))
+        target = F.get(_int_array(starts), F.col("__bucket")) + F.pmod(F.col("__deal"), of)
     return placed.repartitionById(total, target.cast("int")).select(
         [column_of(df, n) for n in names]
     )

@@ -8,7 +8,12 @@ from pyspark.sql import types as T
 
 from stagehouse import Distribution, OptionError, SchemaError
 from stagehouse.operators import layout as layout_module
-from stagehouse.operators.layout import cluster_by_bucket, is_hot, measure_buckets
+from stagehouse.operators.layout import (
+    BucketSpread,
+    cluster_by_bucket,
+    count_buckets,
+    slice_buckets,
+)
 
 
 @pytest.mark.parametrize(
@@ -95,13 +100,15 @@ def hot_orders(orders):
     )
 
 
-def test_hot_bucket_is_loaded_by_many_tasks(spark, warehouse, orders):
+def test_hot_bucket_is_loaded_by_many_tasks(spark, warehouse, orders, monkeypatch):
+    monkeypatch.setattr(layout_module, "FILE_BYTES", 400)
     rows = hot_orders(orders)
     layout = Distribution.hash("o_custkey", buckets=16)
     staged = warehouse.stage(rows)
-    spread = measure_buckets(staged.scan(), layout, staged_bytes=16000, file_bytes=400)
-    assert spread.rows == rows.count() and max(spread.slices) > 5
-    placed = cluster_by_bucket(staged.scan(), layout, spread)
+    counts = count_buckets(staged.scan(), layout)
+    slices = slice_buckets(counts, 16, staged_bytes=16000)
+    assert sum(counts.values()) == staged.rows and max(slices) > 5
+    placed = cluster_by_bucket(staged.scan(), layout, slices)
     assert placed.columns == orders.columns
     per_task = (
         placed.select(
@@ -113,14 +120,29 @@ def test_hot_bucket_is_loaded_by_many_tasks(spark, warehouse, orders):
         .collect()
     )
     assert all(t["buckets"] == 1 for t in per_task)
-    assert max(t["rows"] for t in per_task) <= 2 * 400 / 16000 * spread.rows
+    assert max(t["rows"] for t in per_task) <= 2 * 400 / 16000 * staged.rows
     assert same_rows(placed, rows)
 
 
+@pytest.mark.parametrize(
+    "buckets, largest, rows, size, by_bucket",
+    [
+        (8, 0, 0, 0, True),
+        (8, 20, 100, 1 << 30, True),  # even
+        (64, 40, 100, 1 << 20, True),  # hot, but small
+        (64, 40, 100, 10 << 30, False),  # hot
+        (8, 13, 100, 100 << 40, False),  # even, but too few buckets for the data
+        (65536, 2, 65536, 100 << 40, True),
+    ],
+)
+def test_when_to_scan_by_bucket(buckets, largest, rows, size, by_bucket):
+    assert BucketSpread(buckets, largest, rows, size).by_bucket is by_bucket
+
+
 def test_table_with_a_hot_bucket_is_scanned_in_even_splits(
     warehouse, orders, customer, table, monkeypatch
 ):
-    monkeypatch.setattr(layout_module, "HOT_FACTOR", 2.0)
+    monkeypatch.setattr(layout_module, "HOT_BYTES", 100)
     rows = hot_orders(orders)
     warehouse.write(rows, table, distribution=Distribution.hash("o_custkey", buckets=16))
     warehouse.write(
@@ -140,8 +162,8 @@ def test_append_to_a_hash_table_keeps_clustering_and_counts(warehouse, orders, t
     both = warehouse.write(orders, table, mode="append")
     assert both.count() == 2 * orders.count()
     assert exchanges(both.groupBy("o_custkey").count()) == 0
-    largest, rows = warehouse.entry(table).spread()
-    assert rows == 2 * orders.count() and not is_hot(largest, rows, 4)
+    spread = warehouse.entry(table).spread
+    assert spread.rows == 2 * orders.count() and spread.by_bucket and spread.staged_bytes > 0
     with pytest.raises(OptionError, match="append keeps the layout"):
         warehouse.write(orders, table, mode="append", distribution="ROUND_ROBIN")
 
@@ -164,11 +186,11 @@ def test_round_robin(warehouse, orders, table):
 
 def test_replicated_table_is_broadcast_only_within_the_limit(warehouse, customer, table):
     small = warehouse.write(customer, table, distribution="REPLICATE")
-    assert "unresolvedhint broadcast" in small._jdf.queryExecution().logical().toString().lower()
+    assert "hint broadcast" in small._jdf.queryExecution().logical().toString().lower()
     assert "BroadcastHashJoin" in plan_of(customer.join(small, "c_custkey"))
     warehouse.broadcast_bytes = 1000
     large = warehouse.table(table)
-    assert "unresolvedhint broadcast" not in large._jdf.queryExecution().logical().toString().lower()
+    assert "hint broadcast" not in large._jdf.queryExecution().logical().toString().lower()
     assert same_rows(small, large)
 
 
@@ -176,7 +198,7 @@ def test_small_file_with_many_rows_is_measured_unpacked(spark, warehouse, table)
     rows = spark.range(0, 200_000, 1, 1).select(F.lit("x" * 50).alias("s"))
     warehouse.broadcast_bytes = 1 << 20
     out = warehouse.write(rows, table, distribution="REPLICATE")
-    assert "unresolvedhint broadcast" not in out._jdf.queryExecution().logical().toString().lower()
+    assert "hint broadcast" not in out._jdf.queryExecution().logical().toString().lower()
 
 
 def test_other_layout_words_are_kept(warehouse, orders, table):
@@ -193,3 +215,8 @@ def test_many_small_splits_are_read_in_fewer_tasks(spark, monkeypatch):
     monkeypatch.setattr(layout_module, "MAP_BYTES", 100)
     assert layout_module.widen_splits(df, 2000).rdd.getNumPartitions() == 20
     assert layout_module.widen_splits(df, 800).rdd.getNumPartitions() == 64
+
+
+def test_nested_columns_get_no_broadcast_hint(spark, warehouse, table):
+    out = warehouse.write(spark.sql("SELECT array(1, 2) AS a"), table, distribution="REPLICATE")
+    assert "hint broadcast" not in out._jdf.queryExecution().logical().toString().lower()
