@@ -8,6 +8,7 @@ import math
 import re
 import uuid
 from collections.abc import Mapping
+from contextlib import contextmanager
 from dataclasses import astuple, dataclass
 
 from pyspark.errors import AnalysisException
@@ -297,7 +298,8 @@ class CatalogWarehouse(Warehouse):
         staged = stage(frame, self.area)
         try:
             frame, spread = self._clustered(staged, entry.layout())
-            rows = self._insert(frame, table)
+            with self._unsorted_buckets():
+                rows = self._insert(frame, table)
         finally:
             self.area.release(staged.path)
         self._set_spread(table, entry.spread + spread)
@@ -329,8 +331,11 @@ class CatalogWarehouse(Warehouse):
             elif layout.partitions:
                 frame = frame.repartition(layout.partitions)
             self._create_entry(building, df.schema, layout, table_options, version)
-            self._insert(frame, building)
-            if spread is not None:
+            if spread is None:
+                self._insert(frame, building)
+            else:
+                with self._unsorted_buckets():
+                    self._insert(frame, building)
                 self._set_spread(building, spread)
             self._swap(building, table, replace)
         except BaseException:
@@ -384,6 +389,18 @@ class CatalogWarehouse(Warehouse):
             self.spark.catalog.refreshTable(self._quoted(table))
         return counted.get["rows"]
 
+    @contextmanager
+    def _unsorted_buckets(self):
+        """Spark sorts every task of a bucketed write by bucket, unless writers may stay open side by
+        side.  Our tasks hold one bucket each, so one writer does, and nothing is sorted or spilled."""
+        key = "spark.sql.maxConcurrentOutputFileWriters"
+        before = self.spark.conf.get(key)
+        self.spark.conf.set(key, str(max(1, int(before))))
+        try:
+            yield
+        finally:
+            self.spark.conf.set(key, before)
+
     def _set_spread(self, table: str, spread: BucketSpread) -> None:
         kept = zip(_SPREAD, (spread.largest_rows, spread.rows, spread.staged_bytes))
         listed = ", ".join(f"'stagehouse.{k}' = '{v}'" for k, v in kept)

@@ -170,8 +170,8 @@ class Warehouse(ABC):
         table it replaces.  ``append`` needs an existing table and keeps its layout.  All checks run
         before the first job.
         """
-        mode = mode.lower().replace("_", "")
-        mode = "errorifexists" if mode == "error" else mode
+        mode = mode.lower()
+        mode = "errorifexists" if mode in ("error", "default") else mode
         if mode not in MODES:
             raise OptionError(f"mode must be one of {', '.join(MODES)}, not {mode!r}")
         layout = Distribution.of(distribution).check(df.schema)

@@ -192,8 +192,11 @@ def read(
 
 
 def write(df: DataFrame, options: Mapping[str, object], mode: str = "errorifexists") -> DataFrame:
-    """``Warehouse.write`` by options: ``url``, ``dbtable``, ``stagingdir``, ``tableoptions``."""
+    """``Warehouse.write`` by options: ``url``, ``dbtable``, ``stagingdir``, ``tableoptions``; the
+    last is for a table the write creates, so an append may carry it along unused."""
     chosen = Options.of(options).check_write()
     warehouse = open_warehouse(df.sparkSession, chosen)
-    layout = None if chosen.distribution is None else Distribution.parse(chosen.distribution)
+    layout = None
+    if chosen.distribution is not None and mode.lower() != "append":
+        layout = Distribution.parse(chosen.distribution)
     return warehouse.write(df, chosen.table, mode, layout)

@@ -15,7 +15,7 @@ def bad_rows(df):
     )
 
 
-@pytest.mark.parametrize("mode", ["errorifexists", "overwrite", "ignore", "error"])
+@pytest.mark.parametrize("mode", ["errorifexists", "overwrite", "ignore", "error", "default"])
 def test_absent_table_is_created(warehouse, orders, table, mode):
     assert same_rows(warehouse.write(orders, table, mode=mode), orders)
 

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from stagehouse import Distribution, OptionError, SchemaError
 from stagehouse.operators import layout as layout_module
+from stagehouse.plans.layouts import segment_counts
 from stagehouse.operators.layout import (
     BucketSpread,
     cluster_by_bucket,
@@ -76,6 +77,7 @@ def test_hash_join_and_grouping_without_shuffle(spark, warehouse, orders, custom
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         assert exchanges(o.join(c, o["o_custkey"] == c["c_custkey"])) == 0
+        assert exchanges(segment_counts(o, c)) == 1  # the result, by segment
         assert exchanges(orders.join(customer, F.expr("o_custkey = c_custkey"))) == 2
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
@@ -85,6 +87,7 @@ def test_hash_join_and_grouping_without_shuffle(spark, warehouse, orders, custom
 
 def test_one_file_per_bucket_and_the_bucket_spark_expects(spark, warehouse, orders, table):
     warehouse.write(orders, table, distribution=Distribution.hash("o_custkey", buckets=4))
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
     files = glob.glob(os.path.join(warehouse.entry(table).location.removeprefix("file:"), "*.parquet"))
     assert len(files) == 4
     one = spark.table(table).where("o_custkey = 7")
@@ -220,3 +223,12 @@ def test_many_small_splits_are_read_in_fewer_tasks(spark, monkeypatch):
 def test_nested_columns_get_no_broadcast_hint(spark, warehouse, table):
     out = warehouse.write(spark.sql("SELECT array(1, 2) AS a"), table, distribution="REPLICATE")
     assert "hint broadcast" not in out._jdf.queryExecution().logical().toString().lower()
+
+
+def test_bucketed_load_does_not_sort(spark, warehouse, orders, table):
+    warehouse.create_table(table, orders.schema, Distribution.hash("o_custkey", buckets=4))
+    orders.createOrReplaceTempView("o_view")
+    load = f"EXPLAIN INSERT INTO {table} SELECT * FROM o_view"
+    assert "Sort [" in spark.sql(load).first()[0]
+    with warehouse._unsorted_buckets():
+        assert "Sort [" not in spark.sql(load).first()[0]

@@ -133,7 +133,7 @@ def test_read_and_write_by_options(spark, orders, table, tmp_path):
     stagehouse.write(orders, options)
     back = stagehouse.read(spark, {"dbtable": table, "stagingdir": str(tmp_path / "s")})
     assert back.count() == orders.count()
-    stagehouse.write(orders.limit(10), {k: v for k, v in options.items() if k != "tableoptions"}, "append")
+    stagehouse.write(orders.limit(10), options, "append")
     counted = stagehouse.read(
         spark,
         {"query": f"SELECT count(*) AS n FROM {table}", "externaldatasource": "lake"},
