@@ -107,6 +107,7 @@ def jdbc_staged_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         catalog.area.base,
         user=spark.conf.get("spark.stagehouse.jdbc.user", "app"),
         password=spark.conf.get("spark.stagehouse.jdbc.password", "app"),
+        rename="RENAME TABLE {old} TO {new}" if embedded else None,
         partition_columns=["o_orderkey"],
         num_partitions=max(4, spark.sparkContext.defaultParallelism),
     )

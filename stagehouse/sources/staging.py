@@ -109,6 +109,8 @@ class StagingArea:
         path = f"{(parent or self.base).rstrip('/')}/run_{uuid.uuid4().hex}"
         p, fs = hadoop_path(self.spark, path)
         fs.mkdirs(p)
+        if fs.getUri().getScheme() != "file":  # say which file system, for readers outside Hadoop
+            path = fs.makeQualified(p).toString()
         self.register(path)
         return path
 

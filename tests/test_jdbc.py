@@ -110,6 +110,27 @@ def test_modes(database, orders, customer, table):
     assert not database.exists(table)
 
 
+def test_landing_table_is_renamed(database, orders, customer, table, monkeypatch):
+    database.rename = "RENAME TABLE {old} TO {new}"
+    ran, run_batch = [], database.run_batch
+
+    def watched(statements):
+        ran.extend(statements)
+        run_batch(statements)
+
+    monkeypatch.setattr(database, "run_batch", watched)
+    assert same_rows(database.write(orders, f"app.{table}"), orders)
+    assert same_rows(database.write(customer, table, mode="overwrite"), customer)
+    assert same_rows(database.write(customer, table, mode="append"), customer.unionAll(customer))
+    assert sum(s.startswith("RENAME") for s in ran) == 2
+    assert sum(s.startswith("INSERT") for s in ran) == 1
+    database.rename = "NO {old} {new}"
+    with pytest.raises(LoadError):
+        database.write(orders, table, mode="overwrite")
+    assert database.table(table).columns == customer.columns
+    assert not [t for t in tables_left(database) if t.startswith("LANDING")]
+
+
 def test_failed_batch_keeps_the_old_table(database, orders, customer, table, monkeypatch):
     database.write(orders, table)
     monkeypatch.setattr(database, "_move_text", lambda *a: "INSERT INTO nosuch SELECT 1 FROM nosuch")
@@ -289,3 +310,17 @@ def test_layout_text_of_a_database():
     )
     made.dialect = "ansi"
     assert text("HASH(a)") == 'CREATE TABLE dbo.t ("a" int, "b" varchar(4000))'
+
+
+def test_odd_names(database, orders):
+    database.run_batch(['CREATE SCHEMA "odd schema"'])
+    name = "`odd schema`.`t-1`"
+    assert same_rows(database.write(orders, name), orders)
+    assert same_rows(database.write(orders, name, mode="append"), orders.unionAll(orders))
+    odd = orders.select(F.col("o_orderkey").alias('a "b'), F.col("o_custkey").alias("c.d"))
+    database.rename = "RENAME TABLE {old} TO {new}"
+    assert same_rows(database.write(odd, name, mode="overwrite"), odd)
+    back = database.read(table=name, partition_columns=["c.d"])
+    assert same_rows(back, odd)
+    assert not [t for t in tables_left(database) if t.startswith("LANDING")]
+    database.drop_table(name)
