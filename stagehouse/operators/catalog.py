@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stagehouse.errors import LoadError, OptionError, SchemaError
+from stagehouse.errors import OptionError, SchemaError
 from stagehouse.functions.casts import column_of, guard_not_null
 from stagehouse.functions.ddl import ddl_for
 from stagehouse.functions.names import quote_name, quote_part, quote_text, split_name
@@ -35,13 +35,12 @@ from stagehouse.sources.staging import (
     directory_bytes,
     hadoop_path,
     is_below,
+    path_parts,
     stage,
 )
 
 log = logging.getLogger(__name__)
 
-# Formats whose files carry no schema of their own: read them under that of the table.
-_SCHEMALESS = ("csv", "json", "text", "xml")
 _PLAIN = re.compile(r"\w+", re.ASCII)
 _SPREAD = ("largest_bucket", "rows", "staged_bytes")  # table properties
 BROADCAST_BYTES = 64 << 20
@@ -83,8 +82,8 @@ class CatalogWarehouse(Warehouse):
     A new version is written in full before the catalog entry moves to it, so a failed job leaves
     the table as it was, a table may be overwritten from its own rows, and frames on the old version
     still answer.  Moving the entry is two catalog steps, the old entry out and the new one in, and
-    not atomic: between them another session may find no table.  Old versions are deleted when the session ends, unless
-    ``keep_old``.
+    not atomic: between them another session may find no table.  Old versions are deleted when the
+    session ends, unless ``keep_old``.
     """
 
     def __init__(
@@ -247,12 +246,10 @@ class CatalogWarehouse(Warehouse):
         layout: Distribution,
         table_options: Mapping[str, str],
         location: str,
-        extra: Mapping[str, str] | None = None,
     ) -> None:
         properties = {
             "stagehouse.distribution": layout.kind,
             "stagehouse.not_null": json.dumps([f.name for f in schema.fields if not f.nullable]),
-            **(extra or {}),
             **table_options,
         }
         if layout.other:
@@ -269,27 +266,6 @@ class CatalogWarehouse(Warehouse):
 
     # -- loading ----------------------------------------------------------------------------------
 
-    def copy_into(
-        self,
-        table: str,
-        path: str,
-        file_format: str = "parquet",
-        match: str = "name",
-    ) -> int:
-        """Load the files below ``path`` into an existing table; returns the rows loaded."""
-        if not self.exists(table):
-            raise OptionError(f"table {table} does not exist")
-        spark_format, options = self._format(file_format)
-        reader = self.spark.read.format(spark_format).options(**options)
-        if spark_format in _SCHEMALESS:
-            reader = reader.schema(self.schema_of(table))
-        try:
-            return self._append(reader.load(path), table, match)
-        except (OptionError, SchemaError, LoadError):
-            raise
-        except Exception as cause:
-            raise LoadError(f"loading {path} into {table} failed, nothing was added", cause)
-
     def _append(self, df: DataFrame, table: str, match: str = "name") -> int:
         entry = self.entry(table)
         frame = align(df, self.schema_of(table), match, table)
@@ -339,9 +315,7 @@ class CatalogWarehouse(Warehouse):
                 self._set_spread(building, spread)
             self._swap(building, table, replace)
         except BaseException:
-            self.spark.sql(f"DROP TABLE IF EXISTS {building}")
-            path, fs = hadoop_path(self.spark, version)
-            fs.delete(path, True)
+            self._discard(building, table, version)
             raise
         finally:
             if staged is not None:
@@ -360,11 +334,22 @@ class CatalogWarehouse(Warehouse):
         self._rename(table, old)
         try:
             self._rename(building, table)
-        except Exception:
+        except BaseException:
             self._rename(old, table)
             raise
-        self.spark.sql(f"DROP TABLE IF EXISTS {self._quoted(old)}")
-        self._retire(location)
+        try:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._quoted(old)}")
+            self._retire(location)
+        except Exception:
+            log.exception("%s has its new version; entry %s of the old one is left", table, old)
+
+    def _discard(self, building: str, table: str, version: str) -> None:
+        """Remove what a failed write made, unless the entry of the table has moved to it."""
+        if self.exists(table) and path_parts(self.entry(table).location) == path_parts(version):
+            return
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._quoted(building)}")
+        path, fs = hadoop_path(self.spark, version)
+        fs.delete(path, True)
 
     def _rename(self, table: str, name: str) -> None:
         self.spark.sql(f"ALTER TABLE {self._quoted(table)} RENAME TO {self._quoted(name)}")

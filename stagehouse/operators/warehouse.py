@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from abc import ABC, abstractmethod
 from collections.abc import Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -15,6 +16,8 @@ from stagehouse.operators.layout import Distribution
 from stagehouse.sources.staging import StagedDataset, StagingArea, stage
 
 MODES = ("errorifexists", "append", "overwrite", "ignore")
+# Formats whose files carry no schema of their own: loaded under that of the table.
+_SCHEMALESS = ("csv", "json", "text", "xml")
 
 
 class Warehouse(ABC):
@@ -55,8 +58,8 @@ class Warehouse(ABC):
         """A table as it is now, scanned in place."""
 
     @abstractmethod
-    def _append(self, df: DataFrame, table: str) -> int:
-        """Add the rows of ``df``, matched by name; all or nothing."""
+    def _append(self, df: DataFrame, table: str, match: str = "name") -> int:
+        """Add the rows of ``df`` and return how many; all or nothing."""
 
     @abstractmethod
     def _publish(
@@ -166,8 +169,8 @@ class Warehouse(ABC):
         """Load ``df`` into a table and return the table.
 
         ``errorifexists`` (default) and ``ignore`` create a table that is absent; if it exists they
-        raise, or leave it and return it.  ``overwrite`` replaces schema and rows, and may read the
-        table it replaces.  ``append`` needs an existing table and keeps its layout.  All checks run
+        raise, or leave it and return it.  ``overwrite`` replaces schema, layout and rows, and may
+        read the table it replaces.  ``append`` needs an existing table and keeps its layout.  All checks run
         before the first job.
         """
         mode = mode.lower()
@@ -183,13 +186,34 @@ class Warehouse(ABC):
         if mode == "append" and distribution is not None:
             raise OptionError("append keeps the layout of the table; give no distribution")
         if not (exists and mode == "ignore"):
-            try:
+            with self._loading(table):
                 if mode == "append":
                     self._append(df, table)
                 else:
                     self._publish(df, table, layout, table_options or {}, replace=exists)
-            except (OptionError, SchemaError, LoadError):
-                raise
-            except Exception as cause:
-                raise LoadError(f"loading {table} failed, its content is unchanged", cause)
         return self.table(table)
+
+    def copy_into(
+        self, table: str, path: str, file_format: str = "parquet", match: str = "name"
+    ) -> int:
+        """Load the files below ``path`` into an existing table; returns the rows loaded.
+
+        ``match`` pairs columns by ``name``, case ignored, or by ``position``.
+        """
+        if not self.exists(table):
+            raise OptionError(f"table {table} does not exist")
+        spark_format, options = self._format(file_format)
+        reader = self.spark.read.format(spark_format).options(**options)
+        if spark_format in _SCHEMALESS:
+            reader = reader.schema(self.schema_of(table))
+        with self._loading(table):
+            return self._append(reader.load(path), table, match)
+
+    @contextmanager
+    def _loading(self, table: str):
+        try:
+            yield
+        except (OptionError, SchemaError, LoadError):
+            raise
+        except Exception as cause:
+            raise LoadError(f"loading {table} failed, its content is unchanged", cause)

@@ -102,6 +102,28 @@ def test_entry_comes_back_when_the_new_one_cannot_take_its_place(
     assert same_rows(warehouse.table(table), orders)
 
 
+def test_new_version_stays_when_only_the_cleanup_of_the_old_one_fails(
+    warehouse, orders, customer, table, monkeypatch
+):
+    warehouse.write(orders, table)
+
+    def failing(_location):
+        raise RuntimeError("storage is down")
+
+    monkeypatch.setattr(warehouse, "_retire", failing)
+    assert same_rows(warehouse.write(customer, table, mode="overwrite"), customer)
+
+    def interrupted(*_):
+        swap(*_)
+        raise KeyboardInterrupt
+
+    swap = warehouse._swap
+    monkeypatch.setattr(warehouse, "_swap", interrupted)
+    with pytest.raises(KeyboardInterrupt):
+        warehouse.write(orders, table, mode="overwrite")
+    assert same_rows(warehouse.table(table), orders)
+
+
 def test_empty_frame(warehouse, orders, table):
     empty = orders.where("false")
     assert warehouse.write(empty, table).schema == orders.schema
