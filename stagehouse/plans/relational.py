@@ -44,13 +44,18 @@ FROM orders GROUP BY ROLLUP (o_orderstatus, o_orderpriority)
 
 # Rows are numbered within a customer's day; the days of a customer, few and already combined,
 # carry the running count and the last order of the day before.  Keys are made null free, with the
-# null kept beside, so that one shuffle by customer and day serves the join and the window.
+# null kept beside, so that one shuffle and one sort of the orders serve the window and the join.
 WINDOW = """
 WITH keyed AS (
   SELECT o_custkey, o_orderkey,
          coalesce(o_custkey, 0) AS k, o_custkey IS NULL AS no_k,
          coalesce(o_orderdate, TIMESTAMP_NTZ '1970-01-01') AS d, o_orderdate IS NULL AS no_d
   FROM orders
+), numbered AS (
+  SELECT *,
+         row_number() OVER (PARTITION BY k, no_k, d, no_d ORDER BY o_orderkey) AS nth,
+         lag(o_orderkey) OVER (PARTITION BY k, no_k, d, no_d ORDER BY o_orderkey) AS order_above
+  FROM keyed
 ), days AS (
   SELECT k, no_k, d, no_d, count(*) AS n, max(o_orderkey) AS last_order
   FROM keyed GROUP BY k, no_k, d, no_d
@@ -63,10 +68,7 @@ WITH keyed AS (
 )
 SELECT o_custkey, o_orderkey, before + nth AS rn,
        if(nth = 1, order_before, order_above) AS prev_order
-FROM (SELECT o_custkey, o_orderkey, before, order_before,
-             row_number() OVER (PARTITION BY k, no_k, d, no_d ORDER BY o_orderkey) AS nth,
-             lag(o_orderkey) OVER (PARTITION BY k, no_k, d, no_d ORDER BY o_orderkey) AS order_above
-      FROM keyed JOIN offsets USING (k, no_k, d, no_d))
+FROM numbered JOIN offsets USING (k, no_k, d, no_d)
 """
 
 TOPK = """
