@@ -29,14 +29,13 @@ from stagehouse.operators.layout import (
     widen_splits,
 )
 from stagehouse.operators.load import align
-from stagehouse.operators.warehouse import Warehouse
+from stagehouse.operators.warehouse import SettledRows, Warehouse
 from stagehouse.sources.staging import (
     StagedDataset,
     directory_bytes,
     hadoop_path,
     is_below,
     path_parts,
-    stage,
 )
 
 log = logging.getLogger(__name__)
@@ -266,18 +265,15 @@ class CatalogWarehouse(Warehouse):
 
     # -- loading ----------------------------------------------------------------------------------
 
-    def _append(self, df: DataFrame, table: str, match: str = "name") -> int:
+    def _append(
+        self, df: DataFrame, table: str, match: str = "name", files: StagedDataset | None = None
+    ) -> int:
         entry = self.entry(table)
         frame = align(df, self.schema_of(table), match, table)
         if not entry.buckets:
             return self._insert(frame, table)
-        staged = stage(frame, self.area)
-        try:
-            frame, spread = self._clustered(staged, entry.layout())
-            with self._unsorted_buckets():
-                rows = self._insert(frame, table)
-        finally:
-            self.area.release(staged.path)
+        with self._settled(frame, files) as settled:
+            rows, spread = self._insert_clustered(settled, table, entry.layout())
         self._set_spread(table, entry.spread + spread)
         return rows
 
@@ -298,28 +294,22 @@ class CatalogWarehouse(Warehouse):
         frame = guard_not_null(df, not_null, table)
         version = self._version_dir(table)
         building = self._beside(table, "new")
-        staged = spread = None
         try:
             if layout.kind == "hash":
-                staged = stage(frame, self.area)
-                layout = layout.sized(directory_bytes(self.spark, staged.path))
-                frame, spread = self._clustered(staged, layout)
-            elif layout.partitions:
-                frame = frame.repartition(layout.partitions)
-            self._create_entry(building, df.schema, layout, table_options, version)
-            if spread is None:
-                self._insert(frame, building)
-            else:
-                with self._unsorted_buckets():
-                    self._insert(frame, building)
+                with self._settled(frame) as settled:
+                    layout = layout.sized(settled.size)
+                    self._create_entry(building, df.schema, layout, table_options, version)
+                    _, spread = self._insert_clustered(settled, building, layout)
                 self._set_spread(building, spread)
+            else:
+                if layout.partitions:
+                    frame = frame.repartition(layout.partitions)
+                self._create_entry(building, df.schema, layout, table_options, version)
+                self._insert(frame, building)
             self._swap(building, table, replace)
         except BaseException:
             self._discard(building, table, version)
             raise
-        finally:
-            if staged is not None:
-                self.area.release(staged.path)
 
     def _beside(self, table: str, word: str) -> str:
         """A fresh name in the database of the table."""
@@ -354,16 +344,19 @@ class CatalogWarehouse(Warehouse):
     def _rename(self, table: str, name: str) -> None:
         self.spark.sql(f"ALTER TABLE {self._quoted(table)} RENAME TO {self._quoted(name)}")
 
-    def _clustered(
-        self, staged: StagedDataset, layout: Distribution
-    ) -> tuple[DataFrame, BucketSpread]:
-        size = directory_bytes(self.spark, staged.path)
-        counts = count_buckets(staged.scan(), layout)
-        spread = BucketSpread(layout.buckets, max(counts.values(), default=0), staged.rows, size)
-        slices = slice_buckets(counts, layout.buckets, size)
+    def _insert_clustered(
+        self, settled: SettledRows, table: str, layout: Distribution
+    ) -> tuple[int, BucketSpread]:
+        """One INSERT whose tasks hold one bucket each, after counting the rows per bucket."""
+        counts = count_buckets(settled.frame, layout)
+        largest, rows = max(counts.values(), default=0), sum(counts.values())
+        spread = BucketSpread(layout.buckets, largest, rows, settled.size)
         if not spread.by_bucket:
             log.warning("the largest of %d buckets has %d of %d rows", *astuple(spread)[:3])
-        return cluster_by_bucket(widen_splits(staged.scan(), size), layout, slices), spread
+        slices = slice_buckets(counts, layout.buckets, settled.size)
+        frame = cluster_by_bucket(widen_splits(settled.frame, settled.size), layout, slices)
+        with self._unsorted_buckets():
+            return self._insert(frame, table), spread
 
     def _insert(self, frame: DataFrame, table: str) -> int:
         """One INSERT job.  Its output shows when the job commits; a rerun task adds nothing twice."""

@@ -92,6 +92,7 @@ class Distribution:
         whole layout, others only the clauses this class does not know."""
         if dialect != "tsql":
             return " ".join(self.other)
+        # HEAP and DISTRIBUTION = ROUND_ROBIN are what a table without a layout gets.
         words = self.kind.upper()
         if self.kind == "hash":
             words = f"HASH({', '.join(quote_column(c, dialect) for c in self.columns)})"

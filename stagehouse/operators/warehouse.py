@@ -5,6 +5,7 @@ from __future__ import annotations
 from abc import ABC, abstractmethod
 from collections.abc import Mapping
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -13,13 +14,26 @@ from stagehouse.errors import LoadError, OptionError, SchemaError
 from stagehouse.functions.casts import conform, fit
 from stagehouse.functions.names import is_name
 from stagehouse.operators.layout import Distribution
-from stagehouse.sources.staging import StagedDataset, StagingArea, stage
+from stagehouse.sources.staging import StagedDataset, StagingArea, directory_bytes, stage
 
 MODES = ("errorifexists", "append", "overwrite", "ignore")
 # Formats whose files carry no schema of their own: loaded under that of the table.
 _SCHEMALESS = ("csv", "json", "text", "xml")
 
 
+@dataclass(frozen=True)
+class SettledRows:
+    """Rows on disk, about to be loaded: the scan, the size of its files, and the files."""
+
+    frame: DataFrame
+    size: int
+    files: StagedDataset
+
+    def count(self) -> int:
+        """Known for rows we staged; for Parquet files of others it is in their footers."""
+        return self.frame.count() if self.files.rows is None else self.files.rows
+
+
 class Warehouse(ABC):
     """A place with tables.
 
@@ -58,8 +72,11 @@ class Warehouse(ABC):
         """A table as it is now, scanned in place."""
 
     @abstractmethod
-    def _append(self, df: DataFrame, table: str, match: str = "name") -> int:
-        """Add the rows of ``df`` and return how many; all or nothing."""
+    def _append(
+        self, df: DataFrame, table: str, match: str = "name", files: StagedDataset | None = None
+    ) -> int:
+        """Add the rows of ``df`` and return how many; all or nothing.  ``files`` are those ``df``
+        scans, when it is nothing but a scan."""
 
     @abstractmethod
     def _publish(
@@ -207,7 +224,22 @@ class Warehouse(ABC):
         if spark_format in _SCHEMALESS:
             reader = reader.schema(self.schema_of(table))
         with self._loading(table):
-            return self._append(reader.load(path), table, match)
+            df = reader.load(path)
+            files = StagedDataset(self.spark, path, df.schema, None, spark_format, options)
+            return self._append(df, table, match, files)
+
+    @contextmanager
+    def _settled(self, frame: DataFrame, files: StagedDataset | None = None):
+        """The rows of ``frame`` in a form that reads the same every time: staged for as long as the
+        block runs, or as they are when ``frame`` only scans files that lie ready."""
+        if files is not None:
+            yield SettledRows(frame, directory_bytes(self.spark, files.path), files)
+            return
+        staged = stage(frame, self.area)
+        try:
+            yield SettledRows(staged.scan(), directory_bytes(self.spark, staged.path), staged)
+        finally:
+            self.area.release(staged.path)
 
     @contextmanager
     def _loading(self, table: str):

@@ -82,6 +82,8 @@ class Options:
         problems = []
         if self.url is not None and not self.is_jdbc and self.url.lower() != "catalog":
             problems.append(f"url must be 'catalog' or start with 'jdbc:', not {self.url!r}")
+        if not (self.num_partitions or "1").isdigit() or self.num_partitions == "0":
+            problems.append(f"numpartitions must be a positive number, not {self.num_partitions!r}")
         if self.is_jdbc:
             problems += self._login_problems()
         elif self.connection:

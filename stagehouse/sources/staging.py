@@ -55,12 +55,15 @@ def is_below(path: str, root: str) -> bool:
 
 @dataclass(frozen=True)
 class StagedDataset:
-    """Files of one export.  ``scan()`` reads them back in the format they were written in."""
+    """Files of one export.  ``scan()`` reads them back in the format they were written in.
+
+    ``rows`` is None for files that somebody else wrote.
+    """
 
     spark: SparkSession = field(repr=False, compare=False)
     path: str
     schema: T.StructType
-    rows: int
+    rows: int | None
     format: str = "parquet"
     options: Mapping[str, str] = field(default_factory=dict)
 

@@ -268,6 +268,15 @@ def test_bulk_load_by_the_database(database, orders, table, monkeypatch):
     assert drop == f"DROP TABLE {table}" and create.startswith(f"CREATE TABLE {table} (")
     assert copy.startswith(f'COPY INTO {table} ("o_orderkey", ') and database.area.base in copy
     assert len(database.area) == 0
+    ran.clear()
+    database.type_overrides = {}
+    staged = database.stage(orders)
+    assert database.copy_into(table, staged.path) == orders.count()
+    assert ran[0].endswith(f"FROM '{staged.path}'") and len(ran) == 1
+    turned = database.stage(orders.select(*reversed(orders.columns)))
+    assert database.copy_into(table, turned.path) == orders.count()
+    assert not ran[1].endswith(f"FROM '{turned.path}'")
+    assert len(database.area) == 2
 
 
 def test_bulk_unload_by_the_database(spark, database, orders, table, monkeypatch):

@@ -232,3 +232,16 @@ def test_bucketed_load_does_not_sort(spark, warehouse, orders, table):
     assert "Sort [" in spark.sql(load).first()[0]
     with warehouse._unsorted_buckets():
         assert "Sort [" not in spark.sql(load).first()[0]
+
+
+def test_copy_into_a_hash_table_reads_the_files_where_they_lie(warehouse, orders, table):
+    warehouse.create_table(table, orders.schema, Distribution.hash("o_custkey", buckets=4))
+    staged = warehouse.stage(orders.select(*reversed(orders.columns)))
+    known = set(warehouse.area)
+    seen = []
+    new_dir = warehouse.area.new_dir
+    warehouse.area.new_dir = lambda *a: seen.append(a) or new_dir(*a)
+    assert warehouse.copy_into(table, staged.path) == orders.count()
+    assert seen == [] and set(warehouse.area) == known
+    assert same_rows(warehouse.table(table), orders)
+    assert warehouse.entry(table).spread.rows == orders.count()

@@ -111,6 +111,12 @@ def test_login_groups(given, problem):
             options.check_read()
 
 
+def test_number_of_partitions():
+    for bad in ("0", "many", "-1"):
+        with pytest.raises(OptionError, match="numpartitions"):
+            Options.of({**LOGIN, "accesstoken": "a", "numPartitions": bad}).check_read()
+
+
 def test_secrets_are_not_printed():
     text = repr(Options.of({**LOGIN, "user": "u", "password": "hidden", "accesstoken": "secret"}))
     assert "hidden" not in text and "secret" not in text
