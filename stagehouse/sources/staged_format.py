@@ -7,9 +7,11 @@ partition per file, a large file in several; Arrow batches go to Spark as they a
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
@@ -21,6 +23,9 @@ _SCHEMA_KEY = b"org.apache.spark.sql.parquet.row.metadata"
 
 
 def register(spark: SparkSession) -> None:
+    """Make the short name known.  The classes travel with the plan, so workers need no copy of this
+    package."""
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(StagedFiles)
 
 

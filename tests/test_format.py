@@ -1,4 +1,6 @@
 import os
+import subprocess
+import sys
 
 import pytest
 from conftest import same_rows
@@ -58,3 +60,25 @@ def test_missing_or_empty_path(spark, tmp_path):
         spark.read.format("stagehouse").load()
     with pytest.raises(Exception, match="no staged files"):
         spark.read.format("stagehouse").load(str(tmp_path / "empty"))
+
+
+CODE = """
+import sys; sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+import stagehouse
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+area = stagehouse.StagingArea(spark, {folder!r})
+stagehouse.register(spark)
+path = area.new_dir()
+spark.range(100).write.mode("append").parquet(path)
+print("rows", spark.read.format("stagehouse").load("file:" + path).count())
+"""
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = CODE.format(root=root, folder=str(tmp_path / "s"))
+    done = subprocess.run(
+        [sys.executable, "-c", code], capture_output=True, text=True, timeout=120, cwd=tmp_path
+    )
+    assert "rows 100" in done.stdout, done.stderr[-2000:]
