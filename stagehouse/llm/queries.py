@@ -114,9 +114,9 @@ s AS (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3
   ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)])
   END) AS g FROM d),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-both AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (g)
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (g)
   WHERE a.doc_id <> b.doc_id GROUP BY ALL),
-link AS (SELECT a, b FROM both JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+link AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
   WHERE 100 * c >= 90 * (x.n + y.n - c)),
 reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, link.b FROM reach
   JOIN link ON link.a = reach.b),
