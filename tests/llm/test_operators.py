@@ -1,0 +1,407 @@
+"""Each operator against brute force, the tokenizers themselves, or held-out labels."""
+
+from __future__ import annotations
+
+import os
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as registry
+import corpus_pipeline
+from stagehouse.llm import (
+    best_fit,
+    credentials,
+    decontaminate,
+    jaccard,
+    language,
+    ordinal,
+    prefix_tokens,
+    queries,
+    tiers,
+    topk,
+    toxicity,
+)
+from stagehouse.llm.encoding import encoder, tokenizer_path
+from stagehouse.llm.features import remainder
+from stagehouse.llm.graph import components
+from stagehouse.llm.text import chunk_spans
+
+duckdb = pytest.importorskip("duckdb")
+tokenizers = pytest.importorskip("tokenizers")
+
+SMALL, SF = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
+ODD = [
+    "",
+    "  a  b\n\n c 'll I'll don't we've <|endoftext|>x end.",
+    "é́ à  b 日本語 😀",
+    "a" * 50 + " " * 30 + "b",
+    " \n \n",
+    "x\x1c!\x0b ?\x85y",
+    "The end. No.",
+]
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def table(spark, name, sf=SMALL):
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+@pytest.fixture(scope="module")
+def oracle():
+    connection = duckdb.connect()
+    for name in ("documents", "embeddings"):
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SMALL}/{name}.parquet'")
+    return connection
+
+
+@pytest.mark.parametrize("key", sorted(queries.SQL))
+def test_queries_against_sql(spark, oracle, key):
+    df = queries.QUERIES[key](spark, SMALL)
+    expected = oracle.execute(queries.SQL[key])
+    names = [c[0] for c in expected.description]
+    assert sorted(df.columns) == sorted(names)
+    assert Counter(rows(df.select(names))) == Counter(expected.fetchall())
+
+
+def test_registry_holds_every_query():
+    assert set(queries.QUERIES) | {"pipeline"} <= set(registry.queries())
+    assert {int(k[2:].split("_")[0]) for k in queries.QUERIES} == set(range(1, 11))
+
+
+# 1 -----------------------------------------------------------------------------------------------
+
+
+def brute_top(vectors, k, scale=256):
+    clean = {}
+    for i, v in vectors:
+        if i is None or not v or any(x is None or not np.isfinite(x) for x in v):
+            continue
+        q = [int(np.floor(scale * x)) for x in v]
+        clean[i] = min(clean.get(i, q), q)
+    out = set()
+    for i, q in clean.items():
+        if i % 2 == 0:
+            others = [
+                (-int(np.dot(q, o)), j) for j, o in clean.items() if j != i and len(o) == len(q)
+            ]
+            out |= {(i, r, j, -s) for r, (s, j) in enumerate(sorted(others)[:k], 1)}
+    return out
+
+
+def test_top_k_handles_odd_vectors(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BUCKET_VECTORS", 16)
+    monkeypatch.setattr(topk, "HEAD_VECTORS", 1)
+    random.seed(3)
+    vectors = [(i, [random.gauss(0, 1) * (1 + i % 7) for _ in range(4)]) for i in range(150)]
+    vectors += [(200 + i, [1.0, 0.0, 0.0, 0.0]) for i in range(40)]  # ties, one norm
+    vectors += [(300, None), (301, [1.0, None, 0.0, 0.0]), (302, [float("nan")] * 4)]
+    vectors += [(303, [float("inf"), 0.0, 0.0, 0.0]), (None, [1.0] * 4), (304, []), (306, [0.0] * 4)]
+    vectors += [(308, [0.5, 0.5]), (309, [0.25, -0.5]), (0, vectors[0][1])]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    assert set(rows(topk.top_k(df, F.expr("vec_id % 2 = 0"), k=3))) == brute_top(vectors, 3)
+    assert rows(topk.top_k(df.limit(0), F.expr("vec_id % 2 = 0"))) == []
+
+
+# 2 -----------------------------------------------------------------------------------------------
+
+
+def test_leaks_are_found_and_clean_texts_left(spark, documents):
+    random.seed(5)
+    word = lambda: "".join(random.choices("abcdefghij", k=random.randint(3, 9)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    items = [(i, text(n).capitalize() + ". " + text(5).capitalize() + ".") for i, n in
+             enumerate([8, 20, 40, 60, 150])]
+    docs = [(i, f"{text(70 * i)} {items[i][1].upper()} {text(30)}") for i in range(5)]
+    docs += [(10, text(500)), (11, ""), (12, None), (13, items[2][1] + " " + items[3][1])]
+    docs += [(13, items[2][1]), (14, " ".join(items[3][1].split()[:20]))]
+    benchmark = spark.createDataFrame(
+        [*items, (7, None), (8, ""), (9, "two words"), (None, "a b c d e f")],
+        "item_id long, text string",
+    )
+    frame = documents(*docs)
+    found = decontaminate.find_leaks(frame, benchmark)
+    pairs = {(r.doc_id, r.item_id) for r in found.collect()}
+    assert pairs == {(i, i) for i in range(5)} | {(13, 2), (13, 3)}
+    kept = decontaminate.drop_leaking(frame, benchmark)
+    assert kept.columns == frame.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [10, 11, 12, 14]
+    assert decontaminate.find_leaks(frame, benchmark.limit(0)).count() == 0
+    assert len(decontaminate.build_indexes(benchmark, part_bytes=400)) > 1
+
+
+# 3, 5, 8 -----------------------------------------------------------------------------------------
+
+
+def test_best_fit_rows_give_back_every_id(spark, documents):
+    texts = [*ODD, "word " * 3000, None]
+    frame = documents(*enumerate(texts)).repartition(2)
+    own = tokenizers.Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    got = defaultdict(dict)
+    for r in best_fit.pack_token_rows(frame, row_tokens=256).collect():
+        ids = np.frombuffer(r.ids, "<u2")
+        assert len(ids) == 256 and r.cu_seqlens[-1] == r.n_tokens <= 256
+        for a, b, doc, start in zip(r.cu_seqlens, r.cu_seqlens[1:], r.doc_ids, r.starts):
+            got[doc][start] = ids[a:b].tolist()
+        assert r.position_resets == r.starts
+    for i, t in enumerate(texts):
+        want = own.encode(t or "", add_special_tokens=False).ids + [50256]
+        assert sum((got[i][s] for s in sorted(got[i])), []) == want
+    assert best_fit.best_fit([5, 4, 3, 2, 1], 5) == [[0], [1, 4], [2, 3]]
+
+
+def test_tiers_are_full_and_whole(spark, documents):
+    random.seed(1)
+    for _ in range(60):
+        lengths = [int(random.paretovariate(0.7) * random.choice([3, 60, 300])) for _ in range(
+            random.choice([0, 1, 2, 50, 200]))]
+        seen = defaultdict(list)
+        for size, pieces in tiers.pack_tiers(lengths):
+            assert sum(n for *_, n in pieces) == size <= 4096 and size & (size - 1) == 0
+            for doc, start, n in pieces:
+                seen[doc].append((start, n))
+        for doc, n in enumerate(lengths):
+            at = 0
+            for start, k in sorted(seen[doc]):
+                assert start == at and k > 0
+                at += k
+            assert at == n
+    texts = [*ODD, "long words " * 3000, None]
+    own = tokenizers.Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    pieces = tiers.pack_documents(documents(*enumerate(texts))).collect()
+    for i, t in enumerate(texts):
+        ids = np.array(own.encode(t or "", add_special_tokens=False).ids + [2], "<u4")
+        mine = [r for r in pieces if r.doc_id == i]
+        assert sum(r.length for r in mine) == len(ids) == mine[0].doc_tokens
+        for r in mine:
+            assert r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())
+
+
+def test_prefix_counts(spark, documents):
+    path = tokenizer_path("byte_bpe_50k.json")
+    own = tokenizers.Tokenizer.from_file(path)
+    count = lambda t: len(own.encode(t, add_special_tokens=False).ids)
+    texts = [*ODD, *(r.text[:300] for r in table(spark, "documents").limit(5).collect()), None]
+    found = prefix_tokens.count_tokens(
+        documents(*enumerate(texts)), limit=9, keep_prefixes=True
+    ).collect()
+    assert [r.doc_id for r in found] == list(range(len(texts)))
+    for r, t in zip(found, texts):
+        t = t or ""
+        assert r.prefix_tokens == [count(t[:i]) for i in range(len(t) + 1)]
+        assert (r.n_tokens, r.n_bytes) == (count(t), len(t.encode()))
+        assert r.fit_chars == prefix_tokens.cut_at(r.prefix_tokens, 9)
+        assert r.over_limit == (r.n_tokens > 9) and r.lang == "en"
+
+
+def test_worker_starts_anew_when_full(monkeypatch):
+    from stagehouse.llm import encoding
+
+    monkeypatch.setattr(encoding, "KEPT_CHUNKS", 4)
+    mine = encoding.ChunkEncoder(tokenizer_path("byte_bpe_50k.json"), True)
+    for text in ("a b c d e f", "a g", "h i j", "a"):
+        data = np.frombuffer(text.encode(), np.uint8)
+        ids, _ = mine.encode(data, np.array([0, len(data)]))
+        assert ids.tolist() == mine.tokenizer.encode(text, add_special_tokens=False).ids
+    assert encoder(tokenizer_path("byte_bpe_50k.json"), False) is not None
+    assert chunk_spans(np.zeros(0, np.uint8), np.array([0, 0]))[0].size == 0
+
+
+# 4 -----------------------------------------------------------------------------------------------
+
+
+def test_credentials(spark, documents):
+    key = "AKIA" + "ABCDEFGH12345678"
+    mixed = "aB3" * 12
+    texts = [
+        f"é😀 password = 'hunter22' and {key}",
+        f"{key} x {mixed} https://h.example.com/p",
+        f"{mixed} alone, https://h.example.com/p far" + " " * 300 + "user: bob",
+        "token: ab user: bob",
+        "secret=token:abcdefgh",
+        "f" * 24 + " " + "0" * 23,
+        None,
+        "",
+    ]
+    docs = documents(*enumerate(texts), (0, texts[0]))
+    found = {r.doc_id: r for r in credentials.credential_spans(docs).collect()}
+    assert credentials.credential_spans(docs).count() == len(texts) + 1
+    assert found[0].spans == "assign:3:23,access:29:49" and found[0].n_assign == 1
+    assert found[1].spans == "access:0:20,weak_secret:23:59,endpoint:60:83"
+    assert found[2].spans == "weak_secret:0:36"  # an endpoint is near, an account is not
+    assert found[3].spans == "weak_assign:0:9,weak_access:10:19"
+    assert found[4].spans == "" and found[5].spans == "hex:0:24"
+    assert found[6].spans == found[7].spans == ""
+    clean = {r.doc_id: r for r in credentials.redact(docs).collect()}
+    assert clean[0].text == "é😀 [SECRET]' and [SECRET]" and clean[0].n_chars == len(clean[0].text)
+    assert clean[3].text == "[SECRET] [SECRET]"
+    assert clean[4].text == texts[4] and clean[6].text is None
+    assert credentials.redact(docs).columns == docs.columns
+
+
+# 6, 7, 10 ----------------------------------------------------------------------------------------
+
+
+def test_quality_on_held_out_rows(spark):
+    found = queries.op6_ordinal_quality(spark, SF).join(table(spark, "labels", SF), "doc_id")
+    held = found.where(remainder("doc_id", 4) == 2).collect()
+    assert np.mean([(r.quality == 1) == r.selected for r in held]) > 0.9
+    assert all(0 <= r.expected_grade <= 2 for r in held)
+    model = ordinal.fit_ordinal(
+        np.arange(90), np.repeat([1, 2, 3], 30), np.ones(90), np.repeat([0, 1, 2], 30)
+    )
+    assert model.thresholds[0] < model.thresholds[1]
+    assert model.weights[1] < model.weights[2] < model.weights[3]
+
+
+def test_language_on_held_out_rows(spark, documents):
+    found = queries.op7_hyperdimensional_language(spark, SF).join(
+        table(spark, "documents", SF).select("doc_id", "lang"), "doc_id"
+    )
+    held = found.where("held_out").collect()
+    assert np.mean([r.lang == r.lang_pred for r in held]) > 0.98
+    odd = documents((1, None), (2, ""), (3, "123 !!"), (None, "wort"), (4, "字 😀"))
+    prototypes = language.learn_prototypes(documents((1, "the thing"), (2, "the other thing")))
+    out = language.identify(odd, prototypes).collect()
+    assert [r.lang_pred for r in out] == ["und", "und", "und", "en", "en"]
+    assert all(0 <= r.score <= 1 for r in out)
+    assert {r.lang_pred for r in language.identify(odd, {}).collect()} == {"und"}
+
+
+def test_toxicity_on_held_out_rows(spark, documents):
+    found = queries.op10_weak_toxicity(spark, "/root/testdata/sf0.1").join(
+        table(spark, "labels", "/root/testdata/sf0.1"), "doc_id"
+    )
+    held = [r for r in found.collect() if r.held_out]
+    caught = np.mean([r.predicted for r in held if r.toxic])
+    false = np.mean([r.predicted for r in held if not r.toxic])
+    assert caught > 0.75 and false < 0.04
+    docs, labels = documents((1, None), (2, "x")), spark.createDataFrame([], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert [r.predicted for r in toxicity.score_toxicity(docs, model).collect()] == [0, 0]
+    assert toxicity.drop_toxic(docs, labels).columns == docs.columns
+
+
+def test_label_model_prefers_reliable_voters():
+    random = np.random.default_rng(1)
+    truth = random.random(4000) < 0.2
+    fires = lambda p, q: np.where(truth, random.random(4000) < p, random.random(4000) < q)
+    votes = np.stack([fires(0.7, 0.01), fires(0.5, 0.02), fires(0.5, 0.3)], axis=1).astype(float)
+    votes = np.column_stack([votes, votes[:, 1]])  # a voter that repeats another
+    model = toxicity.fit_label_model(votes, np.where(votes.sum(1) > 1, 0.9, 0.05))
+    assert model.posterior(np.eye(4))[0] > model.posterior(np.eye(4))[2]
+    twice = model.posterior(np.array([[0, 1.0, 0, 1.0]]))[0]
+    assert twice == pytest.approx(model.posterior(np.array([[0, 1.0, 0, 0]]))[0], abs=0.1)
+
+
+# 9 -----------------------------------------------------------------------------------------------
+
+
+def brute_classes(docs, n, percent):
+    sets = {}
+    for i, t in docs:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        s = frozenset(tuple(w[j : j + n]) for j in range(len(w) - n + 1))
+        sets.setdefault(s or (frozenset([tuple(w)]) if w else frozenset()), []).append(i)
+    keys = [k for k in sets if k]
+    root = list(range(len(keys)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(keys)):
+        for b in range(a):
+            both = len(keys[a] & keys[b])
+            if 100 * both >= percent * (len(keys[a]) + len(keys[b]) - both):
+                root[find(a)] = find(b)
+    least = {}
+    for a, k in enumerate(keys):
+        least[find(a)] = min(least.get(find(a), 10**9), *sets[k])
+    out = {i: (0, i) for i in sets.get(frozenset(), ())}
+    for a, k in enumerate(keys):
+        out |= {i: (len(k), least[find(a)]) for i in sets[k]}
+    return out
+
+
+@pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80)])
+def test_similarity_classes(spark, documents, monkeypatch, n, percent):
+    """Near copies of a hot text, a passage many texts share, chains, copies, odd texts."""
+    monkeypatch.setattr(jaccard, "SMALL_BUCKET", 6)
+    monkeypatch.setattr(jaccard, "BLOCK_MEMBERS", 8)
+    random.seed(7)
+    word = lambda: "".join(random.choices("abcdefghij", k=4))
+    base = [word() for _ in range(130)]
+    passage = [word() for _ in range(60)]
+    texts = [*ODD, " ".join(base), "One", "one", "a b", "A B"]
+    for _ in range(60):
+        near = list(base)
+        for _ in range(random.choice([0, 1, 1, 2, 3, 5])):
+            near[random.randrange(130)] = word()
+        texts.append(" ".join(near))
+    for _ in range(40):
+        texts.append(" ".join([*(word() for _ in range(random.randint(0, 60))), *passage]))
+    chain = [word() for _ in range(200)]
+    for k in range(0, 60, 6):
+        texts.append(" ".join([*chain[k:], *(word() for _ in range(k))]))
+    docs = [(i * 3 % 1009, t) for i, t in enumerate([*texts, None])]
+    frame = documents(*docs)
+    found = {r[0]: r[1:] for r in rows(
+        jaccard.similarity_classes(frame, words=n, percent=percent))}
+    assert found == brute_classes(docs, n, percent)
+    kept = jaccard.one_per_class(frame, words=n, percent=percent)
+    assert {r.doc_id for r in kept.collect()} == {
+        i for i, (size, least) in found.items() if i == least or not size
+    }
+    assert kept.columns == frame.columns
+
+
+def test_components(spark):
+    random.seed(2)
+    edges = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 140)] + [(7, 7)]
+    random.shuffle(edges)
+    found = dict(rows(components(spark.createDataFrame(edges, "a long, b long"))))
+    assert found == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 140)}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# pipeline ----------------------------------------------------------------------------------------
+
+
+def test_pipeline_stages(spark):
+    assert [name for name, _ in corpus_pipeline.STAGES][-1] == "packing"
+    docs = table(spark, "documents")
+    columns = docs.columns
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, SMALL)
+        assert after.columns == columns
+        before = docs.count()
+        docs = after
+        assert 0.5 * before < docs.count() <= before
+    pieces = corpus_pipeline.run(spark, SMALL)
+    assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} <= {
+        r.doc_id for r in table(spark, "documents").collect()
+    }
+    assert os.path.exists(corpus_pipeline.__file__)
+
+
+def test_empty_tables(spark, documents):
+    none = documents((1, "x")).where("false")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert jaccard.similarity_classes(none).count() == 0
+    assert tiers.pack_documents(none).count() == 0
+    assert best_fit.pack_token_rows(none).count() == 0
+    assert credentials.credential_spans(none).count() == 0
+    assert toxicity.drop_toxic(none, labels).count() == 0
+    assert prefix_tokens.count_tokens(none).count() == 0
+    model = ordinal.fit(none, labels.selectExpr("doc_id", "quality AS grade"))
+    assert ordinal.grade_documents(documents((1, "x")), model, 0).count() == 1
