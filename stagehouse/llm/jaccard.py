@@ -10,10 +10,13 @@ small for that, and huge ones with too many pairs, index single shingles; sizes
 do both, so that any two sets that may be linked have one way in common.
 
 Equal sets are one node.  Nodes under one signature form a bucket.  No bucket is expanded into
-pairs: its members are compared with a hub (the member with the fewest rare shingles, which
-is the text that near copies came from), and only those that are not linked to the hub are compared with
-the others: pairwise in small buckets, block by block in large ones.  Every comparison is exact.  So all
-links between different texts count for the components, though not each is listed.
+pairs: its members are compared with a hub, the member with the fewest rare shingles (the text
+that near copies came from), and only those not linked to it are compared with the others:
+pairwise in small buckets, block by block in large ones.  Each is compared with its likeliest partner
+first, then with those it is not connected with yet.  A comparison looks at parities first: bit i tells whether a
+set has an odd number of shingles in slot i, so two sets differ by at least as many shingles as
+their parities by bits.  What may still be similar is decided on the whole sets.  So every link between
+different texts counts for the components, though not each is listed.
 
 Words are runs of anything but blank, tab and line ends; A-Z are lower-cased.  A text with fewer
 words than a shingle is one shingle; null texts and texts without words are empty and linked with
@@ -33,11 +36,14 @@ from stagehouse.llm.graph import components
 from stagehouse.llm.storage import map_batches, ship_package, written
 from stagehouse.llm.text import mix, rows_of, span_hashes, text_slices, word_spans
 
-SLOT_BITS = 18
+SLOT_BITS = 19
 FILTER_BITS = 20
 GROUPS = 64
 LEAST_PAIRED, MOST_PAIRED = 80, 50_000
 SMALL_BUCKET, BLOCK_MEMBERS = 32, 256
+LEAST_PARITY_BITS = 1024
+#: Rounds in which only likeliest partners are compared, before all that are left are.
+ROUNDS = 2
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _PAIR = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -56,8 +62,9 @@ def shingle_sets(data: np.ndarray, bounds: np.ndarray, n: int):
         out[more] = mix(out[more] * _STEP + words[more + k])
     keep = (left >= n) | (place == 0)
     rows, out = rows[keep], out[keep]
-    order = np.lexsort((out, rows))
-    rows, out = rows[order], out[order]
+    cut = np.searchsorted(rows, np.arange(len(bounds)))
+    for a, b in zip(cut[:-1], cut[1:], strict=True):
+        out[a:b].sort()
     fresh = np.ones(len(out), bool)
     fresh[1:] = (rows[1:] != rows[:-1]) | (out[1:] != out[:-1])
     rows, out = rows[fresh], out[fresh]
@@ -114,7 +121,7 @@ def frequent_slots(summary: DataFrame) -> np.ndarray:
     out = np.zeros(1 << SLOT_BITS, np.int64)
     out[found["slot"].to_numpy()] = found["total"].to_numpy()
     mean = out.mean()
-    out[out <= mean + 8 * np.sqrt(mean) + 50] = 0
+    out[out <= mean + 5 * np.sqrt(mean) + 8] = 0
     return out
 
 
@@ -178,35 +185,54 @@ def signatures(docs: DataFrame, frequent: np.ndarray, n: int, percent: int) -> D
     return map_batches(docs.select("text"), rows, "sig long, key long, n int, rare int")
 
 
-def sets_of(docs: DataFrame, keys: DataFrame, n: int) -> DataFrame:
-    """(key, shingles) of the documents whose key is in ``keys``, each once.  A bit per slot of
-    keys (2^FILTER_BITS bits) spares most other sets the way through the shuffle."""
+def _bits(keys: DataFrame) -> np.ndarray:
+    """A bit per slot of keys, 2^FILTER_BITS of them: which sets may be wanted."""
     slots = keys.select(F.expr(f"shiftrightunsigned(key, {64 - FILTER_BITS})").alias("slot"))
-    found = slots.distinct().toArrow()["slot"].to_numpy()  # 2^FILTER_BITS numbers at most
-    wanted = np.zeros(1 << FILTER_BITS, bool)
-    wanted[found] = True
-    wanted = docs.sparkSession.sparkContext.broadcast(np.packbits(wanted))
+    out = np.zeros(1 << FILTER_BITS, bool)
+    out[slots.distinct().toArrow()["slot"].to_numpy()] = True
+    return np.packbits(out)
+
+
+def _has_bit(packed: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    slot = _slot(keys.view(np.uint64), FILTER_BITS)
+    return (packed[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 > 0
+
+
+def parity_of(shingles: np.ndarray) -> bytes:
+    """One bit per slot; at least as many slots as shingles, so that large sets differ visibly."""
+    bits = max(LEAST_PARITY_BITS, 1 << (len(shingles) - 1).bit_length())
+    slots = np.bincount((shingles % np.uint64(bits)).astype(np.int64), minlength=bits)
+    return np.packbits(slots & 1).tobytes()
+
+
+def folded(parity: bytes, size: int) -> np.ndarray:
+    """The same parity over fewer slots, ``size`` bytes."""
+    return np.bitwise_xor.reduce(np.frombuffer(parity, np.uint8).reshape(-1, size), axis=0)
+
+
+def parity_difference(a: bytes, b: bytes) -> int:
+    size = min(len(a), len(b))
+    return int(np.bitwise_count(folded(a, size) ^ folded(b, size)).sum())
+
+
+def candidate_sets(docs: DataFrame, keys: DataFrame, n: int) -> DataFrame:
+    """(key, parity, shingles) of the documents whose key may be in ``keys``; copies once per slice."""
+    wanted = docs.sparkSession.sparkContext.broadcast(_bits(keys))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(wanted.value).astype(bool)
         for _, data, bounds in text_slices(batches):
             cut, shingles = shingle_sets(data, bounds, n)
             keys = set_keys(cut, shingles)
-            pick = np.flatnonzero(
-                (np.diff(cut) > 0) & bits[_slot(keys.view(np.uint64), FILTER_BITS)]
-            )
+            pick = np.flatnonzero((np.diff(cut) > 0) & _has_bit(wanted.value, keys))
             pick = pick[np.unique(keys[pick], return_index=True)[1]]
+            found = [shingles[cut[i] : cut[i + 1]] for i in pick]
             yield _record(
                 key=pa.array(keys[pick]),
-                shingles=pa.array(
-                    [shingles[cut[i] : cut[i + 1]].tobytes() for i in pick], pa.binary()
-                ),
+                parity=pa.array([parity_of(f) for f in found], pa.binary()),
+                shingles=pa.array([f.tobytes() for f in found], pa.binary()),
             )
 
-    made = map_batches(docs.select("text"), rows, "key long, shingles binary")
-    return made.join(keys, "key", "left_semi").groupBy("key").agg(
-        F.min("shingles").alias("shingles")
-    )
+    return map_batches(docs.select("text"), rows, "key long, parity binary, shingles binary")
 
 
 def _set(raw: bytes) -> np.ndarray:
@@ -218,89 +244,114 @@ def is_linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def _differ_at_most(sizes, percent: int):
+    """The most shingles by which two linked sets of these sizes together can differ."""
+    return sizes * (100 - percent) // (100 + percent)
+
+
+def _side(sets: DataFrame, column: str, key: str, value: str) -> DataFrame:
+    once = sets.groupBy("key").agg(F.min(column).alias(value))
+    return once.select(F.col("key").alias(key), value)
+
+
+def likely(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``pairs`` (a, b, sizes) whose parities allow a link, as (a, b, differ)."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = zip(batch.column(3), batch.column(4), strict=True)
+            differ = np.array([parity_difference(a.as_py(), b.as_py()) for a, b in sides], int)
+            keep = differ <= _differ_at_most(batch.column(2).to_numpy(), percent)
+            found = _record(a=batch.column(0), b=batch.column(1), differ=pa.array(differ))
+            yield found.filter(pa.array(keep))
+
+    both = pairs.join(_side(sets, "parity", "a", "left"), "a").join(
+        _side(sets, "parity", "b", "right"), "b"
+    )
+    return map_batches(
+        both.select("a", "b", F.col("sizes").cast("long"), "left", "right"),
+        rows,
+        "a long, b long, differ long",
+    )
+
+
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The rows of ``pairs`` (a, b) whose sets are similar."""
+    """The rows of ``pairs`` (a, b) whose sets are similar.  Only sets that they name are moved."""
+    pairs = written(pairs.distinct(), "pairs")
+    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b"))
+    wanted = pairs.sparkSession.sparkContext.broadcast(_bits(keys))
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = _has_bit(wanted.value, np.asarray(batch.column(0), np.int64))
+            yield batch.filter(pa.array(keep))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = [
-                is_linked(_set(a), _set(b), percent)
-                for a, b in zip(
-                    batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True
-                )
+                is_linked(_set(a.as_py()), _set(b.as_py()), percent)
+                for a, b in zip(batch.column(2), batch.column(3), strict=True)
             ]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    left = sets.select(F.col("key").alias("a"), F.col("shingles").alias("left"))
-    right = sets.select(F.col("key").alias("b"), F.col("shingles").alias("right"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return map_batches(both, rows, "a long, b long")
+    some = map_batches(sets.select("key", "shingles"), named, "key long, shingles binary")
+    both = pairs.join(_side(some, "shingles", "a", "left"), "a").join(
+        _side(some, "shingles", "b", "right"), "b"
+    )
+    return map_batches(both.select("a", "b", "left", "right"), rows, "a long, b long")
 
 
 def _sizes_fit(a: str, b: str, percent: int) -> str:
     return f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})"
 
 
-def block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links in large buckets.  ``members`` (sig, key, n, odd, size): each bucket is cut into
-    blocks of about BLOCK_MEMBERS; every block is compared with every block of odd members, a pair of
-    blocks being one group.  A group gives at most one link per member and pass, a forest."""
-    block = F.pmod(F.xxhash64("key"), F.ceil(F.col("size") / BLOCK_MEMBERS)).cast("int")
-    cut = members.join(sets, "key").withColumn("block", block)
-    every = F.expr(f"explode(sequence(0, cast(ceil(size / {BLOCK_MEMBERS}) AS int) - 1))")
-    odd_of = F.expr(f"explode(sequence(0, cast(ceil(n_odd / {BLOCK_MEMBERS}) AS int) - 1))")
-    odd_block = F.pmod(F.xxhash64("key"), F.ceil(F.col("n_odd") / BLOCK_MEMBERS)).cast("int")
-    columns = ["sig", "row", "column", "key", "shingles", "is_odd"]
-    one = cut.select(
-        "sig", F.col("block").alias("row"), odd_of.alias("column"), "key", "shingles",
-        F.lit(False).alias("is_odd"),
-    )
-    other = cut.where("odd").select(
-        "sig", every.alias("row"), odd_block.alias("column"), "key", "shingles",
-        F.lit(True).alias("is_odd"),
-    )
+def block_pairs(members: DataFrame, sets: DataFrame, percent: int, best_only: bool) -> DataFrame:
+    """(a, b) in large buckets whose parities allow a link and whose ``root`` differs.  ``members``
+    (sig, key, n, odd, size, n_odd, root): each bucket is cut into blocks of about BLOCK_MEMBERS;
+    every block meets every block of odd members, each pair of blocks being one group.  With
+    ``best_only`` an odd member gives its likeliest partner of the block."""
 
-    def links(group: pa.Table) -> pa.Table:
-        keys = np.array(group["key"])
-        odd = np.array(group["is_odd"])
-        arrays = [_set(x) for x in group["shingles"].to_pylist()]
-        size = np.array([len(x) for x in arrays])
-        values, place = np.unique(np.concatenate(arrays), return_inverse=True)
-        owner = np.repeat(np.arange(len(arrays)), size)
-        left = {i: k for k, i in enumerate(np.flatnonzero(~odd))}
-        right = np.flatnonzero(odd)
-        both = np.zeros((len(right), len(left)), np.int64)
-        at = np.full(len(arrays), -1)
-        at[list(left)] = list(left.values())
-        for low in range(0, len(values), 4096):  # shared shingles, in bounded parts
-            inside = (place >= low) & (place < low + 4096)
-            hot = np.zeros((len(arrays), 4096), np.float32)
-            hot[owner[inside], place[inside] - low] = 1
-            both += np.rint(hot[right] @ hot[~odd].T).astype(np.int64)
-        union = size[right][:, None] + size[~odd][None, :] - both
-        similar = (100 * both >= percent * union) & (
-            keys[right][:, None] != keys[~odd][None, :]
-        )
-        root = {int(k): int(k) for k in keys}
+    def block(size: str) -> str:
+        return f"cast(pmod(xxhash64(key), ceil({size} / {BLOCK_MEMBERS})) AS int)"
 
-        def find(x: int) -> int:
-            while root[x] != x:
-                root[x] = root[root[x]]
-                x = root[x]
-            return x
+    def blocks(size: str) -> str:
+        return f"explode(sequence(0, cast(ceil({size} / {BLOCK_MEMBERS}) AS int) - 1))"
 
+    cut = members.join(
+        sets.groupBy("key").agg(F.min("parity").alias("parity")), "key"
+    )
+    rest = ["key", "n", "root", "parity"]
+    one = cut.selectExpr(
+        "sig", f"{block('size')} AS r", f"{blocks('n_odd')} AS c", *rest, "false AS is_odd"
+    )
+    other = cut.where("odd").selectExpr(
+        "sig", f"{blocks('size')} AS r", f"{block('n_odd')} AS c", *rest, "true AS is_odd"
+    )
+
+    def pairs(group: pa.Table) -> pa.Table:
+        keys, n, root, odd = (np.array(group[c]) for c in ("key", "n", "root", "is_odd"))
+        parity = group["parity"].to_pylist()
+        least = min(map(len, parity))
+        parity = np.stack([folded(p, least) for p in parity]).view(np.uint64)
+        left, right = np.flatnonzero(~odd), np.flatnonzero(odd)
         a, b = [], []
-        for i, j in zip(*np.nonzero(similar), strict=True):
-            x, y = int(keys[right[i]]), int(keys[~odd][j])
-            if find(x) != find(y):
-                root[find(x)] = find(y)
-                a.append(x)
-                b.append(y)
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        for i in right:
+            differ = np.bitwise_count(parity[left] ^ parity[i]).sum(1, dtype=np.int64)
+            may = (
+                (differ <= _differ_at_most(n[left].astype(np.int64) + n[i], percent))
+                & (100 * np.minimum(n[left], n[i]) >= percent * np.maximum(n[left], n[i]))
+                & (root[left] != root[i])
+            )
+            found = left[may]
+            if best_only and len(found):
+                found = found[[np.argmin(differ[may])]]
+            a.append(np.minimum(keys[found], keys[i]))
+            b.append(np.maximum(keys[found], keys[i]))
+        none = [np.zeros(0, np.int64)]
+        return pa.table({"a": np.concatenate(a or none), "b": np.concatenate(b or none)})
 
     ship_package(members.sparkSession)
-    both = one.select(columns).union(other.select(columns))
-    return both.groupBy("sig", "row", "column").applyInArrow(links, "a long, b long")
+    return one.union(other).groupBy("sig", "r", "c").applyInArrow(pairs, "a long, b long")
 
 
 def set_links(docs: DataFrame, frequent: np.ndarray, n: int, percent: int) -> DataFrame:
@@ -322,39 +373,74 @@ def set_links(docs: DataFrame, frequent: np.ndarray, n: int, percent: int) -> Da
         .select("sig", "key", "n", F.col("hub.key").alias("hub"), F.col("hub.n").alias("hub_n")),
         "members",
     )
-    sets = written(sets_of(docs, members.select("key").distinct(), n), "sets")
+    sets = written(candidate_sets(docs, members, n), "sets")
     to_hub = (
         members.where(f"key <> hub AND {_sizes_fit('n', 'hub_n', percent)}")
-        .select(F.col("key").alias("a"), F.col("hub").alias("b"))
+        .selectExpr("key AS a", "hub AS b", "n + hub_n AS sizes")
         .distinct()
     )
-    stars = written(linked(to_hub, sets, percent), "stars")
-    with_core = members.join(
-        stars.select(F.col("a").alias("key"), F.col("b").alias("hub"), F.lit(True).alias("core")),
-        ["key", "hub"],
-        "left",
-    ).withColumn("odd", F.col("core").isNull() & (F.col("key") != F.col("hub")))
-    sizes = with_core.groupBy("sig").agg(
+    to_hub = written(likely(to_hub, sets, percent), "to_hub")
+    links = _connect(written(to_hub.select("a", "b").limit(0), "links"), to_hub, sets, percent)
+    roots = components(links)
+    rooted = _with_root(_with_root(members, roots, "key", "root"), roots, "hub", "hub_root")
+    rooted = rooted.withColumn("odd", F.col("root") != F.col("hub_root"))
+    sizes = rooted.groupBy("sig").agg(
         F.count("*").alias("size"), F.sum(F.col("odd").cast("int")).alias("n_odd")
     )
     mixed = written(
-        with_core.where("key <> hub")
+        rooted.where("key <> hub")
         .join(sizes.where("n_odd > 0 AND size > 2"), "sig")
-        .select("sig", "key", "n", "odd", "size", "n_odd"),
+        .select("sig", "key", "n", "odd", "size", "n_odd", "root"),
         "mixed",
     )
     small = mixed.where(f"size <= {SMALL_BUCKET}")
-    left = small.where("odd").select("sig", F.col("key").alias("a"), F.col("n").alias("n_a"))
-    right = small.select("sig", F.col("key").alias("b"), F.col("n").alias("n_b"), "odd")
+    left = small.where("odd").selectExpr("sig", "key AS a", "n AS n_a", "root AS root_a")
+    right = small.selectExpr("sig", "key AS b", "n AS n_b", "root AS root_b", "odd")
     pairs = (
         left.join(right, "sig")
-        .where(f"a <> b AND (NOT odd OR a < b) AND {_sizes_fit('n_a', 'n_b', percent)}")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .where("root_a <> root_b AND (NOT odd OR a < b)")
+        .where(_sizes_fit("n_a", "n_b", percent))
+        .selectExpr("least(a, b) AS a", "greatest(a, b) AS b", "n_a + n_b AS sizes")
         .distinct()
     )
-    others = linked(pairs, sets, percent)
-    blocks = block_links(mixed.where(f"size > {SMALL_BUCKET}"), sets, percent)
-    return stars.union(others).union(blocks)
+    large = mixed.where(f"size > {SMALL_BUCKET}")
+    links = _connect(links, written(likely(pairs, sets, percent), "likely"), sets, percent)
+    if large.isEmpty():
+        return links
+    for best_only in [True] * ROUNDS + [False]:
+        rooted = _with_root(large.drop("root"), components(links), "key", "root")
+        pairs = written(block_pairs(rooted, sets, percent, best_only).distinct(), "blocks")
+        if pairs.isEmpty():
+            break
+        links = written(links.union(linked(pairs, sets, percent)), "links")
+    return links
+
+
+def _connect(links: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``links`` and those of ``pairs`` (a, b, differ).  Each node's likeliest partner in another
+    component is looked at first, for some rounds that join components; then all pairs still apart."""
+    for best_only in [True] * ROUNDS + [False]:
+        apart = _apart(pairs, components(links))
+        if best_only:
+            apart = apart.groupBy("a").agg(F.min_by("b", F.struct("differ", "b")).alias("b"))
+        apart = written(apart.select("a", "b"), "apart")
+        if apart.isEmpty():
+            break
+        links = written(links.union(linked(apart, sets, percent)), "links")
+    return links
+
+
+def _with_root(rows: DataFrame, roots: DataFrame, key: str, name: str) -> DataFrame:
+    """``rows`` with the component of ``key``; a node without links is its own."""
+    roots = roots.select(F.col("node").alias(key), F.col("root").alias("found"))
+    joined = rows.join(roots, key, "left")
+    return joined.withColumn(name, F.coalesce("found", key)).drop("found")
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components."""
+    both = _with_root(_with_root(pairs, roots, "a", "root_a"), roots, "b", "root_b")
+    return both.where("root_a <> root_b")
 
 
 def similarity_classes(
