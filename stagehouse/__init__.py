@@ -4,7 +4,7 @@ from stagehouse.errors import LoadError, OptionError, SchemaError, StagedTransfe
 from stagehouse.functions import conform, ddl_for
 from stagehouse.operators import CatalogWarehouse, Distribution, JdbcWarehouse
 from stagehouse.options import Options, open_warehouse, read, write
-from stagehouse.sources import StagedDataset, StagingArea, register
+from stagehouse.sources import StagedDataset, StagingArea
 
 __all__ = [
     "CatalogWarehouse",
@@ -21,6 +21,5 @@ __all__ = [
     "ddl_for",
     "open_warehouse",
     "read",
-    "register",
     "write",
 ]

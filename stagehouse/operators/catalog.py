@@ -6,6 +6,7 @@ import json
 import logging
 import math
 import re
+import threading
 import uuid
 from collections.abc import Mapping
 from contextlib import contextmanager
@@ -41,6 +42,7 @@ from stagehouse.sources.staging import (
 log = logging.getLogger(__name__)
 
 _PLAIN = re.compile(r"\w+", re.ASCII)
+_WRITER_SETTING = threading.Lock()
 _SPREAD = ("largest_bucket", "rows", "staged_bytes")  # table properties
 BROADCAST_BYTES = 64 << 20
 
@@ -372,12 +374,13 @@ class CatalogWarehouse(Warehouse):
         """Spark sorts every task of a bucketed write by bucket, unless writers may stay open side by
         side.  Our tasks hold one bucket each, so one writer does, and nothing is sorted or spilled."""
         key = "spark.sql.maxConcurrentOutputFileWriters"
-        before = self.spark.conf.get(key)
-        self.spark.conf.set(key, str(max(1, int(before))))
-        try:
-            yield
-        finally:
-            self.spark.conf.set(key, before)
+        with _WRITER_SETTING:  # one thread at a time, else another restores the wrong value
+            before = self.spark.conf.get(key)
+            self.spark.conf.set(key, str(max(1, int(before))))
+            try:
+                yield
+            finally:
+                self.spark.conf.set(key, before)
 
     def _set_spread(self, table: str, spread: BucketSpread) -> None:
         kept = zip(_SPREAD, (spread.largest_rows, spread.rows, spread.staged_bytes))

@@ -14,9 +14,7 @@ from stagehouse.errors import OptionError, SchemaError
 from stagehouse.functions.casts import column_of, find_field
 from stagehouse.functions.ddl import quote_column
 
-# One clause of a layout text: words, with at most one parenthesised list.
-_CLAUSE = re.compile(r"(?:[^,()]|\([^()]*\))+")
-_HASH = re.compile(r"(?:DISTRIBUTION\s*=\s*)?HASH\s*\(([^()]*)\)", re.IGNORECASE)
+_HASH = re.compile(r"(?:DISTRIBUTION\s*=\s*)?HASH\s*\((.*)\)", re.IGNORECASE | re.DOTALL)
 _WORD = re.compile(r"(?:DISTRIBUTION\s*=\s*)?(ROUND_ROBIN|REPLICATE)", re.IGNORECASE)
 
 MIN_BUCKETS, MAX_BUCKETS = 8, 65536
@@ -64,10 +62,10 @@ class Distribution:
     def parse(cls, text: str | None) -> "Distribution":
         """Read a layout text such as ``HEAP, DISTRIBUTION = HASH([o_custkey])``."""
         found, other = None, []
-        for clause in (c.strip() for c in _CLAUSE.findall(text or "")):
+        for clause in split_list(text or ""):
             hashed, word = _HASH.fullmatch(clause), _WORD.fullmatch(clause)
             if hashed:
-                names = tuple(_bare(c) for c in hashed.group(1).split(","))
+                names = tuple(_bare(c) for c in split_list(hashed.group(1), keep_empty=True))
                 if not all(names):
                     raise OptionError(f"empty column name in {clause!r}")
                 layout = cls.hash(*names)
@@ -118,6 +116,29 @@ class Distribution:
         return replace(self, buckets=min(max(count, MIN_BUCKETS), MAX_BUCKETS))
 
 
+def split_list(text: str, keep_empty: bool = False) -> list[str]:
+    """The parts of a list between commas that stand in no parentheses, brackets or quotes."""
+    closing, inside, parts, start = {"(": ")", "[": "]"}, [], [], 0
+    for at, letter in enumerate(text):
+        if inside and inside[-1] not in ")":
+            if letter == inside[-1]:
+                inside.pop()
+        elif letter in closing:
+            inside.append(closing[letter])
+        elif letter in "\"'`":
+            inside.append(letter)
+        elif letter in ")]":
+            if not inside or inside.pop() != letter:
+                raise OptionError(f"unbalanced {letter} in {text!r}")
+        elif letter == "," and not inside:
+            parts.append(text[start:at])
+            start = at + 1
+    if inside:
+        raise OptionError(f"{inside[-1]} is missing in {text!r}")
+    parts = [p.strip() for p in [*parts, text[start:]]]
+    return parts if keep_empty else [p for p in parts if p]
+
+
 def _bare(name: str) -> str:
     name = name.strip()
     for left, right in (("[", "]"), ('"', '"'), ("`", "`")):

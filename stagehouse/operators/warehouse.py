@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from stagehouse.errors import LoadError, OptionError, SchemaError
-from stagehouse.functions.casts import conform, fit
+from stagehouse.functions.casts import column_of, conform, find_field, fit
 from stagehouse.functions.names import is_name
 from stagehouse.operators.layout import Distribution
 from stagehouse.sources.staging import StagedDataset, StagingArea, directory_bytes, stage
@@ -220,14 +220,42 @@ class Warehouse(ABC):
         if not self.exists(table):
             raise OptionError(f"table {table} does not exist")
         spark_format, options = self._format(file_format)
-        reader = self.spark.read.format(spark_format).options(**options)
-        if spark_format in _SCHEMALESS:
-            reader = reader.schema(self.schema_of(table))
         with self._loading(table):
-            df = reader.load(path)
+            df = self._foreign(path, spark_format, options, self.schema_of(table), match, table)
             files = StagedDataset(self.spark, path, df.schema, None, spark_format, options)
             return self._append(df, table, match, files)
 
+    def _foreign(self, path, spark_format, options, target, match, table) -> DataFrame:
+        """Files that somebody else wrote, with nothing lost or moved.  Columnar files may differ:
+        their footers are merged.  Text formats fail on a malformed record unless the format's
+        options name another mode.  A CSV header decides by name; every file must have the same.
+        JSON names are looked up in all files first."""
+        named = {k.lower() for k in options}
+        reader = self.spark.read.format(spark_format).options(**options)
+        if spark_format not in _SCHEMALESS:
+            return (reader if "mergeschema" in named else reader.option("mergeSchema", True)).load(
+                path
+            )
+        if "mode" not in named:
+            reader = reader.option("mode", "FAILFAST")
+        if spark_format == "csv" and match == "name":
+            header = next((v for k, v in options.items() if k.lower() == "header"), "false")
+            if str(header).lower() != "true":
+                raise OptionError("files without a header can be loaded by position only")
+            texts = reader.option("inferSchema", False).option("enforceSchema", False).load(path)
+            fields = [(n, find_field(target, n)) for n in texts.columns]
+            return texts.select(
+                [column_of(texts, n).cast(f.dataType).alias(n) if f else column_of(texts, n)
+                 for n, f in fields]
+            )
+        if spark_format == "json":
+            names = self.spark.read.format("json").options(**options)
+            found = names.option("primitivesAsString", True).load(path).columns
+            extra = [n for n in found if find_field(target, n) is None]
+            if extra and extra != ["_corrupt_record"]:
+                raise SchemaError(f"{table} has no column {', '.join(extra)}")
+        return reader.schema(target).load(path)
+
     @contextmanager
     def _settled(self, frame: DataFrame, files: StagedDataset | None = None):
         """The rows of ``frame`` in a form that reads the same every time: staged for as long as the

@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 from stagehouse.errors import OptionError
 from stagehouse.operators import JdbcWarehouse
 from stagehouse.plans.workspace import input_table, new_warehouse
-from stagehouse.sources import register
 
 PRICING_SQL = (
     "SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty, count(*) AS n "
@@ -130,9 +129,10 @@ def _forget(spark: SparkSession, embedded: str) -> None:
 
 
 def format_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staged directory in its own format, by the reader's path option."""
     staged = new_warehouse(spark, sf_dir, "orders").unload("orders")
-    register(spark)
-    return spark.read.format("stagehouse").option("path", staged.path).load()
+    reader = spark.read.format(staged.format).options(**staged.options).schema(staged.schema)
+    return reader.option("path", staged.path).load()
 
 
 def staged_view_sql(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,6 +54,30 @@ def copy_into_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.table(table)
 
 
+def copy_into_csv_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files with a header in another order than the table's columns."""
+    headed = {"csv_by_name": ("csv", {"header": "true"})}
+    warehouse, table = new_warehouse(spark, sf_dir, formats=headed), fresh("orders")
+    orders = input_table(spark, sf_dir, "orders")
+    warehouse.create_table(table, orders.schema)
+    path = f"{warehouse.area.base}/{fresh('csv')}"
+    orders.select(*reversed(orders.columns)).write.option("header", True).csv(path)
+    warehouse.copy_into(table, path, "csv_by_name")
+    return warehouse.table(table)
+
+
+def copy_into_mixed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parquet files of which only some have all columns."""
+    warehouse, table = new_warehouse(spark, sf_dir), fresh("supplier")
+    supplier = input_table(spark, sf_dir, "supplier")
+    warehouse.create_table(table, supplier.schema)
+    path = f"{warehouse.area.base}/{fresh('mixed')}"
+    supplier.select("s_suppkey").write.parquet(path)
+    supplier.write.mode("append").parquet(path)
+    warehouse.copy_into(table, path)
+    return warehouse.table(table)
+
+
 def create_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse, table = new_warehouse(spark, sf_dir), fresh("nation")
     nation = input_table(spark, sf_dir, "nation")
@@ -80,6 +104,8 @@ QUERIES = {
     "write_self_overwrite": write_self_overwrite,
     "write_ignore": write_ignore,
     "copy_into_existing": copy_into_existing,
+    "copy_into_csv_by_name": copy_into_csv_by_name,
+    "copy_into_mixed_files": copy_into_mixed_files,
     "create_if_absent": create_if_absent,
     "not_null_guard": not_null_guard,
 }
@@ -92,6 +118,10 @@ SQL = {
     "write_self_overwrite": "SELECT * FROM orders WHERE o_orderstatus = 'F'",
     "write_ignore": "SELECT * FROM orders",
     "copy_into_existing": "SELECT * FROM orders",
+    "copy_into_csv_by_name": "SELECT * FROM orders",
+    "copy_into_mixed_files": (
+        "SELECT * FROM supplier UNION ALL SELECT s_suppkey, NULL, NULL, NULL FROM supplier"
+    ),
     "create_if_absent": "SELECT * FROM nation",
     "not_null_guard": "SELECT * FROM customer",
 }

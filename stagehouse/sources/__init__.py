@@ -1,4 +1,3 @@
-from stagehouse.sources.staged_format import register
 from stagehouse.sources.staging import StagedDataset, StagingArea
 
-__all__ = ["StagedDataset", "StagingArea", "register"]
+__all__ = ["StagedDataset", "StagingArea"]

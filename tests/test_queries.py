@@ -36,11 +36,15 @@ def bag(names, rows):
     return Counter(tuple(plain(row[i]) for i in order) for row in rows)
 
 
+from stagehouse.plans import all_queries, all_sql  # noqa: E402
+
+
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    assert set(all_queries()) == set(all_sql())
+    assert set(SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("key", sorted(QUERIES))
+@pytest.mark.parametrize("key", sorted(all_queries()))
 def test_query(spark, oracle, key):
     df = QUERIES[key](spark, SF)
     expected = oracle.execute(SQL[key])
