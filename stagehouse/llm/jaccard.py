@@ -15,8 +15,9 @@ that near copies came from), and only those not linked to it are compared with t
 pairwise in small buckets, block by block in large ones.  Each is compared with its likeliest partner
 first, then with those it is not connected with yet.  A comparison looks at parities first: bit i tells whether a
 set has an odd number of shingles in slot i, so two sets differ by at least as many shingles as
-their parities by bits.  What may still be similar is decided on the whole sets.  So every link between
-different texts counts for the components, though not each is listed.
+their parities by bits.  What may still be similar is looked at again in finer parities, whose bound
+is closer, and then decided on the whole sets.  So every link between different texts counts for
+the components, though not each is listed.
 
 Words are runs of anything but blank, tab and line ends; A-Z are lower-cased.  A text with fewer
 words than a shingle is one shingle; null texts and texts without words are empty and linked with
@@ -42,6 +43,8 @@ GROUPS = 64
 LEAST_PAIRED, MOST_PAIRED = 80, 50_000
 SMALL_BUCKET, BLOCK_MEMBERS = 32, 256
 LEAST_PARITY_BITS = 1024
+#: Slots per shingle of the finer parities; they take an eighth to a quarter of a large set's bytes.
+FINE_SLOTS = 8
 #: Rounds in which only likeliest partners are compared, before all that are left are.
 ROUNDS = 2
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -198,9 +201,10 @@ def _has_bit(packed: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (packed[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 > 0
 
 
-def parity_of(shingles: np.ndarray) -> bytes:
-    """One bit per slot; at least as many slots as shingles, so that large sets differ visibly."""
-    bits = max(LEAST_PARITY_BITS, 1 << (len(shingles) - 1).bit_length())
+def parity_of(shingles: np.ndarray, slots_each: int = 1) -> bytes:
+    """One bit per slot; at least ``slots_each`` (a power of 2) times as many slots as shingles, so
+    that large sets differ visibly."""
+    bits = max(LEAST_PARITY_BITS, slots_each << (len(shingles) - 1).bit_length())
     slots = np.bincount((shingles % np.uint64(bits)).astype(np.int64), minlength=bits)
     return np.packbits(slots & 1).tobytes()
 
@@ -216,7 +220,7 @@ def parity_difference(a: bytes, b: bytes) -> int:
 
 
 def candidate_sets(docs: DataFrame, keys: DataFrame, n: int) -> DataFrame:
-    """(key, parity, shingles) of the documents whose key may be in ``keys``; copies once per slice."""
+    """(key, parity, fine, shingles) of the documents whose key may be in ``keys``; copies once per slice."""
     wanted = docs.sparkSession.sparkContext.broadcast(_bits(keys))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,10 +233,13 @@ def candidate_sets(docs: DataFrame, keys: DataFrame, n: int) -> DataFrame:
             yield _record(
                 key=pa.array(keys[pick]),
                 parity=pa.array([parity_of(f) for f in found], pa.binary()),
+                fine=pa.array([parity_of(f, FINE_SLOTS) for f in found], pa.binary()),
                 shingles=pa.array([f.tobytes() for f in found], pa.binary()),
             )
 
-    return map_batches(docs.select("text"), rows, "key long, parity binary, shingles binary")
+    return map_batches(
+        docs.select("text"), rows, "key long, parity binary, fine binary, shingles binary"
+    )
 
 
 def _set(raw: bytes) -> np.ndarray:
@@ -254,30 +261,30 @@ def _side(sets: DataFrame, column: str, key: str, value: str) -> DataFrame:
     return once.select(F.col("key").alias(key), value)
 
 
-def likely(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The rows of ``pairs`` (a, b, sizes) whose parities allow a link, as (a, b, differ)."""
+def likely(pairs: DataFrame, sets: DataFrame, percent: int, column: str = "parity") -> DataFrame:
+    """The rows of ``pairs`` (a, b, sizes) whose parities in ``column`` allow a link, as
+    (a, b, sizes, differ)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sides = zip(batch.column(3), batch.column(4), strict=True)
             differ = np.array([parity_difference(a.as_py(), b.as_py()) for a, b in sides], int)
             keep = differ <= _differ_at_most(batch.column(2).to_numpy(), percent)
-            found = _record(a=batch.column(0), b=batch.column(1), differ=pa.array(differ))
-            yield found.filter(pa.array(keep))
+            a, b, sizes = (batch.column(i) for i in range(3))
+            yield _record(a=a, b=b, sizes=sizes, differ=pa.array(differ)).filter(pa.array(keep))
 
-    both = pairs.join(_side(sets, "parity", "a", "left"), "a").join(
-        _side(sets, "parity", "b", "right"), "b"
+    both = pairs.join(_side(sets, column, "a", "left"), "a").join(
+        _side(sets, column, "b", "right"), "b"
     )
     return map_batches(
         both.select("a", "b", F.col("sizes").cast("long"), "left", "right"),
         rows,
-        "a long, b long, differ long",
+        "a long, b long, sizes long, differ long",
     )
 
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The rows of ``pairs`` (a, b) whose sets are similar.  Only sets that they name are moved."""
-    pairs = written(pairs.distinct(), "pairs")
+def _named(sets: DataFrame, column: str, pairs: DataFrame) -> DataFrame:
+    """(key, ``column``) of the sets that ``pairs``, a written table, may name."""
     keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b"))
     wanted = pairs.sparkSession.sparkContext.broadcast(_bits(keys))
 
@@ -286,6 +293,15 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep = _has_bit(wanted.value, np.asarray(batch.column(0), np.int64))
             yield batch.filter(pa.array(keep))
 
+    return map_batches(sets.select("key", column), named, f"key long, {column} binary")
+
+
+def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``pairs`` (a, b, sizes; a written table) whose sets are similar, as (a, b).  Whole
+    sets are moved only for pairs that the finer parities allow."""
+    near = likely(pairs, _named(sets, "fine", pairs), percent, "fine")
+    near = written(near.select("a", "b"), "near")
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = [
@@ -294,8 +310,8 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             ]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    some = map_batches(sets.select("key", "shingles"), named, "key long, shingles binary")
-    both = pairs.join(_side(some, "shingles", "a", "left"), "a").join(
+    some = _named(sets, "shingles", near)
+    both = near.join(_side(some, "shingles", "a", "left"), "a").join(
         _side(some, "shingles", "b", "right"), "b"
     )
     return map_batches(both.select("a", "b", "left", "right"), rows, "a long, b long")
@@ -306,7 +322,7 @@ def _sizes_fit(a: str, b: str, percent: int) -> str:
 
 
 def block_pairs(members: DataFrame, sets: DataFrame, percent: int, best_only: bool) -> DataFrame:
-    """(a, b) in large buckets whose parities allow a link and whose ``root`` differs.  ``members``
+    """(a, b, sizes) in large buckets whose parities allow a link and whose ``root`` differs.  ``members``
     (sig, key, n, odd, size, n_odd, root): each bucket is cut into blocks of about BLOCK_MEMBERS;
     every block meets every block of odd members, each pair of blocks being one group.  With
     ``best_only`` an odd member gives its likeliest partner of the block."""
@@ -334,7 +350,7 @@ def block_pairs(members: DataFrame, sets: DataFrame, percent: int, best_only: bo
         least = min(map(len, parity))
         parity = np.stack([folded(p, least) for p in parity]).view(np.uint64)
         left, right = np.flatnonzero(~odd), np.flatnonzero(odd)
-        a, b = [], []
+        a, b, sizes = [], [], []
         for i in right:
             differ = np.bitwise_count(parity[left] ^ parity[i]).sum(1, dtype=np.int64)
             may = (
@@ -347,11 +363,14 @@ def block_pairs(members: DataFrame, sets: DataFrame, percent: int, best_only: bo
                 found = found[[np.argmin(differ[may])]]
             a.append(np.minimum(keys[found], keys[i]))
             b.append(np.maximum(keys[found], keys[i]))
+            sizes.append(n[found].astype(np.int64) + n[i])
+        found = {"a": a, "b": b, "sizes": sizes}
         none = [np.zeros(0, np.int64)]
-        return pa.table({"a": np.concatenate(a or none), "b": np.concatenate(b or none)})
+        return pa.table({name: np.concatenate(parts or none) for name, parts in found.items()})
 
     ship_package(members.sparkSession)
-    return one.union(other).groupBy("sig", "r", "c").applyInArrow(pairs, "a long, b long")
+    grouped = one.union(other).groupBy("sig", "r", "c")
+    return grouped.applyInArrow(pairs, "a long, b long, sizes long")
 
 
 def set_links(docs: DataFrame, frequent: np.ndarray, n: int, percent: int) -> DataFrame:
@@ -417,13 +436,14 @@ def set_links(docs: DataFrame, frequent: np.ndarray, n: int, percent: int) -> Da
 
 
 def _connect(links: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``links`` and those of ``pairs`` (a, b, differ).  Each node's likeliest partner in another
+    """``links`` and those of ``pairs`` (a, b, sizes, differ).  Each node's likeliest partner in another
     component is looked at first, for some rounds that join components; then all pairs still apart."""
     for best_only in [True] * ROUNDS + [False]:
         apart = _apart(pairs, components(links))
         if best_only:
-            apart = apart.groupBy("a").agg(F.min_by("b", F.struct("differ", "b")).alias("b"))
-        apart = written(apart.select("a", "b"), "apart")
+            best = F.min(F.struct("differ", "b", "sizes"))
+            apart = apart.groupBy("a").agg(best.alias("best")).select("a", "best.b", "best.sizes")
+        apart = written(apart.select("a", "b", "sizes"), "apart")
         if apart.isEmpty():
             break
         links = written(links.union(linked(apart, sets, percent)), "links")

@@ -365,6 +365,17 @@ def test_similarity_classes(spark, documents, monkeypatch, n, percent):
     assert kept.columns == frame.columns
 
 
+@pytest.mark.parametrize("slots_each", [1, jaccard.FINE_SLOTS])
+def test_parities_never_say_more_than_sets(slots_each):
+    rng = np.random.default_rng(5)
+    for n in (1, 3, 130, 5_000):
+        base = np.unique(rng.integers(0, 1 << 63, n, np.uint64))
+        for gone, more in ((0, 0), (n // 10, n // 10), (n // 3, 2 * n), (0, n)):
+            other = np.union1d(base[gone:], rng.integers(0, 1 << 63, more, np.uint64))
+            both = [jaccard.parity_of(x, slots_each) for x in (base, other)]
+            assert jaccard.parity_difference(*both) <= len(np.setxor1d(base, other))
+
+
 def test_components(spark):
     random.seed(2)
     edges = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 140)] + [(7, 7)]
