@@ -26,6 +26,7 @@ nothing.  Repeated rows get the same class.  A null id is the smallest of no cla
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,7 +47,7 @@ LEAST_PARITY_BITS = 1024
 #: Slots per shingle of the finer parities; they take an eighth to a quarter of a large set's bytes.
 FINE_SLOTS = 8
 #: Rounds in which only likeliest partners are compared, before all that are left are.
-ROUNDS = 2
+ROUNDS = 1
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _PAIR = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -323,9 +324,12 @@ def _sizes_fit(a: str, b: str, percent: int) -> str:
 
 def block_pairs(members: DataFrame, sets: DataFrame, percent: int, best_only: bool) -> DataFrame:
     """(a, b, sizes) in large buckets whose parities allow a link and whose ``root`` differs.  ``members``
-    (sig, key, n, odd, size, n_odd, root): each bucket is cut into blocks of about BLOCK_MEMBERS;
-    every block meets every block of odd members, each pair of blocks being one group.  With
-    ``best_only`` an odd member gives its likeliest partner of the block."""
+    (sig, key, n, odd, root): each bucket is cut by size, so that odd members meet those of their own
+    and the two neighbouring classes only, and each class into blocks of about BLOCK_MEMBERS; every
+    block meets every block of odd members, each pair of blocks being one group.  With ``best_only``
+    an odd member gives its likeliest partner of the block."""
+    # a little wider than the largest ratio of linked sizes, for the logarithm's last digit
+    width = 1.001 * max(math.log(100 / percent), 0.01)
 
     def block(size: str) -> str:
         return f"cast(pmod(xxhash64(key), ceil({size} / {BLOCK_MEMBERS})) AS int)"
@@ -333,15 +337,26 @@ def block_pairs(members: DataFrame, sets: DataFrame, percent: int, best_only: bo
     def blocks(size: str) -> str:
         return f"explode(sequence(0, cast(ceil({size} / {BLOCK_MEMBERS}) AS int) - 1))"
 
-    cut = members.join(
-        sets.groupBy("key").agg(F.min("parity").alias("parity")), "key"
+    rest = ["sig", "key", "n", "root"]
+    classed = members.withColumn("class", F.floor(F.log("n") / width).cast("int"))
+    both = classed.selectExpr(*rest, "class", "false AS is_odd").union(
+        classed.where("odd").selectExpr(
+            *rest, "explode(array(class - 1, class, class + 1)) AS class", "true AS is_odd"
+        )
+    )
+    sizes = both.groupBy("sig", "class").agg(
+        F.count_if(~F.col("is_odd")).alias("size"), F.count_if("is_odd").alias("n_odd")
     )
-    rest = ["key", "n", "root", "parity"]
-    one = cut.selectExpr(
-        "sig", f"{block('size')} AS r", f"{blocks('n_odd')} AS c", *rest, "false AS is_odd"
+    parities = sets.groupBy("key").agg(F.min("parity").alias("parity"))
+    cut = both.join(
+        sizes.where("size > 0 AND n_odd > 0 AND size + n_odd > 2"), ["sig", "class"]
+    ).join(parities, "key")
+    rest = ["key", "n", "root", "parity", "is_odd"]
+    one = cut.where("NOT is_odd").selectExpr(
+        "sig", "class", f"{block('size')} AS r", f"{blocks('n_odd')} AS c", *rest
     )
-    other = cut.where("odd").selectExpr(
-        "sig", f"{blocks('size')} AS r", f"{block('n_odd')} AS c", *rest, "true AS is_odd"
+    other = cut.where("is_odd").selectExpr(
+        "sig", "class", f"{blocks('size')} AS r", f"{block('n_odd')} AS c", *rest
     )
 
     def pairs(group: pa.Table) -> pa.Table:
@@ -369,13 +384,13 @@ def block_pairs(members: DataFrame, sets: DataFrame, percent: int, best_only: bo
         return pa.table({name: np.concatenate(parts or none) for name, parts in found.items()})
 
     ship_package(members.sparkSession)
-    grouped = one.union(other).groupBy("sig", "r", "c")
+    grouped = one.union(other).groupBy("sig", "class", "r", "c")
     return grouped.applyInArrow(pairs, "a long, b long, sizes long")
 
 
-def set_links(docs: DataFrame, frequent: np.ndarray, n: int, percent: int) -> DataFrame:
-    """(a, b) links between keys of different sets: enough of them to connect every two sets that
-    a chain of similar sets connects."""
+def set_components(docs: DataFrame, frequent: np.ndarray, n: int, percent: int) -> DataFrame:
+    """(node, root) of the keys of sets that are similar to another: any two that a chain of similar
+    sets connects have the same root."""
     sigs = signatures(docs, frequent, n, percent)
     shared = (
         sigs.groupBy("sig")
@@ -384,12 +399,18 @@ def set_links(docs: DataFrame, frequent: np.ndarray, n: int, percent: int) -> Da
         .select("sig")
     )
     buckets = written(sigs.join(shared, "sig", "left_semi"), "buckets")
-    hubs = buckets.groupBy("sig").agg(F.min(F.struct("rare", "key", "n")).alias("hub"))
+    distinct = buckets.distinct()  # copies in several slices give the same rows
+    hubs = distinct.groupBy("sig").agg(
+        F.min(F.struct("rare", "key", "n")).alias("hub"),
+        F.count("*").alias("size"),
+        F.expr("bit_xor(xxhash64(key))").alias("content"),
+    )
+    # a shared passage gives many buckets of the same members: one is enough
+    once = hubs.groupBy("hub", "size", "content").agg(F.min("sig").alias("sig"))
     members = written(
-        buckets.select("sig", "key", "n")
-        .distinct()
-        .join(hubs, "sig")
-        .select("sig", "key", "n", F.col("hub.key").alias("hub"), F.col("hub.n").alias("hub_n")),
+        distinct.join(once, "sig").select(
+            "sig", "key", "n", F.col("hub.key").alias("hub"), F.col("hub.n").alias("hub_n")
+        ),
         "members",
     )
     sets = written(candidate_sets(docs, members, n), "sets")
@@ -399,8 +420,8 @@ def set_links(docs: DataFrame, frequent: np.ndarray, n: int, percent: int) -> Da
         .distinct()
     )
     to_hub = written(likely(to_hub, sets, percent), "to_hub")
-    links = _connect(written(to_hub.select("a", "b").limit(0), "links"), to_hub, sets, percent)
-    roots = components(links)
+    none = to_hub.select(F.col("a").alias("node"), F.col("b").alias("root")).limit(0)
+    roots = _connect(none, to_hub, sets, percent)
     rooted = _with_root(_with_root(members, roots, "key", "root"), roots, "hub", "hub_root")
     rooted = rooted.withColumn("odd", F.col("root") != F.col("hub_root"))
     sizes = rooted.groupBy("sig").agg(
@@ -409,7 +430,7 @@ def set_links(docs: DataFrame, frequent: np.ndarray, n: int, percent: int) -> Da
     mixed = written(
         rooted.where("key <> hub")
         .join(sizes.where("n_odd > 0 AND size > 2"), "sig")
-        .select("sig", "key", "n", "odd", "size", "n_odd", "root"),
+        .select("sig", "key", "n", "odd", "size", "root"),
         "mixed",
     )
     small = mixed.where(f"size <= {SMALL_BUCKET}")
@@ -423,31 +444,38 @@ def set_links(docs: DataFrame, frequent: np.ndarray, n: int, percent: int) -> Da
         .distinct()
     )
     large = mixed.where(f"size > {SMALL_BUCKET}")
-    links = _connect(links, written(likely(pairs, sets, percent), "likely"), sets, percent)
+    roots = _connect(roots, written(likely(pairs, sets, percent), "likely"), sets, percent)
     if large.isEmpty():
-        return links
+        return roots
     for best_only in [True] * ROUNDS + [False]:
-        rooted = _with_root(large.drop("root"), components(links), "key", "root")
+        rooted = _with_root(large.drop("root"), roots, "key", "root")
         pairs = written(block_pairs(rooted, sets, percent, best_only).distinct(), "blocks")
         if pairs.isEmpty():
             break
-        links = written(links.union(linked(pairs, sets, percent)), "links")
-    return links
+        roots = _joined(roots, linked(pairs, sets, percent))
+    return roots
 
 
-def _connect(links: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``links`` and those of ``pairs`` (a, b, sizes, differ).  Each node's likeliest partner in another
-    component is looked at first, for some rounds that join components; then all pairs still apart."""
+def _connect(roots: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``roots`` (node, root) with the links among ``pairs`` (a, b, sizes, differ).  Each node's likeliest
+    partner in another component is looked at first, for some rounds that join components; then all
+    pairs still apart."""
     for best_only in [True] * ROUNDS + [False]:
-        apart = _apart(pairs, components(links))
+        apart = _apart(pairs, roots)
         if best_only:
             best = F.min(F.struct("differ", "b", "sizes"))
             apart = apart.groupBy("a").agg(best.alias("best")).select("a", "best.b", "best.sizes")
         apart = written(apart.select("a", "b", "sizes"), "apart")
         if apart.isEmpty():
             break
-        links = written(links.union(linked(apart, sets, percent)), "links")
-    return links
+        roots = _joined(roots, linked(apart, sets, percent))
+    return roots
+
+
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` (node, root) after ``links`` (a, b) have joined components."""
+    stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return components(stars.union(links))
 
 
 def _with_root(rows: DataFrame, roots: DataFrame, key: str, name: str) -> DataFrame:
@@ -479,7 +507,7 @@ def similarity_classes(
     summary = written(summarize(picked, words), "summary")
     rows = summary.where("slot IS NULL").select("doc_id", "key", "n_shingles")
     frequent = frequent_slots(summary)
-    roots = components(set_links(picked.select("text"), frequent, words, percent))
+    roots = set_components(picked.select("text"), frequent, words, percent)
     least = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"))
     rooted = written(
         least.join(roots, F.col("key") == F.col("node"), "left").select(
