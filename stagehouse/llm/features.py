@@ -60,9 +60,9 @@ def distinct_features(rows: np.ndarray, features: np.ndarray, bits: int):
     return key >> bits, key & ((1 << bits) - 1), counts
 
 
-def sampled_features(sample: DataFrame, extract, bits: int) -> list[tuple[int, int, bytes, bytes]]:
-    """(doc_id, label, features, values) of a bounded sample, in the driver.  ``extract`` gives
-    (row, feature, value) of a slice, ordered by row."""
+def sampled_features(sample: DataFrame, extract, bits: int) -> pa.Table:
+    """(doc_id, label, features, counts) of a bounded sample, in the driver.  ``extract`` gives
+    (row, feature, value) of a slice, ordered by row; value may be None."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, bounds in text_slices(batches):
@@ -74,7 +74,10 @@ def sampled_features(sample: DataFrame, extract, bits: int) -> list[tuple[int, i
                     "doc_id": part.column(part.schema.get_field_index("doc_id")),
                     "label": part.column(part.schema.get_field_index("label")),
                     "features": [feature[a:b].astype("<u4").tobytes() for a, b in pairs],
-                    "counts": [value[a:b].astype("<f4").tobytes() for a, b in pairs],
+                    "counts": [
+                        b"" if value is None else value[a:b].astype("<f4").tobytes()
+                        for a, b in pairs
+                    ],
                 }
             )
 
@@ -87,20 +90,21 @@ def sampled_features(sample: DataFrame, extract, bits: int) -> list[tuple[int, i
     once = found.groupBy("doc_id").agg(
         F.max(F.struct("features", "counts", "label")).alias("one")
     )
-    picked = once.select("doc_id", "one.label", "one.features", "one.counts")
-    return [tuple(r) for r in picked.orderBy("doc_id").collect()]
+    return once.select("doc_id", "one.label", "one.features", "one.counts").toArrow()
 
 
-def sparse(rows: list[tuple[int, int, bytes, bytes]]):
-    """(row, feature, value, label) arrays of the sample; equal texts count once."""
-    once = {(bytes(f), bytes(v)): label for _, label, f, v in rows}
-    features = [np.frombuffer(f, "<u4").astype(np.int64) for f, _ in once]
+def sparse(sample: pa.Table):
+    """(row, feature, value, label) arrays of the sample, by id; equal features count once.  Numbers
+    of 4 bytes, since the driver holds them all."""
+    once = {}
+    for i in np.argsort(sample["doc_id"].to_numpy(), kind="stable"):
+        once[sample["features"][i].as_py(), sample["counts"][i].as_py()] = sample["label"][i].as_py()
+    features = [np.frombuffer(f, "<u4") for f, _ in once]
     values = [np.frombuffer(v, "<f4") for _, v in once]
-    row = np.repeat(np.arange(len(features)), [len(f) for f in features])
-    empty = [np.zeros(0, np.int64)]
+    row = np.repeat(np.arange(len(features), dtype=np.int32), [len(f) for f in features])
     return (
         row,
-        np.concatenate(features or empty),
+        np.concatenate(features or [np.zeros(0, "<u4")]).view(np.int32),
         np.concatenate(values or [np.zeros(0, np.float32)]),
         np.array(list(once.values()), np.int64),
     )

@@ -9,8 +9,8 @@
 3. A linear classifier over hashed words and word beginnings learns these probabilities.  It
    scores every whole text in one pass without a shuffle.
 
-Models are fitted on at most ``fit_rows`` labelled rows, those of least hash; equal texts count
-once.  Null and empty texts have no features and score the classifier's bias.  Ids, source and
+Models are fitted on at most ``fit_rows`` labelled rows, those of least hash; texts of equal
+features count once.  Null and empty texts have no features and score the classifier's bias.  Ids, source and
 language are no inputs.  Without labelled rows of both classes every score is the share of toxic
 rows, or 0.  Repeated rows score alike; other columns are ignored.
 """
@@ -110,7 +110,7 @@ def fit_linear(
     tell[(have < least_rows) | (tell < 4)] = 0
     chosen = np.sort(np.argsort(-tell, kind="stable")[:most])
     chosen = chosen[tell[chosen] > 0]
-    place = np.full(1 << BITS, -1)
+    place = np.full(1 << BITS, -1, np.int32)
     place[chosen] = np.arange(len(chosen))
     keep = place[feature] >= 0
     row, column = row[keep], place[feature[keep]]
@@ -130,7 +130,8 @@ def fit_linear(
 
 
 def presence(data: np.ndarray, bounds: np.ndarray):
-    return distinct_features(*word_features(data, bounds, BITS, PREFIXES), BITS)
+    row, feature, _ = distinct_features(*word_features(data, bounds, BITS, PREFIXES), BITS)
+    return row, feature, None
 
 
 def fit(
@@ -153,7 +154,7 @@ def fit(
     least_rows = min(least_rows, max(1, int(label.sum()) // 8))
     voters = choose_voters(row, feature, label, most_voters, least_rows)
     votes = np.zeros((len(label), len(voters)), np.float32)
-    place = np.full(1 << BITS, -1)
+    place = np.full(1 << BITS, -1, np.int32)
     place[voters] = np.arange(len(voters))
     spoken = place[feature] >= 0
     votes[row[spoken], place[feature[spoken]]] = 1
