@@ -345,11 +345,15 @@ def block_pairs(members: DataFrame, sets: DataFrame, percent: int, best_only: bo
         )
     )
     sizes = both.groupBy("sig", "class").agg(
-        F.count_if(~F.col("is_odd")).alias("size"), F.count_if("is_odd").alias("n_odd")
+        F.count_if(~F.col("is_odd")).alias("size"),
+        F.count_if("is_odd").alias("n_odd"),
+        F.min("key").alias("low"),
+        F.max("key").alias("high"),
     )
     parities = sets.groupBy("key").agg(F.min("parity").alias("parity"))
+    # a class of one key only is an odd member beside itself
     cut = both.join(
-        sizes.where("size > 0 AND n_odd > 0 AND size + n_odd > 2"), ["sig", "class"]
+        sizes.where("size > 0 AND n_odd > 0 AND low < high").drop("low", "high"), ["sig", "class"]
     ).join(parities, "key")
     rest = ["key", "n", "root", "parity", "is_odd"]
     one = cut.where("NOT is_odd").selectExpr(

@@ -365,6 +365,40 @@ def test_similarity_classes(spark, documents, monkeypatch, n, percent):
     assert kept.columns == frame.columns
 
 
+def test_growing_texts_in_one_large_bucket(spark, documents, monkeypatch):
+    """A chain of texts, one per size class: each is linked with the next alone."""
+    monkeypatch.setattr(jaccard, "SMALL_BUCKET", 2)
+    random.seed(11)
+    word = lambda: "".join(random.choices("abcdefghij", k=6))
+    words = [word() for _ in range(102)]
+    docs = []
+    for i in range(60):
+        docs.append((1000 - i, " ".join(words)))
+        words += [word() for _ in range((len(words) - 2) // 10)]
+    found = {r[0]: r[1:] for r in rows(jaccard.similarity_classes(documents(*docs)))}
+    assert found == brute_classes(docs, 3, 90)
+    assert {least for _, least in found.values()} == {941}
+
+
+def test_single_members_of_neighbouring_size_classes_meet(spark):
+    width = 1.001 * np.log(100 / 90)
+    n = {1: 110, 2: 121}
+    assert len({int(np.log(x) / width) for x in n.values()}) == 2
+    whole = np.unique(np.random.default_rng(3).integers(0, 1 << 63, 121, np.uint64))
+    members = spark.createDataFrame(
+        [(7, 1, n[1], False, 100), (7, 2, n[2], True, 2)],
+        "sig long, key long, n int, odd boolean, root long",
+    )
+    sets = spark.createDataFrame(
+        [(k, bytearray(jaccard.parity_of(whole[:size]))) for k, size in n.items()],
+        "key long, parity binary",
+    )
+    for best_only in (True, False):
+        assert rows(jaccard.block_pairs(members, sets, 90, best_only)) == [(1, 2, 231)]
+    alone = members.where("key = 2")
+    assert rows(jaccard.block_pairs(alone, sets, 90, False)) == []
+
+
 @pytest.mark.parametrize("slots_each", [1, jaccard.FINE_SLOTS])
 def test_parities_never_say_more_than_sets(slots_each):
     rng = np.random.default_rng(5)
