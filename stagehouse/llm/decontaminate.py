@@ -1,16 +1,21 @@
 """Benchmark decontamination with a BM25 index of test items and block-max pruning.
 
-Test items are cut into units of at most ``UNIT_WORDS`` words and indexed: for each word the units
+Test items are cut into units of at most ``UNIT_WORDS`` words, one every ``UNIT_STEP`` words, and so
+are their question (all but the last sentence) and answer alone, if they have ``LEAST_SIDE`` shingles.
+Units are indexed: for each word the units
 that hold it with their BM25 weights, in runs of ``BLOCK_UNITS`` units, each run with its largest
 weight.  Weights are divided by the unit's score for itself, so one threshold serves all units.
 
 Every training passage is a query: windows of twice a unit's length that start at every unit's
 length, so each unit lies whole in a window.  As in block-max WAND, the largest weights of the
 passage's words are summed per block of units first; a block whose sum is below the threshold is
-skipped, in the others each unit's exact score decides.  Passages above the threshold are verified
-by the share of the unit's five-word shingles that they hold: ``overlap``, and the same for its
-question (all but the last sentence) and its answer.  A unit of which 0.8 or more is held is a
-leak.  Words are compared in lower case (A-Z), without ASCII punctuation.
+skipped, in the others each unit's exact score decides.  Items of units above the threshold are
+verified by the share of their five-word shingles that the passage holds: ``overlap`` of the item,
+``question_overlap`` and ``answer_overlap`` of the shingles that lie in one of its sides.  Of more than
+``UNIT_WORDS`` words the best unit counts; from one and a half times as
+many words on, runs may hang over either end by up to half their length.  An item is leaked if 0.8
+or more of it, or of a side with ``LEAST_SIDE`` shingles, is held.  Words are compared in lower case (A-Z),
+without ASCII punctuation.
 
 Items with fewer than five words, null and empty items and texts match nothing.  Repeated rows are
 found each.  The index goes to the workers in parts of at most ``part_bytes`` of item text, one pass over the documents
@@ -32,7 +37,9 @@ from pyspark.sql import functions as F
 from stagehouse.llm.storage import map_batches
 from stagehouse.llm.text import MARKS, mix, rows_of, span_hashes, text_slices, word_spans
 
-UNIT_WORDS, SHINGLE, BLOCK_UNITS = 64, 5, 16
+UNIT_WORDS, UNIT_STEP, SHINGLE, BLOCK_UNITS = 64, 32, 5, 16
+#: Shingles that a question or an answer must have to be a leak without the other: eight words.
+LEAST_SIDE = 4
 K1, B = 1.2, 0.75
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 SCHEMA = (
@@ -69,29 +76,77 @@ def split_answer(text: str) -> tuple[str, str]:
     return text[:at], text[at:]
 
 
+def runs(n_words: int, step: int) -> list[tuple[int, int]]:
+    """(first word, end) of runs of ``UNIT_WORDS`` of ``n_words`` words, one every ``step`` words and the
+    last one.  Runs of long texts may hang over both ends."""
+    over = UNIT_WORDS // 2 if n_words >= UNIT_WORDS + UNIT_WORDS // 2 else 0
+    last = max(n_words - UNIT_WORDS, 0) + over
+    starts = [*range(-over, last, step), last]
+    return [(max(a, 0), min(a + UNIT_WORDS, n_words)) for a in starts]
+
+
+def most_held(held: np.ndarray) -> float | None:
+    """The largest share of shingles held in a run of words, ``held`` telling for each shingle."""
+    if not len(held):
+        return None
+    first, end = np.array(runs(len(held) + SHINGLE - 1, UNIT_STEP)).T
+    end = end - SHINGLE + 1
+    sums = np.concatenate([[0], np.cumsum(held)])
+    return float(((sums[end] - sums[first]) / (end - first)).max())
+
+
+@dataclass
+class Item:
+    item_id: int
+    words: np.ndarray
+    n_question: int
+
+    @classmethod
+    def of(cls, item_id: int, text: str) -> Item:
+        return cls(item_id, _words(text), len(_words(split_answer(text)[0])))
+
+    def units(self) -> list[tuple[int, int]]:
+        """(first word, end) of the runs of the item and of its sides."""
+        n = len(self.words)
+        out = set(runs(n, UNIT_STEP))
+        for a, b in ((0, self.n_question), (self.n_question, n)):
+            if b - a >= LEAST_SIDE + SHINGLE - 1:
+                out |= {(a + c, a + d) for c, d in runs(b - a, UNIT_STEP)}
+        return sorted(out)
+
+    def overlaps(self, held: np.ndarray) -> list[float | None]:
+        """[item's, question's, answer's] overlap; ``held`` tells for each shingle of the item."""
+        question = held[: max(self.n_question - SHINGLE + 1, 0)]
+        return [most_held(x) for x in (held, question, held[self.n_question :])]
+
+    def is_leaked(self, held: np.ndarray, overlaps: list[float | None], least: float) -> bool:
+        sizes = (LEAST_SIDE, self.n_question - SHINGLE + 1, len(held) - self.n_question)
+        return any(
+            share is not None and share >= least and size >= LEAST_SIDE
+            for share, size in zip(overlaps, sizes, strict=True)
+        )
+
+
 @dataclass
 class Units:
-    """Units of test items: item, words, and for every shingle whether it is of the answer."""
+    """Test items, their shingles, and their units: number of the item, words."""
 
+    items: list[Item]
+    shingles: list[np.ndarray]
     item: list[int]
     words: list[np.ndarray]
-    answer: list[np.ndarray]
 
     @classmethod
     def of(cls, items: list[tuple[int, str]]) -> Units:
-        out = cls([], [], [])
-        for item_id, text in items:
-            question, _ = split_answer(text)
-            words, n_question = _words(text), len(_words(question))
-            cuts = list(range(0, len(words), UNIT_WORDS))
-            if len(cuts) > 1 and len(words) - cuts[-1] < UNIT_WORDS // 2:
-                cuts[-1] = len(words) - UNIT_WORDS  # no short last unit
-            for a in cuts:
-                part = words[a : a + UNIT_WORDS]
-                if len(part) >= SHINGLE:
-                    out.item.append(item_id)
-                    out.words.append(part)
-                    out.answer.append(np.arange(a, a + len(part) - SHINGLE + 1) >= n_question)
+        out = cls([], [], [], [])
+        for item in (Item.of(*i) for i in items):
+            if len(item.words) < SHINGLE:
+                continue
+            for a, b in item.units():
+                out.item.append(len(out.items))
+                out.words.append(item.words[a:b])
+            out.items.append(item)
+            out.shingles.append(shingles(item.words))
         return out
 
 
@@ -107,12 +162,12 @@ class BlockMaxIndex:
     units: Units
 
     @classmethod
-    def build(cls, units: Units, frequency: dict[int, int], n_units: int, mean_words: float):
+    def build(cls, units: Units, frequency: dict[int, int], n_items: int, mean_words: float):
         rows = []
         for u, words in enumerate(units.words):
             terms, counts = np.unique(words, return_counts=True)
             seen = np.array([frequency[int(t)] for t in terms.view(np.int64)])
-            idf = np.log1p((n_units - seen + 0.5) / (seen + 0.5))
+            idf = np.log1p((n_items - seen + 0.5) / (seen + 0.5))
             length = 1 - B + B * len(words) / mean_words
             weight = idf * counts * (K1 + 1) / (counts + K1 * length)
             rows.append((terms, np.full(len(terms), u), weight / weight.sum()))
@@ -191,22 +246,24 @@ def leaks_of(index: BlockMaxIndex, data, bounds, threshold: float, least_overlap
     """(row, item, score, overlap, question overlap, answer overlap, first word), the best passage
     of each row and item."""
     rows, words = words_of(data, bounds)
-    best: dict[tuple[int, int], tuple] = {}
+    units = index.units
+    near: dict[tuple[int, int], tuple[int, float]] = {}  # one test per passage and item
     for first, last, unit, score in zip(
         *search(index, rows, words, threshold), strict=True
     ):
-        wanted = shingles(index.units.words[unit])
-        held = np.isin(wanted, shingles(words[first:last]))
-        overlap = held.mean()
-        if overlap < least_overlap:
+        key = int(first), units.item[unit]
+        near[key] = int(last), max(float(score), near.get(key, (0, 0.0))[1])
+    best: dict[tuple[int, int], tuple] = {}
+    for (first, number), (last, score) in near.items():
+        item = units.items[number]
+        held = np.isin(units.shingles[number], shingles(words[first:last]))
+        overlaps = item.overlaps(held)
+        if not item.is_leaked(held, overlaps, least_overlap):
             continue
-        answer = index.units.answer[unit]
-        parts = [float(held[m].mean()) if m.any() else None for m in (~answer, answer)]
-        row, item = int(rows[first]), index.units.item[unit]
-        place = int(first - np.searchsorted(rows, row))
-        found = (float(score), float(overlap), *parts, place)
-        if (row, item) not in best or best[row, item][:2] < found[:2]:
-            best[row, item] = found
+        key = row, _ = int(rows[first]), item.item_id
+        found = (score, *overlaps, first - int(np.searchsorted(rows, row)))
+        if key not in best or best[key][:2] < found[:2]:
+            best[key] = found
     return [(*key, *found) for key, found in sorted(best.items())]
 
 
@@ -221,14 +278,15 @@ def build_indexes(items: DataFrame, part_bytes: int = 4 << 20) -> list[BlockMaxI
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             units = Units.of(list(zip(*(c.to_pylist() for c in batch.columns), strict=True)))
-            for words in units.words:
-                term = np.unique(words).view(np.int64)
+            for item in units.items:
+                term = np.unique(item.words).view(np.int64)
+                length = min(len(item.words), UNIT_WORDS)
                 yield pa.RecordBatch.from_pydict(
-                    {"term": term, "n": np.where(np.arange(len(term)) == 0, len(words), 0)}
+                    {"term": term, "n": np.where(np.arange(len(term)) == 0, length, 0)}
                 )
 
     found = map_batches(items, terms, "term long, n long")
-    n_units, mean = found.agg(
+    n_items, mean = found.agg(
         F.count(F.when(F.col("n") > 0, 1)), F.sum("n") / F.count(F.when(F.col("n") > 0, 1))
     ).first()
     frequency = found.groupBy("term").agg(F.count("*").alias("seen"))
@@ -238,7 +296,7 @@ def build_indexes(items: DataFrame, part_bytes: int = 4 << 20) -> list[BlockMaxI
         units = Units.of([tuple(r) for r in mine.distinct().orderBy("item_id", "text").collect()])
         own = map_batches(mine, terms, "term long, n long").select("term").distinct()
         seen = dict(tuple(r) for r in own.join(frequency, "term").collect())
-        out.append(BlockMaxIndex.build(units, seen, n_units, mean or 1.0))
+        out.append(BlockMaxIndex.build(units, seen, n_items, mean or 1.0))
     return out
 
 

@@ -138,6 +138,30 @@ def test_leaks_are_found_and_clean_texts_left(spark, documents):
     assert len(decontaminate.build_indexes(benchmark, part_bytes=400)) > 1
 
 
+def test_question_or_answer_alone_is_a_leak(spark, documents):
+    random.seed(6)
+    word = lambda: "".join(random.choices("abcdefghij", k=random.randint(4, 9)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    sides = [(text(20), text(15)), (text(12), text(40)), (text(40), text(12)), (text(20), text(6))]
+    benchmark = spark.createDataFrame(
+        [(i, f"{q.capitalize()}? {a.capitalize()}.") for i, (q, a) in enumerate(sides)],
+        "item_id long, text string",
+    )
+    docs = [(10 * i + k, f"{text(90)} {side} {text(50)}") for i, pair in enumerate(sides)
+            for k, side in enumerate(pair)]
+    docs += [(100, text(300)), (101, " ".join(sides[0][0].split()[:9]))]
+    frame = documents(*docs)
+    found = {r.doc_id: r for r in decontaminate.find_leaks(frame, benchmark).collect()}
+    # the last answer has six words, too few to be a leak alone
+    assert {(d, r.item_id) for d, r in found.items()} == {
+        (10 * i + k, i) for i in range(4) for k in (0, 1)} - {(31, 3)}
+    for i, r in found.items():
+        held = (r.question_overlap, r.answer_overlap)
+        assert held[i % 10] == 1.0 and held[1 - i % 10] == 0.0 and 0 < r.overlap < 0.8
+    kept = decontaminate.drop_leaking(frame, benchmark).collect()
+    assert sorted(r.doc_id for r in kept) == [31, 100, 101]
+
+
 # 3, 5, 8 -----------------------------------------------------------------------------------------
 
 
