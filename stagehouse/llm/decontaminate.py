@@ -12,7 +12,7 @@ passage's words are summed per block of units first; a block whose sum is below
 skipped, in the others each unit's exact score decides.  Items of units above the threshold are
 verified by the share of their five-word shingles that the passage holds: ``overlap`` of the item,
 ``question_overlap`` and ``answer_overlap`` of the shingles that lie in one of its sides.  Of more than
-``UNIT_WORDS`` words the best unit counts; from one and a half times as
+``UNIT_WORDS`` words the best run of that many counts, wherever it starts; from one and a half times as
 many words on, runs may hang over either end by up to half their length.  An item is leaked if 0.8
 or more of it, or of a side with ``LEAST_SIDE`` shingles, is held.  Words are compared in lower case (A-Z),
 without ASCII punctuation.
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from stagehouse.llm.storage import map_batches
 from stagehouse.llm.text import MARKS, mix, rows_of, span_hashes, text_slices, word_spans
 
-UNIT_WORDS, UNIT_STEP, SHINGLE, BLOCK_UNITS = 64, 32, 5, 16
+UNIT_WORDS, UNIT_STEP, SHINGLE, BLOCK_UNITS = 64, 16, 5, 16
 #: Shingles that a question or an answer must have to be a leak without the other: eight words.
 LEAST_SIDE = 4
 K1, B = 1.2, 0.75
@@ -89,7 +89,7 @@ def most_held(held: np.ndarray) -> float | None:
     """The largest share of shingles held in a run of words, ``held`` telling for each shingle."""
     if not len(held):
         return None
-    first, end = np.array(runs(len(held) + SHINGLE - 1, UNIT_STEP)).T
+    first, end = np.array(runs(len(held) + SHINGLE - 1, 1)).T
     end = end - SHINGLE + 1
     sums = np.concatenate([[0], np.cumsum(held)])
     return float(((sums[end] - sums[first]) / (end - first)).max())

@@ -162,6 +162,21 @@ def test_question_or_answer_alone_is_a_leak(spark, documents):
     assert sorted(r.doc_id for r in kept) == [31, 100, 101]
 
 
+def test_copies_of_long_items_are_found_wherever_they_start(spark, documents):
+    random.seed(8)
+    words = ["".join(random.choices("abcdefghij", k=7)) for _ in range(128)]
+    item = " ".join(words)
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    other = " ".join("".join(random.choices("klmnop", k=6)) for _ in range(77))
+    copied = lambda a, n: f"{other} {' '.join(words[a : a + n])} {other}"
+    docs = [(a, copied(a, 64)) for a in range(65)]
+    docs += [(500 + a, copied(a, 40)) for a in range(32, 57, 8)]
+    docs += [(600, copied(20, 90)), (601, copied(88, 40)), (602, copied(0, 40))]
+    found = decontaminate.find_leaks(documents(*docs), benchmark).collect()
+    assert {r.doc_id for r in found} == {*range(65), 600, 601, 602}
+    assert all(r.overlap == 1.0 for r in found)
+
+
 # 3, 5, 8 -----------------------------------------------------------------------------------------
 
 
