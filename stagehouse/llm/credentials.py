@@ -3,12 +3,15 @@
 Base spans are found in every whole text: assignments of a secret, access identifiers, long
 hexadecimal runs.  Weak candidates are parts that mean little alone: short assigned secrets, account names,
 mixed runs of letters and digits, endpoints.  An interval join within scopes decides about them:
-two parts are near if their starts are at most ``SCOPE`` code points apart in one text.  A weak
+two parts are near if at most ``SCOPE`` code points of one text lie between them (``gaps``), or, as in
+the registered query's SQL text, if their starts are at most that far apart; what is near by starts is near
+by gaps.  ``redact`` measures gaps.  A weak
 secret needs a near identifier or endpoint, a weak identifier a near secret, an endpoint both.
 
-The join is on cells of ``SCOPE`` code points.  Parts of a cell are reduced to the least and
-greatest start of each role first; a weak part meets its own cell and the two beside it, and those two
-numbers decide exactly.  So work grows with the number of parts, however many share a text.
+The join is on cells of ``SCOPE`` code points.  Parts of a cell are reduced to the least start and
+greatest end of each role first; a weak part meets its own cells and the two beside them, and those two
+numbers decide exactly, since the range that it asks for is wider than a cell.  So work grows with the number
+of parts and their length, however many share a text.
 
 Positions are code points, ends exclusive.  Null texts are empty.  Rows that are equal in id and text get
 the same result; null ids stay null.  Other columns are ignored by ``credential_spans`` and kept
@@ -133,7 +136,7 @@ def _keyed(docs: DataFrame, text_column: str = "text") -> DataFrame:
     )
 
 
-def linked_parts(scan: DataFrame, scope: int = SCOPE) -> DataFrame:
+def linked_parts(scan: DataFrame, scope: int = SCOPE, gaps: bool = False) -> DataFrame:
     """(k1, k2, linked): the weak parts of each text that complementary parts stand near to."""
     roles = F.array(*[F.lit(ROLES[k]) for k in KINDS])
     some = scan.where(F.size("weak") > 0).select("k1", "k2", "base", "weak").distinct()
@@ -144,17 +147,23 @@ def linked_parts(scan: DataFrame, scope: int = SCOPE) -> DataFrame:
         "k2",
         "part",
         roles[F.col("part.kind")].alias("role"),
-        F.floor(F.col("part.start") / scope).alias("cell"),
+        F.col("part.start").alias("lo"),
+        F.col("part.end" if gaps else "part.start").alias("hi"),
     )
-    cells = parts.groupBy("k1", "k2", "cell", F.col("role").alias("near_role")).agg(
-        F.min("part.start").alias("low"), F.max("part.start").alias("high")
+
+    def cell(more: int) -> Column:
+        ends = [F.floor(F.col(c) / scope) + d for c, d in (("lo", -more), ("hi", more))]
+        return F.explode(F.sequence(*ends)).alias("cell")
+
+    cells = (
+        parts.select("k1", "k2", "role", "lo", "hi", cell(0))
+        .groupBy("k1", "k2", "cell", F.col("role").alias("near_role"))
+        .agg(F.min("lo").alias("low"), F.max("hi").alias("high"))
     )
-    asks = (
-        parts.where(F.col("part.kind") >= KINDS.index("weak_assign"))
-        .select("k1", "k2", "part", "role", F.explode(F.expr("sequence(cell - 1, cell + 1)")).alias("cell"))
+    asks = parts.where(F.col("part.kind") >= KINDS.index("weak_assign")).select(
+        "k1", "k2", "part", "role", "lo", "hi", cell(1)
     )
-    start = F.col("part.start")
-    near = (F.col("high") >= start - scope) & (F.col("low") <= start + scope)
+    near = (F.col("high") >= F.col("lo") - scope) & (F.col("low") <= F.col("hi") + scope)
     met = (
         asks.join(cells, ["k1", "k2", "cell"])
         .where((F.col("role") != F.col("near_role")) & near)
@@ -187,7 +196,12 @@ def _joined(parts: Column) -> Column:
 
 
 def credential_spans(
-    docs: DataFrame, *, scope: int = SCOPE, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    *,
+    scope: int = SCOPE,
+    gaps: bool = False,
+    id_column: str = "doc_id",
+    text_column: str = "text",
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_assign, n_access, n_hex (base spans), base_sha256 (of
     the base spans as text), n_linked (weak parts reported), spans (all, as text)."""
@@ -195,7 +209,7 @@ def credential_spans(
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
     )
     scan = written(_keyed(scanned(picked)).drop("text"), "credentials")
-    all_rows = scan.join(linked_parts(scan, scope), ["k1", "k2"], "left")
+    all_rows = scan.join(linked_parts(scan, scope, gaps), ["k1", "k2"], "left")
     linked = F.coalesce("linked", F.array().cast(PART))
     count = lambda kind: F.size(
         F.filter("base", lambda p: p["kind"] == KINDS.index(kind))
@@ -241,7 +255,8 @@ def redact(docs: DataFrame, *, mark: str = "[SECRET]", scope: int = SCOPE) -> Da
     scan = scanned(docs.select(*[F.col(f"`{c}`") for c in own]))
     plain = scan.where(F.size("weak") == 0).withColumn("spans", F.col("base"))
     asked = _keyed(scan.where(F.size("weak") > 0))
-    linked = linked_parts(written(asked.select("k1", "k2", "base", "weak"), "credentials"), scope)
+    scan = written(asked.select("k1", "k2", "base", "weak"), "credentials")
+    linked = linked_parts(scan, scope, gaps=True)
     joined = asked.join(linked, ["k1", "k2"], "left").withColumn(
         "spans", F.array_sort(F.concat("base", F.coalesce("linked", F.array().cast(PART))))
     )

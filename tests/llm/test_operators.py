@@ -286,6 +286,44 @@ def test_credentials(spark, documents):
     assert credentials.redact(docs).columns == docs.columns
 
 
+def test_parts_beside_a_long_part_are_redacted(spark, documents):
+    token, url = "token=" + "aB3." * 100, "https://h.example.com/" + "p" * 2500
+    texts = [
+        f"{token} user: bob",
+        f"{url} token: ab",
+        f"{token}{' ' * 200}user: bob",
+        f"{token}{' ' * 201}user: bob",
+        f"token: ab{' ' * 200}{url}{' ' * 200}user: bob",
+        f"token: ab{' ' * 201}{url}{' ' * 200}user: bob",
+    ]
+    docs = documents(*enumerate(texts))
+    clean = {r.doc_id: r.text for r in credentials.redact(docs).collect()}
+    mark = "[SECRET]"
+    assert clean[0] == f"{mark} {mark}" and clean[1] == f"{url} {mark}"
+    assert clean[2] == f"{mark}{' ' * 200}{mark}" and clean[3] == f"{mark}{' ' * 201}user: bob"
+    assert clean[4] == f"{mark}{' ' * 200}{mark}{' ' * 200}user: bob" and clean[5] == texts[5]
+
+    # all pairs of parts, for texts of many parts of any length
+    random.seed(4)
+    some = ["AKIA" + "A" * 16, "user: bob", "token: ab", "https://h.io/" + "p" * 450, token, "aB3" * 90]
+    texts = ["".join(random.choice(some) + " " * random.choice([1, 30, 199, 202, 400])
+                     for _ in range(random.randint(2, 9))) for _ in range(60)]
+    scan = credentials.scanned(documents(*enumerate(texts))).collect()
+    role = lambda p: credentials.ROLES[credentials.KINDS[p.kind]]
+    found = credentials.credential_spans(documents(*enumerate(texts)), gaps=True).collect()
+    spans = {r.doc_id: r.spans for r in found}
+    for r in scan:
+        kept = list(r.base)
+        for p in r.weak:
+            near = {role(q) for q in [*r.base, *r.weak]
+                    if max(p.start, q.start) - min(p.end, q.end) <= credentials.SCOPE}
+            if {"secret": near & {"id", "endpoint"}, "id": near & {"secret"},
+                    "endpoint": {"id", "secret"} <= near}[role(p)]:
+                kept.append(p)
+        kept = [f"{credentials.KINDS[p.kind]}:{p.start}:{p.end}" for p in sorted(kept)]
+        assert spans[r.doc_id] == ",".join(kept)
+
+
 # 6, 7, 10 ----------------------------------------------------------------------------------------
 
 
