@@ -2,7 +2,7 @@ import decimal
 import os
 
 import pytest
-from conftest import plan_of, same_rows
+from support import plan_of, same_rows
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T

@@ -1,7 +1,7 @@
 import os
 
 import pytest
-from conftest import SF, same_rows
+from support import SF, same_rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

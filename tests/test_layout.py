@@ -2,7 +2,7 @@ import glob
 import os
 
 import pytest
-from conftest import exchanges, plan_of, same_rows
+from support import exchanges, plan_of, same_rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import SF, plan_of
+from support import SF, plan_of
 
 from stagehouse.plans import relational
 from stagehouse.plans.workspace import TABLES, register_tables

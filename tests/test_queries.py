@@ -5,7 +5,7 @@ import os
 from collections import Counter
 
 import pytest
-from conftest import SF
+from support import SF
 
 import __spark_entry__ as registry
 

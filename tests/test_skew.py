@@ -3,7 +3,7 @@
 import os
 
 import pytest
-from conftest import SF
+from support import SF
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
