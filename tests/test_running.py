@@ -55,3 +55,12 @@ def test_empty_and_clashing_names(spark, warehouse):
     made = number_rows(df, ["a.b"], ["__range"], warehouse.area, previous={"was": "__key"})
     assert sorted(tuple(r) for r in made.collect()) == [(1, 1, 4, 1, None), (1, 2, 3, 2, 4)]
     assert number_rows(df.limit(0), ["a.b"], ["__key"], warehouse.area).isEmpty()
+
+
+def test_running_totals(spark, warehouse):
+    values = [(i % 3 // 2, i, None if i % 5 == 0 else i) for i in range(600)]
+    df = spark.createDataFrame(values, "k int, i int, v long")
+    made = number_rows(df, ["k"], ["i"], warehouse.area, totals={"t": "v"}, ranges=9)
+    by_key = Window.partitionBy("k").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    expected = df.select("i", F.sum("v").over(by_key).alias("t"))
+    assert sorted(map(repr, made.select("i", "t").collect())) == sorted(map(repr, expected.collect()))
