@@ -13,9 +13,12 @@ from stagehouse.llm import (
     language,
     ordinal,
     prefix_tokens,
+    prefix_trie,
+    syncmers,
     tiers,
     topk,
     toxicity,
+    whitening,
 )
 from stagehouse.llm.features import remainder
 from stagehouse.llm.storage import table
@@ -79,6 +82,18 @@ def op10_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+def op13_jacobi_davidson_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=32)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -92,6 +107,9 @@ QUERIES = {
         op8_prefix_tokens,
         op9_token_combinations,
         op10_weak_toxicity,
+        op11_prefix_trie,
+        op12_closed_syncmers,
+        op13_jacobi_davidson_whitening,
     )
 }
 
