@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import types as T
 
 from stagehouse.errors import SchemaError
+from stagehouse.functions.dialects import UrlDialect
 
 # Spark type -> type word of the warehouse, one column per dialect.
 # {n} is the string length, {b} the binary length, {p} and {s} precision and scale.
@@ -32,17 +33,20 @@ DIALECTS = ("spark", "ansi", "tsql")
 def type_word(
     column: str,
     data_type: T.DataType,
-    dialect: str = "ansi",
-    string_length: int = 4000,
-    binary_length: int = 8000,
+    dialect: str | UrlDialect = "ansi",
+    string_length: int | str = 4000,
+    binary_length: int | str = 8000,
     overrides: Mapping[type[T.DataType], str] | None = None,
 ) -> str:
     words = _TYPE_WORDS.get(type(data_type))
     if words is None:
+        named = dialect if isinstance(dialect, str) else "database"
         raise SchemaError(
-            f"column {column!r}: {data_type.simpleString()} has no {dialect} type; "
+            f"column {column!r}: {data_type.simpleString()} has no {named} type; "
             "nested and interval columns stay in the Spark catalog"
         )
+    if isinstance(dialect, UrlDialect):
+        return dialect.type_word(column, data_type, words["ansi"], overrides or {})
     word = (overrides or {}).get(type(data_type), words[dialect])
     return word.format(
         n=string_length,
@@ -52,7 +56,9 @@ def type_word(
     )
 
 
-def quote_column(name: str, dialect: str) -> str:
+def quote_column(name: str, dialect: str | UrlDialect) -> str:
+    if isinstance(dialect, UrlDialect):
+        return dialect.quote(name)
     if dialect == "tsql":
         return "[" + name.replace("]", "]]") + "]"
     return '"' + name.replace('"', '""') + '"'
@@ -60,19 +66,20 @@ def quote_column(name: str, dialect: str) -> str:
 
 def ddl_for(
     schema: T.StructType,
-    dialect: str = "spark",
-    string_length: int = 4000,
-    binary_length: int = 8000,
+    dialect: str | UrlDialect = "spark",
+    string_length: int | str = 4000,
+    binary_length: int | str = 8000,
     overrides: Mapping[type[T.DataType], str] | None = None,
 ) -> str:
     """Column list for CREATE TABLE: every column once, with its nullability.
 
     ``spark`` is Spark's own DDL and takes nested types.  ``ansi`` and ``tsql`` are for databases;
-    ``overrides`` replaces the type word of a Spark type, for databases that spell it their own way.
+    a ``UrlDialect`` writes the words of the database behind a url.  Lengths are numbers or a word such
+    as ``max``.  ``overrides`` replaces the type word of a Spark type.
     """
     if not schema.fields:
         raise SchemaError("a table needs at least one column")
-    if dialect not in DIALECTS:
+    if isinstance(dialect, str) and dialect not in DIALECTS:
         raise SchemaError(f"unknown dialect {dialect!r}, one of {', '.join(DIALECTS)}")
     if dialect == "spark":
         for field in schema.fields:

@@ -85,7 +85,7 @@ class Distribution:
     def of(cls, value: "Distribution | str | None") -> "Distribution":
         return value if isinstance(value, cls) else cls.parse(value)
 
-    def clause(self, dialect: str) -> str:
+    def clause(self, dialect) -> str:
         """What follows the column list of CREATE TABLE in a database: the ``tsql`` dialect takes the
         whole layout, others only the clauses this class does not know."""
         if dialect != "tsql":

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -86,12 +88,10 @@ def scan_filter_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.where(F.col("l_quantity") > 45).select("l_orderkey", "l_linenumber")
 
 
-def jdbc_staged_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders into a database, out of it in slices of the order key, staged and scanned.
-
-    The database is the one ``spark.stagehouse.jdbc.url`` names, which executors must reach.  A
-    local session that names none uses embedded Derby in memory, visible to its own process only.
-    """
+@contextmanager
+def _database(spark: SparkSession, sf_dir: str, key: str) -> Iterator[JdbcWarehouse]:
+    """The database that ``spark.stagehouse.jdbc.url`` names, which executors must reach.  A local
+    session that names none uses embedded Derby in memory, visible to its own process only."""
     url = spark.conf.get("spark.stagehouse.jdbc.url", None)
     embedded = None
     if url is None:
@@ -100,26 +100,46 @@ def jdbc_staged_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         embedded = f"jdbc:derby:memory:stagehouse_{uuid.uuid4().hex}"
         url = f"{embedded};create=true"
     catalog = new_warehouse(spark, sf_dir)
-    database = JdbcWarehouse(
-        spark,
-        url,
-        catalog.area.base,
-        user=spark.conf.get("spark.stagehouse.jdbc.user", "app"),
-        password=spark.conf.get("spark.stagehouse.jdbc.password", "app"),
-        rename="RENAME TABLE {old} TO {new}" if embedded else None,
-        partition_columns=["o_orderkey"],
-        num_partitions=max(4, spark.sparkContext.defaultParallelism),
-    )
-    table = f"orders_{uuid.uuid4().hex[:12]}"
     try:
-        database.write(input_table(spark, sf_dir, "orders"), table)
-        return database.read(table=table)
+        yield JdbcWarehouse(
+            spark,
+            url,
+            catalog.area.base,
+            user=spark.conf.get("spark.stagehouse.jdbc.user", "app"),
+            password=spark.conf.get("spark.stagehouse.jdbc.password", "app"),
+            rename="RENAME TABLE {old} TO {new}" if embedded else None,
+            partition_columns=[key],
+            num_partitions=max(4, spark.sparkContext.defaultParallelism),
+        )
     finally:
-        database.drop_table(table)
         if embedded:
             _forget(spark, embedded)
 
 
+def jdbc_staged_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders into a database, out of it in slices of the order key, staged and scanned."""
+    with _database(spark, sf_dir, "o_orderkey") as database:
+        table = f"orders_{uuid.uuid4().hex[:12]}"
+        try:
+            database.write(input_table(spark, sf_dir, "orders"), table)
+            return database.read(table=table)
+        finally:
+            database.drop_table(table)
+
+
+def jdbc_long_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts, and their bytes as a binary column, through a database in its own types."""
+    with _database(spark, sf_dir, "doc_id") as database:
+        table = f"documents_{uuid.uuid4().hex[:12]}"
+        docs = input_table(spark, sf_dir, "documents")
+        try:
+            database.write(docs.withColumn("raw", F.encode("text", "utf-8")), table)
+            back = database.read(table=table)
+        finally:
+            database.drop_table(table)
+    return back.select(*docs.columns, F.md5("raw").alias("raw_md5"))
+
+
 def _forget(spark: SparkSession, embedded: str) -> None:
     """Free an in-memory Derby database; Derby reports success as an exception."""
     try:
@@ -154,6 +174,7 @@ QUERIES = {
     "nested_round_trip": nested_round_trip,
     "scan_filter_project": scan_filter_project,
     "jdbc_staged_scan": jdbc_staged_scan,
+    "jdbc_long_text": jdbc_long_text,
     "format_scan": format_scan,
     "staged_view_sql": staged_view_sql,
 }
@@ -173,6 +194,7 @@ SQL = {
     "nested_round_trip": NESTED_SQL,
     "scan_filter_project": "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_quantity > 45",
     "jdbc_staged_scan": "SELECT * FROM orders",
+    "jdbc_long_text": "SELECT *, md5(text) AS raw_md5 FROM documents",
     "format_scan": "SELECT * FROM orders",
     "staged_view_sql": VIEW_SQL.format(orders="orders"),
 }

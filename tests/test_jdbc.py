@@ -1,9 +1,9 @@
 import uuid
 
 import pytest
-from support import SF, same_rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from support import SF, same_rows
 
 from stagehouse import Distribution, JdbcWarehouse, LoadError, OptionError, SchemaError
 from stagehouse.operators import jdbc as jdbc_module
@@ -47,6 +47,7 @@ def test_round_trip_in_slices(database, orders, table):
 
 
 def test_query_and_pushdown(database, orders, table):
+    database.type_overrides[T.StringType] = "varchar(20)"  # Derby compares no long text
     database.write(orders, table)
     query = f'SELECT "o_orderkey", "o_custkey" FROM {table} WHERE "o_orderstatus" = \'F\''
     back = database.read(query=query, partition_columns=["o_orderkey"])
@@ -309,6 +310,7 @@ def test_layout_text_of_a_database():
     schema = T.StructType.fromDDL("a INT, b STRING")
     made = JdbcWarehouse.__new__(JdbcWarehouse)
     made.type_overrides = {}
+    made.lengths = (4000, 8000)
     made.dialect = "tsql"
     text = lambda layout: made._create_text("dbo.t", schema, Distribution.parse(layout))
     columns = "CREATE TABLE dbo.t ([a] int, [b] nvarchar(4000))"
@@ -333,3 +335,42 @@ def test_odd_names(database, orders):
     assert same_rows(back, odd)
     assert not [t for t in tables_left(database) if t.startswith("LANDING")]
     database.drop_table(name)
+
+
+def test_long_text_and_bytes_without_overrides(spark, url, tmp_path, table):
+    plain = JdbcWarehouse(spark, url, str(tmp_path / "s"), user="app", password="app")
+    rows = spark.range(4).selectExpr(
+        "id", "repeat('long é ', CAST(id * 3000 AS INT)) AS t",
+        "encode(repeat('x', CAST(id * 9000 AS INT)), 'utf-8') AS b", "nullif(id, 2) AS n",
+    )
+    assert same_rows(plain.write(rows, table), rows)
+    assert same_rows(plain.read(table=table, partition_columns=["n", "id"]), rows)
+
+
+def test_words_of_the_url():
+    from pyspark.sql import SparkSession
+
+    from stagehouse.functions.ddl import ddl_for, quote_column
+    from stagehouse.functions.dialects import UrlDialect
+
+    spark = SparkSession.getActiveSession()
+    schema = T.StructType.fromDDL(
+        "a STRING, b BINARY, c TIMESTAMP_NTZ, d DOUBLE, e TINYINT, f DECIMAL(38,10)"
+    )
+    of = lambda url: UrlDialect.of(spark, url)
+    assert ddl_for(schema, of("jdbc:sqlserver://h")) == (
+        '"a" NVARCHAR(MAX), "b" VARBINARY(MAX), "c" DATETIME2, "d" DOUBLE PRECISION, '
+        '"e" SMALLINT, "f" DECIMAL(38,10)'
+    )
+    assert ddl_for(schema, of("jdbc:oracle:thin:@h")) == (
+        '"a" CLOB, "b" BLOB, "c" TIMESTAMP, "d" BINARY_DOUBLE, "e" NUMBER(3), "f" DECIMAL(38,10)'
+    )
+    assert "`c` DATETIME(6)" in ddl_for(schema, of("jdbc:mysql://h"))
+    assert quote_column("a`b", of("jdbc:mysql://h")) == "`a``b`"
+    assert of("jdbc:nobody:h") == "ansi"
+    with pytest.raises(SchemaError, match="does not fit into the database"):
+        ddl_for(schema, of("jdbc:derby:h"))
+    words = {T.DecimalType: "varchar(40)"}
+    assert ddl_for(schema, of("jdbc:derby:h"), overrides=words).endswith('"f" varchar(40)')
+    with pytest.raises(SchemaError, match="array<int> has no database type"):
+        ddl_for(T.StructType.fromDDL("a ARRAY<INT>"), of("jdbc:derby:h"))
