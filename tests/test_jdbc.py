@@ -374,3 +374,74 @@ def test_words_of_the_url():
     assert ddl_for(schema, of("jdbc:derby:h"), overrides=words).endswith('"f" varchar(40)')
     with pytest.raises(SchemaError, match="array<int> has no database type"):
         ddl_for(T.StructType.fromDDL("a ARRAY<INT>"), of("jdbc:derby:h"))
+
+
+def sliced(spark, database, table, names, count):
+    """Rows of each slice, and the number of counting queries."""
+    keys = tuple(KeyColumn(f'"{n}"', T.LongType()) for n in names)
+    slices = KeySlices(spark, database.options, table, keys)
+    made = slices.predicates(count)
+    login = {"user": "app", "password": "app"}
+    rows = spark.read.jdbc(database.url, table, predicates=made, properties=login)
+    sizes = [len(p) for p in rows.select(*[f"`{n}`" for n in names]).rdd.glom().collect()]
+    return sizes, slices.rounds, rows
+
+
+SHAPES = {
+    "even": "id",
+    "far outliers": "if(id % 400 = 0, id * id * 1000000, id)",
+    "clusters": "if(id < 6000, id % 40, id * 100000)",
+    "powers": "CAST(pow(2, id % 60) AS BIGINT)",
+    "hot": "if(id < 3000, 7, id)",
+    "mostly null": "if(id < 6000, null, id)",
+    "null": "CAST(null AS BIGINT)",
+    "negative": "-id * 1000 - 5",
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_slices_of_equal_depth(spark, database, table, shape):
+    key = f"nullif(CAST({SHAPES[shape]} AS BIGINT), -1) AS k"
+    rows = spark.range(8000).selectExpr(key, "id")
+    database.write(rows, table)
+    count = 100 if shape in ("even", "mostly null") else 25
+    sizes, rounds, back = sliced(spark, database, table, ["k", "id"], count)
+    assert same_rows(back, rows)
+    assert rounds <= (10 if shape == "powers" else 4)  # the bits of the range, ten or so a round
+    assert 0.9 * count <= len(sizes) <= count and max(sizes) <= 1.3 * 8000 / count
+    more = spark.range(3).selectExpr("CAST(null AS BIGINT) AS k", "-id * 77 AS id")
+    database.write(more, table, mode="append")  # rows that came after the counting are in a slice too
+    assert back.count() == 8003
+
+
+def test_three_keys_with_nulls_and_a_key_that_cannot_be_cut(spark, database, table, caplog):
+    rows = spark.range(6000).selectExpr(
+        "CAST(nullif(id % 3, 1) AS BIGINT) AS a", "CAST(nullif(id % 5, 2) AS BIGINT) AS b",
+        "if(id % 7 = 0, null, id) AS c",
+    )
+    database.write(rows, table)
+    sizes, rounds, back = sliced(spark, database, table, ["a", "b", "c"], 50)
+    assert same_rows(back, rows) and rounds <= 4 and max(sizes) <= 200
+    sizes, _, back = sliced(spark, database, table, ["a"], 50)
+    assert same_rows(back, rows) and sorted(sizes) == [2000, 2000, 2000]
+    assert "share the key" in caplog.text
+
+
+def test_empty_table_is_one_slice(spark, database, table):
+    database.write(spark.range(0).selectExpr("id AS k"), table)
+    assert sliced(spark, database, table, ["k"], 10)[0] == [0]
+
+
+def test_primary_key_cuts_without_being_asked(spark, url, tmp_path, table):
+    database = JdbcWarehouse(
+        spark, url, str(tmp_path / "s"), user="app", password="app", num_partitions=4
+    )
+    columns = "name varchar(9), a int not null, b bigint not null"
+    database.run_batch([f"CREATE TABLE {table} ({columns}, PRIMARY KEY (b, a))"])
+    rows = spark.range(400).selectExpr("'n' AS NAME", "CAST(id AS INT) AS A", "id % 2 AS B")
+    database.write(rows, table, mode="append")
+    live = database.source(table=table)
+    assert live.rdd.getNumPartitions() == 4 and same_rows(live, rows)
+    assert database.source(table=table, partition_columns=[]).rdd.getNumPartitions() == 1
+    database.run_batch([f"CREATE TABLE {table}_s (a varchar(3) not null primary key)"])
+    assert database.source(table=f"{table}_s").rdd.getNumPartitions() == 1
