@@ -142,14 +142,54 @@ def test_failed_batch_keeps_the_old_table(database, orders, customer, table, mon
     assert len(database.area) == 0
 
 
-def test_a_load_with_repeated_rows_is_done_again(database, orders, table, monkeypatch):
-    counts = iter([orders.count() + 5, orders.count()])
-    monkeypatch.setattr(database, "_count", lambda landing: next(counts))
-    assert same_rows(database.write(orders, table), orders)
-    monkeypatch.setattr(database, "_count", lambda landing: -1)
-    with pytest.raises(LoadError, match=f"{jdbc_module.LOAD_ATTEMPTS} loads"):
+def test_only_wrong_slices_are_loaded_again(spark, database, orders, table, monkeypatch, tmp_path):
+    """The first load doubles one slice and loses half of another one."""
+    path = str(tmp_path / "many")
+    orders.repartition(6).write.parquet(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    write, loads, hit = database._write_slices, [], []
+
+    def faulty(sliced, ledger, only, landing):
+        loads.append(only)
+        write(sliced, ledger, only, landing)
+        if only is None:
+            hit[:] = sorted(r[0] for r in sliced.select(ledger).distinct().collect())[1:3]
+            write(sliced, ledger, hit[:1], landing)
+            some = f'"{ledger}" = {hit[1]} AND mod("o_orderkey", 2) = 0'
+            database.run_batch([f"DELETE FROM {landing} WHERE {some}"])
+
+    monkeypatch.setattr(database, "_write_slices", faulty)
+    try:
+        assert same_rows(database.write(spark.read.parquet(path), table), orders)
+        assert len(hit) == 2 and loads == [None, hit]
+        database.rename = "RENAME TABLE {old} TO {new}"
+        assert same_rows(database.write(spark.read.parquet(path), table, mode="overwrite"), orders)
+        assert database.table(table).columns == orders.columns
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_slices_that_stay_wrong_are_an_error(database, orders, table, monkeypatch):
+    database.write(orders, table)
+    monkeypatch.setattr(database, "_slice_counts", lambda landing, column: {0: -1})
+    with pytest.raises(LoadError, match="slices stay wrong"):
         database.write(orders, table, mode="append")
     assert same_rows(database.table(table), orders)
+    assert not [t for t in tables_left(database) if t.startswith("LANDING")]
+
+
+def test_bulk_load_is_counted_in_its_transaction(database, orders, table):
+    """``INSERT ... SELECT`` stands for a load of the database's own; one loses a row."""
+    database.write(orders, table)
+    database.bulk_load = f"INSERT INTO {{table}} SELECT * FROM {table}"
+    n = orders.count()
+    assert database.write(orders, table, mode="append").count() == 2 * n
+    with pytest.raises(LoadError, match=f"got {2 * n} rows, not {n}"):
+        database.write(orders, table, mode="append")
+    assert database.table(table).count() == 2 * n
+    with pytest.raises(LoadError, match="got 0 rows"):  # dropped, made again and not filled
+        database.write(orders, table, mode="overwrite")
+    assert database.table(table).count() == 2 * n
 
 
 def test_not_null(spark, database, table):
@@ -262,7 +302,8 @@ def test_bulk_load_by_the_database(database, orders, table, monkeypatch):
     """Derby cannot read Parquet, so the statement is only watched; it comes after drop and create."""
     ran = []
     database.write(orders.limit(1), table)
-    monkeypatch.setattr(database, "run_batch", ran.extend)
+    watched = lambda texts: ran.extend(x for x in texts if isinstance(x, str))
+    monkeypatch.setattr(database, "run_batch", watched)
     database.bulk_load = "COPY INTO {table} ({columns}) FROM '{path}'"
     database.write(orders, table, mode="overwrite")
     drop, create, copy = ran
