@@ -124,11 +124,42 @@ class CatalogWarehouse(Warehouse):
         self._one_source(table, query)
         try:
             if query is not None:
-                return self.spark.sql(query)
+                frame = self.spark.sql(query)
+                if self._reads_hot_bucket(frame):
+                    frame = self._without_buckets().sql(query)
+                return frame
             return self.spark.table(quote_name(table))
         except AnalysisException as cause:
             raise SchemaError(f"cannot resolve {table or query}: {cause.getMessage()}", cause)
 
+    def _reads_hot_bucket(self, frame: DataFrame) -> bool:
+        """Whether a relation of the analysed plan, subqueries included, is a table of which one bucket
+        is too large for a task."""
+        plan = frame._jdf.queryExecution().analyzed()
+        inner = plan.subqueriesAll()
+        seen = set()
+        for part in [plan, *(inner.apply(i) for i in range(inner.size()))]:
+            leaves = part.collectLeaves()
+            for leaf in (leaves.apply(i) for i in range(leaves.size())):
+                if leaf.getClass().getSimpleName() != "LogicalRelation":
+                    continue
+                found = leaf.catalogTable()
+                if found.isEmpty() or found.get().bucketSpec().isEmpty():
+                    continue
+                name = found.get().identifier()
+                parts = [*(p for p in [name.database()] if p.isDefined())]
+                seen.add(".".join(quote_part(p) for p in [*(p.get() for p in parts), name.table()]))
+        return any(not self.entry(name).spread.by_bucket for name in seen)
+
+    def _without_buckets(self) -> SparkSession:
+        """A copy of the session, with its views and settings, that scans tables by file splits, so
+        that Spark shuffles both sides of a join and can split a hot key.  This session stays as it is.
+        (A temporary view of a DataFrame, other than one of a query text, keeps its own scans.)"""
+        copy = self.spark._jsparkSession.cloneSession()
+        session = SparkSession(self.spark.sparkContext, copy)
+        session.conf.set("spark.sql.sources.bucketing.enabled", "false")
+        return session
+
     def schema_of(self, table: str | None = None, query: str | None = None) -> T.StructType:
         schema = self.source(table, query).schema
         not_null = set()
@@ -176,8 +207,7 @@ class CatalogWarehouse(Warehouse):
         """Tables to be joined with each other: by bucket only if none of them has an oversized
         bucket, because skew handling needs both sides of a join shuffled.
 
-        SQL text that names such a table scans it by bucket; set
-        ``spark.sql.sources.bucketing.enabled`` to false for it.
+        ``read`` and ``unload`` of a query text look at the tables it names in the same way.
         """
         entries = [self.entry(n) for n in names]
         by_bucket = all(e.spread.by_bucket for e in entries if e.buckets)

@@ -14,7 +14,14 @@ from stagehouse.errors import LoadError, OptionError, SchemaError
 from stagehouse.functions.casts import column_of, conform, find_field, fit
 from stagehouse.functions.names import is_name
 from stagehouse.operators.layout import Distribution
-from stagehouse.sources.staging import StagedDataset, StagingArea, directory_bytes, stage
+from stagehouse.sources.foreign import first_line, plain_path, unknown_fields
+from stagehouse.sources.staging import (
+    StagedDataset,
+    StagingArea,
+    directory_bytes,
+    hadoop_path,
+    stage,
+)
 
 MODES = ("errorifexists", "append", "overwrite", "ignore")
 # Formats whose files carry no schema of their own: loaded under that of the table.
@@ -227,9 +234,11 @@ class Warehouse(ABC):
 
     def _foreign(self, path, spark_format, options, target, match, table) -> DataFrame:
         """Files that somebody else wrote, with nothing lost or moved.  Columnar files may differ:
-        their footers are merged.  Text formats fail on a malformed record unless the format's
-        options name another mode.  A CSV header decides by name; every file must have the same.
-        JSON names are looked up in all files first."""
+        their footers are merged.  Text formats are parsed by the format itself, under the types of the
+        target and the format's own options (date formats, locale), and fail on a malformed record
+        unless the options name another mode; the session's ANSI setting changes nothing.  A CSV header
+        decides by name, for each file its own.  JSON names, nested ones too, are looked up in all
+        files first.  A decimal with more digits than the target's scale is rounded, as by a cast."""
         named = {k.lower() for k in options}
         reader = self.spark.read.format(spark_format).options(**options)
         if spark_format not in _SCHEMALESS:
@@ -242,20 +251,51 @@ class Warehouse(ABC):
             header = next((v for k, v in options.items() if k.lower() == "header"), "false")
             if str(header).lower() != "true":
                 raise OptionError("files without a header can be loaded by position only")
-            texts = reader.option("inferSchema", False).option("enforceSchema", False).load(path)
-            fields = [(n, find_field(target, n)) for n in texts.columns]
-            return texts.select(
-                [column_of(texts, n).cast(f.dataType).alias(n) if f else column_of(texts, n)
-                 for n, f in fields]
-            )
+            return self._by_header(path, options, target)
         if spark_format == "json":
             names = self.spark.read.format("json").options(**options)
-            found = names.option("primitivesAsString", True).load(path).columns
-            extra = [n for n in found if find_field(target, n) is None]
+            found = names.option("primitivesAsString", True).load(path).schema
+            extra = unknown_fields(found, target)
             if extra and extra != ["_corrupt_record"]:
                 raise SchemaError(f"{table} has no column {', '.join(extra)}")
         return reader.schema(target).load(path)
 
+    def _by_header(self, path, options, target) -> DataFrame:
+        """CSV files in groups of the same header line, each group under the types its names have in
+        the target.  Headers are read by the driver, one line a file; names the target lacks stay, for
+        the check of the load to refuse."""
+        groups: dict[str, list[str]] = {}
+        for escaped in self.spark.read.text(path).inputFiles():
+            file = plain_path(self.spark, escaped)
+            groups.setdefault(first_line(self.spark, file), []).append(file)
+
+        folder, fs = hadoop_path(self.spark, path)
+        base = {"basePath": path} if fs.exists(folder) and not fs.getFileStatus(folder).isFile() else {}
+
+        def reader():  # a reader keeps what it was told, so each load takes a new one
+            return self.spark.read.format("csv").options(**{"mode": "FAILFAST", **base, **options})
+
+        frames = []
+        for line, files in groups.items():
+            if not line.strip() and len(groups) > 1:
+                continue  # an empty file says nothing
+            names = reader().option("inferSchema", False).load(files[0]).columns
+            fields = []
+            for name in names:
+                found = find_field(target, name)
+                data_type = T.StringType() if found is None else found.dataType
+                fields.append(T.StructField(name, data_type))
+            typed = reader().schema(T.StructType(fields)).option("enforceSchema", False)
+            frame = typed.load(files)
+            known = [find_field(target, n) for n in names]
+            frames.append(
+                frame.select([column_of(frame, n).alias(f.name if f else n) for n, f in zip(names, known)])
+            )
+        merged = frames[0]
+        for frame in frames[1:]:
+            merged = merged.unionByName(frame, allowMissingColumns=True)
+        return merged
+
     @contextmanager
     def _settled(self, frame: DataFrame, files: StagedDataset | None = None):
         """The rows of ``frame`` in a form that reads the same every time: staged for as long as the

@@ -29,6 +29,14 @@ TYPED_SQL = (
     "FROM lineitem"
 )
 
+# The typed columns, and text that is hard on text formats: chr(92) is a backslash, chr(34) a quote.
+HARD_TEXT_SQL = TYPED_SQL.replace(
+    " FROM lineitem",
+    ", CASE WHEN l_linenumber % 2 = 0 THEN '' END AS c_blank, "
+    "concat('  a, ', chr(34), l_returnflag, chr(34), chr(10), chr(92), 'N', chr(13), chr(92), 'n ') "
+    "AS c_hard, CASE WHEN l_linenumber > 2 THEN concat(chr(92), 'N') END AS c_mark FROM lineitem",
+)
+
 NESTED_SQL = "SELECT vec_id, embedding, label FROM embeddings"
 
 VIEW_SQL = (
@@ -57,6 +65,18 @@ def named_format_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return new_warehouse(spark, sf_dir, "orders").read(table="orders", file_format="columnar")
 
 
+def named_json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    formats = {"lines": ("json", {})}
+    warehouse = new_warehouse(spark, sf_dir, "lineitem", formats=formats)
+    return warehouse.read(query=HARD_TEXT_SQL, file_format="lines")
+
+
+def named_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    formats = {"commas": ("csv", {})}
+    warehouse = new_warehouse(spark, sf_dir, "lineitem", formats=formats)
+    return warehouse.read(query=HARD_TEXT_SQL, file_format="commas")
+
+
 def declared_schema_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reader itself widens ``c_nationkey`` to bigint while it decodes the column."""
     staged = new_warehouse(spark, sf_dir, "customer").unload("customer")
@@ -168,6 +188,8 @@ QUERIES = {
     "unload_then_scan": unload_then_scan,
     "named_location_scan": named_location_scan,
     "named_format_scan": named_format_scan,
+    "named_json_scan": named_json_scan,
+    "named_csv_scan": named_csv_scan,
     "declared_schema_scan": declared_schema_scan,
     "user_schema_scan": user_schema_scan,
     "typed_round_trip": typed_round_trip,
@@ -185,6 +207,8 @@ SQL = {
     "unload_then_scan": "SELECT * FROM orders",
     "named_location_scan": "SELECT * FROM orders",
     "named_format_scan": "SELECT * FROM orders",
+    "named_json_scan": HARD_TEXT_SQL,
+    "named_csv_scan": HARD_TEXT_SQL,
     "declared_schema_scan": (
         "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, "
         "c_mktsegment FROM customer"

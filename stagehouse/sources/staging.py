@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stagehouse.errors import OptionError
+from stagehouse.functions.casts import conform
+from stagehouse.sources import text_codec
 
 log = logging.getLogger(__name__)
 
@@ -71,10 +73,15 @@ class StagedDataset:
         """A lazy DataFrame over the files, columnar and open to pushdown and pruning.
 
         ``schema`` is handed to the reader as it is: columns match by name, integers and decimals
-        widen in the scan.  Use ``functions.conform`` for anything beyond that.
+        widen in the scan.  Use ``functions.conform`` for anything beyond that.  JSON and CSV that this
+        package wrote come back as they were, then conform to ``schema``.
         """
         reader = self.spark.read.format(self.format).options(**self.options)
-        return reader.schema(schema or self.schema).load(self.path)
+        if self.format not in text_codec.FORMATS or self.rows is None:
+            return reader.schema(schema or self.schema).load(self.path)
+        parsed = reader.schema(text_codec.file_schema(self.schema, self.format)).load(self.path)
+        decoded = text_codec.decode(parsed, self.schema, self.format)
+        return decoded if schema is None else conform(decoded, schema)
 
 
 class StagingArea:
@@ -156,13 +163,19 @@ def stage(
 ) -> StagedDataset:
     """Write ``df`` to a new directory of ``area`` in one job; the row count comes from that job.
 
-    A failed job leaves no directory behind.
+    A failed job leaves no directory behind.  JSON and CSV are written so that ``scan`` gives back the
+    same rows; a column that has no such form is refused before the job.
     """
+    options = dict(options or {})
+    if file_format in text_codec.FORMATS:
+        text_codec.check_text(df.schema, file_format)
+        options = text_codec.exact_options(file_format, options)
     path = area.new_dir(parent)
     counted = Observation()
-    frame = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+    frame = text_codec.encode(df, file_format) if file_format in text_codec.FORMATS else df
+    frame = frame.observe(counted, F.count(F.lit(1)).alias("rows"))
     try:
-        frame.write.format(file_format).options(**(options or {})).mode("append").save(path)
+        frame.write.format(file_format).options(**options).mode("append").save(path)
     except BaseException:
         area.release(path)
         raise
@@ -172,5 +185,5 @@ def stage(
         schema=df.schema,
         rows=counted.get["rows"],
         format=file_format,
-        options=dict(options or {}),
+        options=options,
     )

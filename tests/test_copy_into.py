@@ -50,7 +50,6 @@ def test_header_decides_by_name(house, tmp_path, table):
     [
         ("headed", ["a,b\n1,x,z\n"]),
         ("headed", ["a,b\nno,x\n"]),
-        ("headed", ["a,b\n1,x\n", "b,a\nx,1\n"]),
         ("lines", ['{"a": 1, "b": "x"}\n{"a": broken\n']),
         ("lines", ['{"a": "no", "b": "x"}\n']),
     ],
@@ -98,3 +97,72 @@ def test_layout_text_with_brackets():
     for broken in ("HASH(a", "HASH(a))", "HASH([a)", "HEAP, 'x"):
         with pytest.raises(OptionError):
             Distribution.parse(broken)
+
+
+@pytest.fixture(params=["true", "false"])
+def ansi(spark, request):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_every_file_has_its_own_header(house, tmp_path, table, ansi):
+    house.create_table(table, AB)
+    path = files(tmp_path, "a,b\n1,x\n", "b,a\ny,2\n", "A\n3\n", "")
+    assert house.copy_into(table, path, "headed") == 3
+    assert content(house, table) == [(1, "x"), (2, "y"), (3, None)]
+    (tmp_path / "other").mkdir()
+    other = files(tmp_path / "other", "a,b\n1,x\n", "a,c\n1,x\n")
+    with pytest.raises(SchemaError, match="has no column c"):
+        house.copy_into(table, other, "headed")
+
+
+@pytest.mark.parametrize("value", ["12x", "1.5", "99999999999"])
+def test_bad_numbers_fail_whatever_the_session_says(house, tmp_path, table, ansi, value):
+    house.create_table(table, AB)
+    with pytest.raises(LoadError):
+        house.copy_into(table, files(tmp_path, f"a,b\n{value},x\n"), "headed")
+    assert content(house, table) == []
+
+
+def test_the_formats_own_options_act_by_name(spark, tmp_path, table, ansi):
+    options = {"header": "true", "dateFormat": "dd/MM/yyyy", "sep": ";", "nullValue": "-"}
+    house = CatalogWarehouse(
+        spark, str(tmp_path / "t"), str(tmp_path / "s"), formats={"own": ("csv", options)}
+    )
+    house.create_table(table, T.StructType.fromDDL("d DATE, n INT, m DECIMAL(6,2)"))
+    house.copy_into(table, files(tmp_path, "n;d;m\n1;29/02/2024;1.25\n-;-;-\n"), "own")
+    found = [tuple(map(str, r)) for r in content(house, table)]
+    assert sorted(found) == [("2024-02-29", "1", "1.25"), ("None", "None", "None")]
+
+
+def test_a_zone_is_not_cut_from_a_local_time(house, tmp_path, table, ansi):
+    house.create_table(table, T.StructType.fromDDL("t TIMESTAMP_NTZ"))
+    with pytest.raises(LoadError):
+        house.copy_into(table, files(tmp_path, "t\n2024-01-01T10:00:00+05:00\n"), "headed")
+
+
+def test_packed_files_and_odd_names(house, tmp_path, table):
+    import gzip
+
+    house.create_table(table, AB)
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a b%20.csv.gz").write_bytes(gzip.compress(b"b,a\nx,1\n"))
+    assert house.copy_into(table, str(folder), "headed") == 1
+    assert content(house, table) == [(1, "x")]
+
+
+def test_nested_json_names_are_checked(house, tmp_path, table):
+    target = "s STRUCT<k: INT, l: ARRAY<STRUCT<q: INT>>>, m MAP<STRING, STRUCT<v: INT>>"
+    house.create_table(table, T.StructType.fromDDL(target))
+    good = '{"s": {"k": 1, "l": [{"q": 2}]}, "m": {"any": {"v": 3}}}\n'
+    assert house.copy_into(table, files(tmp_path, good), "lines") == 1
+    for i, bad in enumerate(
+        ['{"s": {"k": 1, "z": 2}}', '{"s": {"l": [{"p": 1}]}}', '{"m": {"any": {"w": 3}}}']
+    ):
+        (tmp_path / str(i)).mkdir()
+        with pytest.raises(SchemaError, match="has no column"):
+            house.copy_into(table, files(tmp_path / str(i), bad), "lines")
+    assert len(content(house, table)) == 1

@@ -159,6 +159,40 @@ def test_table_with_a_hot_bucket_is_scanned_in_even_splits(
     assert same_rows(o, rows) and same_rows(c, customer)
 
 
+def test_query_text_on_a_hot_bucket_is_shuffled(spark, warehouse, orders, customer, table, monkeypatch):
+    by = lambda key: Distribution.hash(key, buckets=16)
+    warehouse.write(hot_orders(orders), table, distribution=by("o_custkey"))
+    warehouse.write(customer, f"{table}_c", distribution=by("c_custkey"))
+    join = f"SELECT * FROM {table} JOIN {table}_c ON o_custkey = c_custkey"
+    inner = (
+        f"SELECT c_custkey, count(*) AS n FROM {table}_c "
+        f"WHERE c_custkey IN (SELECT o_custkey FROM {table}) GROUP BY c_custkey"
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    exported = []
+    import stagehouse.operators.warehouse as module
+
+    stage = module.stage
+    monkeypatch.setattr(module, "stage", lambda df, *a: exported.append(df) or stage(df, *a))
+    try:
+        for text in (join, inner):
+            assert "Exchange hashpartitioning" not in plan_of(warehouse.source(query=text))
+        expected = [sorted(map(repr, warehouse.source(query=t).collect())) for t in (join, inner)]
+        monkeypatch.setattr(layout_module, "HOT_BYTES", 100)
+        for text, rows in zip((join, inner), expected):
+            exported.clear()
+            assert sorted(map(repr, warehouse.read(query=text).collect())) == rows
+            warehouse.unload(text)
+            for df in exported:
+                assert exchanges(df) >= 2 and "Bucketed: true" not in plan_of(df)
+            assert len(exported) == 2
+        assert spark.conf.get("spark.sql.sources.bucketing.enabled") == "true"
+        alone = f"SELECT c_custkey, count(*) AS n FROM {table}_c GROUP BY c_custkey"
+        assert exchanges(warehouse.source(query=alone)) == 0  # no hot bucket, no shuffle
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_append_to_a_hash_table_keeps_clustering_and_counts(warehouse, orders, table):
     layout = Distribution.hash("o_custkey", buckets=4)
     warehouse.write(orders, table, distribution=layout)

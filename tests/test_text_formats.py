@@ -1,0 +1,95 @@
+"""JSON and CSV exports give back exactly what was written."""
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import types as T
+
+from stagehouse import CatalogWarehouse, SchemaError
+
+ATOMS = (
+    "s STRING, b BINARY, y TINYINT, h SMALLINT, i INT, l BIGINT, f FLOAT, d DOUBLE, m DECIMAL(38,18), "
+    "o BOOLEAN, a DATE, t TIMESTAMP, n TIMESTAMP_NTZ"
+)
+STAMP = dt.datetime(2024, 2, 29, 12, 34, 56, 123456)
+ROWS = [
+    ("", b"", 0, 0, 0, 0, 0.0, 0.0, Decimal("0"), False, dt.date(1582, 10, 15), STAMP, STAMP),
+    (None,) * 13,
+    ("\\N", b"\x00\xff\n", -128, -32768, -(2**31), -(2**63), 1.5, 0.1, Decimal("-1.5E-18"), True,
+     dt.date(9999, 12, 31), dt.datetime(1969, 12, 31, 23, 59, 59, 999999), dt.datetime(1, 1, 1)),
+    (' lead, "quote"\r\n\\n\\s\\e\\ \t', b"x", 1, 1, 1, 1, float("inf"), float("-inf"),
+     Decimal("12345678901234567890.123456789012345678"), True, dt.date(1, 1, 1), STAMP, STAMP),
+    ("\u2028é𝄞\x00", None, 1, 1, 1, 1, float("-0.0"), 5e-324, None, None, None, None, None),
+    ("\\e", b"N", None, None, None, 2**63 - 1, 3.4e38, 1.7976931348623157e308, None, None, None,
+     dt.datetime(2024, 3, 31, 2, 30), None),
+]
+
+
+@pytest.fixture
+def house(spark, tmp_path):
+    tabs = {"sep": "\t", "header": "true"}
+    formats = {"lines": ("json", {}), "commas": ("csv", {}), "tabs": ("csv", tabs)}
+    return CatalogWarehouse(spark, str(tmp_path / "t"), str(tmp_path / "s"), formats=formats)
+
+
+@pytest.mark.parametrize("kind", ["lines", "commas", "tabs"])
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Berlin"])
+def test_every_atomic_type(spark, house, kind, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame(ROWS, ATOMS).repartition(2)
+        back = house.unload(df, file_format=kind).scan()
+        assert back.dtypes == df.dtypes
+        assert sorted(map(repr, back.collect())) == sorted(map(repr, df.collect()))
+        wide = T.StructType.fromDDL("i BIGINT, s STRING")
+        assert house.unload(df, file_format=kind).scan(wide).dtypes == [("i", "bigint"), ("s", "string")]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_nested_json(spark, house):
+    df = spark.sql(
+        "SELECT * FROM VALUES (named_struct('x', 1, 'y', ''), array('', null, 'a'), map('k', null, '', 2)), "
+        "(null, null, null), (named_struct('x', null, 'y', null), array(), map()) AS t(s, a, m)"
+    )
+    back = house.unload(df, file_format="lines").scan()
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, df.collect()))
+
+
+@pytest.mark.parametrize(
+    ("kind", "column"),
+    [
+        ("commas", "array(1) AS c"),
+        ("lines", "map(1, 2) AS c"),
+        ("lines", "array(INTERVAL 1 DAY) AS c"),
+        ("commas", "INTERVAL 1 DAY AS c"),
+        ("lines", "null AS c"),
+    ],
+)
+def test_types_without_a_form_are_refused_before_the_job(spark, house, kind, column):
+    df = spark.range(1).selectExpr(column)
+    before = len(house.area)
+    with pytest.raises(SchemaError, match="no exact"):
+        house.unload(df, file_format=kind)
+    assert len(house.area) == before
+
+
+def test_csv_stays_one_line_a_record(spark, house):
+    df = spark.createDataFrame([("a\nb\r\nc",), ("",), (None,)], "s STRING").coalesce(1)
+    path = house.unload(df, file_format="commas").path
+    assert sorted(r[0] for r in spark.read.text(path).collect()) == ["\\N", "\\e", "a\\nb\\r\\nc"]
+
+
+TEXTS = st.one_of(st.none(), st.text(st.sampled_from('\\"\r\n\t ,aNnser0\x00\x01\x1f\x7f\x85é'), max_size=8))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(TEXTS, TEXTS), min_size=1, max_size=200))
+def test_any_text(spark, house, rows):
+    df = spark.createDataFrame(rows, "a STRING, b STRING")
+    for kind in ("lines", "commas", "tabs"):
+        back = house.unload(df, file_format=kind).scan()
+        assert sorted(map(repr, back.collect())) == sorted(map(repr, df.collect()))
