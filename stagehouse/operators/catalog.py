@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stagehouse.errors import OptionError, SchemaError
+from stagehouse.errors import LoadError, OptionError, SchemaError
 from stagehouse.functions.casts import column_of, guard_not_null
 from stagehouse.functions.ddl import ddl_for
 from stagehouse.functions.names import quote_name, quote_part, quote_text, split_name
@@ -309,6 +309,37 @@ class CatalogWarehouse(Warehouse):
         self._set_spread(table, entry.spread + spread)
         return rows
 
+    def _append_batch(self, df: DataFrame, table: str, stream: str, number: int) -> None:
+        """The number is a property of the table.  Before the insert it is noted as begun, with the rows
+        there were and those to come; a batch found begun is looked at by the table's rows, which are
+        counted from file footers: all there, it is done; none there, it is inserted; else somebody
+        wrote beside it, which is an error."""
+        key = f"stagehouse.batch.{stream or 'stream'}"
+        kept = json.loads(self.entry(table).properties.get(key, "{}"))
+        if kept.get("done", -1) >= number:
+            log.info("%s has batch %d of %s already", table, number, stream)
+            return
+        with self._settled(df) as settled:
+            count = self.source(table).count()
+            begun = kept.get("begun")
+            if begun and begun[0] == number:
+                _, before, rows = begun
+                if count == before + rows and rows:
+                    self._note(table, key, {"done": number})
+                    return
+                if count != before:
+                    raise LoadError(
+                        f"{table}: batch {number} of {stream!r} was begun at {before} rows, to add {rows}; "
+                        f"there are {count}, so others wrote beside it"
+                    )
+            self._note(table, key, {**kept, "begun": [number, count, settled.count()]})
+            self._append(settled.frame, table)
+            self._note(table, key, {"done": number})
+
+    def _note(self, table: str, key: str, value: Mapping) -> None:
+        listed = f"{quote_text(key)} = {quote_text(json.dumps(value))}"
+        self.spark.sql(f"ALTER TABLE {self._quoted(table)} SET TBLPROPERTIES ({listed})")
+
     def _publish(
         self,
         df: DataFrame,

@@ -85,6 +85,10 @@ class Warehouse(ABC):
         """Add the rows of ``df`` and return how many; all or nothing.  ``files`` are those ``df``
         scans, when it is nothing but a scan."""
 
+    @abstractmethod
+    def _append_batch(self, df: DataFrame, table: str, stream: str, number: int) -> None:
+        """Add the rows of a batch, unless the table has this batch or a later one."""
+
     @abstractmethod
     def _publish(
         self,
@@ -189,6 +193,7 @@ class Warehouse(ABC):
         mode: str = "errorifexists",
         distribution: Distribution | str | None = None,
         table_options: Mapping[str, str] | None = None,
+        batch: tuple[str, int] | None = None,
     ) -> DataFrame:
         """Load ``df`` into a table and return the table.
 
@@ -196,6 +201,10 @@ class Warehouse(ABC):
         raise, or leave it and return it.  ``overwrite`` replaces schema, layout and rows, and may
         read the table it replaces.  ``append`` needs an existing table and keeps its layout.  All checks run
         before the first job.
+
+        ``batch``, the name of a stream and the number of one of its batches, is for an append within
+        ``foreachBatch``: it is kept with the table, and a batch that is there already adds nothing.
+        The batches of a stream come in order, one at a time.
         """
         mode = mode.lower()
         mode = "errorifexists" if mode in ("error", "default") else mode
@@ -209,9 +218,13 @@ class Warehouse(ABC):
             raise OptionError(f"table {table} does not exist, so nothing can be appended to it")
         if mode == "append" and distribution is not None:
             raise OptionError("append keeps the layout of the table; give no distribution")
+        if batch is not None and mode != "append":
+            raise OptionError("a batch of a stream can only be appended")
         if not (exists and mode == "ignore"):
             with self._loading(table):
-                if mode == "append":
+                if batch is not None:
+                    self._append_batch(df, table, *batch)
+                elif mode == "append":
                     self._append(df, table)
                 else:
                     self._publish(df, table, layout, table_options or {}, replace=exists)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -33,6 +34,14 @@ _FIELDS = {
     "dialect": "dialect",
     "partitioncolumn": "partition_column",
     "numpartitions": "num_partitions",
+    "bulkload": "bulk_load",
+    "bulkunload": "bulk_unload",
+    "rename": "rename",
+    "typewords": "type_words",
+    "stringlength": "string_length",
+    "binarylength": "binary_length",
+    "stream": "stream",
+    "batchid": "batch_id",
 }
 
 
@@ -57,6 +66,14 @@ class Options:
     dialect: str | None = None
     partition_column: str | None = None
     num_partitions: str | None = None
+    bulk_load: str | None = None
+    bulk_unload: str | None = None
+    rename: str | None = None
+    type_words: str | None = None
+    string_length: str | None = None
+    binary_length: str | None = None
+    stream: str | None = None
+    batch_id: str | None = None
     connection: Mapping[str, str] = field(default_factory=dict)
 
     @classmethod
@@ -84,12 +101,37 @@ class Options:
             problems.append(f"url must be 'catalog' or start with 'jdbc:', not {self.url!r}")
         if not (self.num_partitions or "1").isdigit() or self.num_partitions == "0":
             problems.append(f"numpartitions must be a positive number, not {self.num_partitions!r}")
+        try:
+            self.overrides()
+        except OptionError as problem:
+            problems.append(str(problem))
         if self.is_jdbc:
             problems += self._login_problems()
-        elif self.connection:
-            problems.append(f"unknown option {', '.join(sorted(self.connection))}")
+        else:
+            for_a_database = [n for n in _DATABASE_ONLY if getattr(self, _FIELDS[n]) is not None]
+            if for_a_database:
+                problems.append(f"{', '.join(for_a_database)}: only a database takes these")
+            if self.connection:
+                problems.append(f"unknown option {', '.join(sorted(self.connection))}")
         return problems
 
+    def overrides(self) -> dict[type[T.DataType], str]:
+        """``typewords``: Spark types with the database's words, such as
+        ``string = nvarchar(max); decimal = numeric({p},{s})``."""
+        out = {}
+        for pair in (self.type_words or "").split(";"):
+            if pair.strip():
+                name, found, word = pair.partition("=")
+                kind = _TYPES.get(name.strip().lower())
+                if kind is None or not word.strip():
+                    raise OptionError(f"typewords: {pair.strip()!r} is not 'spark type = word'")
+                out[kind] = word.strip()
+        return out
+
+    @property
+    def batch(self) -> tuple[str, int] | None:
+        return None if self.batch_id is None else (self.stream or "", int(self.batch_id))
+
     def _login_problems(self) -> list[str]:
         """Client id comes first, then user, then token; each group must be whole."""
         client = (self.client_id, self.client_secret, self.auth_endpoint)
@@ -127,6 +169,10 @@ class Options:
             problems.append("query is not supported in write")
         if not self.is_jdbc and self.root is None:
             problems.append("root, the folder of the tables, must be specified for write")
+        if self.batch_id is not None and not self.batch_id.isdigit():
+            problems.append(f"batchid must be a number from 0, not {self.batch_id!r}")
+        if self.stream is not None and self.batch_id is None:
+            problems.append("stream comes with batchid")
         return self._or_raise(problems)
 
     def _or_raise(self, problems: list[str]) -> "Options":
@@ -143,6 +189,40 @@ _ALIASES = {
     "distribution": "distribution",
 }
 
+# Options that only a database takes.
+_DATABASE_ONLY = (
+    "bulkload",
+    "bulkunload",
+    "rename",
+    "typewords",
+    "stringlength",
+    "binarylength",
+    "dialect",
+)
+# Spark's type names.
+_TYPES = {
+    "bigint": T.LongType,
+    "int": T.IntegerType,
+    "smallint": T.ShortType,
+    "tinyint": T.ByteType,
+    "boolean": T.BooleanType,
+    "float": T.FloatType,
+    "double": T.DoubleType,
+    "decimal": T.DecimalType,
+    "string": T.StringType,
+    "binary": T.BinaryType,
+    "date": T.DateType,
+    "timestamp": T.TimestampType,
+    "timestamp_ntz": T.TimestampNTZType,
+}
+
+
+def _statements(text: str | None) -> list[str] | None:
+    """The statements of an option, between semicolons that end a line or the text."""
+    if text is None:
+        return None
+    return [s.strip().removesuffix(";").strip() for s in re.split(r";[ \t]*(?:\n|$)", text) if s.strip()]
+
 
 def open_warehouse(
     spark: SparkSession,
@@ -165,7 +245,13 @@ def open_warehouse(
             access_token=options.access_token,
             locations=locations,
             formats=formats,
-            dialect=options.dialect or "ansi",
+            dialect=options.dialect,
+            type_overrides=options.overrides(),
+            rename=options.rename,
+            bulk_load=_statements(options.bulk_load),
+            bulk_unload=_statements(options.bulk_unload),
+            string_length=options.string_length or 4000,
+            binary_length=options.binary_length or 8000,
             partition_columns=[c.strip() for c in column.split(",")] if column else (),
             num_partitions=int(options.num_partitions or 8),
             connection=options.connection,
@@ -195,10 +281,11 @@ def read(
 
 def write(df: DataFrame, options: Mapping[str, object], mode: str = "errorifexists") -> DataFrame:
     """``Warehouse.write`` by options: ``url``, ``dbtable``, ``stagingdir``, ``tableoptions``; the
-    last is for a table the write creates, so an append may carry it along unused."""
+    last is for a table the write creates, so an append may carry it along unused.  ``batchid``, with a
+    ``stream`` name, makes an append from ``foreachBatch`` count once however often it is tried."""
     chosen = Options.of(options).check_write()
     warehouse = open_warehouse(df.sparkSession, chosen)
     layout = None
     if chosen.distribution is not None and mode.lower() != "append":
         layout = Distribution.parse(chosen.distribution)
-    return warehouse.write(df, chosen.table, mode, layout)
+    return warehouse.write(df, chosen.table, mode, layout, batch=chosen.batch)
