@@ -77,6 +77,11 @@ class TableEntry:
         return BucketSpread(self.buckets or 1, *kept)
 
 
+def _properties(options: Mapping[str, str] | None) -> str:
+    listed = ", ".join(f"{quote_text(k)} = {quote_text(v)}" for k, v in (options or {}).items())
+    return f" TBLPROPERTIES ({listed})" if listed else ""
+
+
 class CatalogWarehouse(Warehouse):
     """Tables live at ``root/<table>/v_<id>``, one directory per version.
 
@@ -85,6 +90,9 @@ class CatalogWarehouse(Warehouse):
     still answer.  Moving the entry is two catalog steps, the old entry out and the new one in, and
     not atomic: between them another session may find no table.  Old versions are deleted when the
     session ends, unless ``keep_old``.
+
+    A name that begins with another catalog of the session is a table there: read, created, appended to
+    and dropped by that catalog's own means, without versions, layouts or buckets.
     """
 
     def __init__(
@@ -117,6 +125,14 @@ class CatalogWarehouse(Warehouse):
             )
         return parts
 
+    def _elsewhere(self, table: str) -> str | None:
+        """The quoted name of a table in another catalog of the session, else None."""
+        parts = split_name(table)
+        if len(parts) < 2 or parts[0].lower() == "spark_catalog":
+            return None
+        known = self.spark.conf.get(f"spark.sql.catalog.{parts[0]}", None) is not None
+        return quote_name(table) if known else None
+
     def _quoted(self, table: str) -> str:
         return ".".join(quote_part(p) for p in self._parts(table))
 
@@ -163,7 +179,7 @@ class CatalogWarehouse(Warehouse):
     def schema_of(self, table: str | None = None, query: str | None = None) -> T.StructType:
         schema = self.source(table, query).schema
         not_null = set()
-        if table is not None:
+        if table is not None and self._elsewhere(table) is None:
             found = self.spark.catalog.getTable(quote_name(table))
             if not found.isTemporary and found.catalog == "spark_catalog":
                 not_null = self.entry(table).not_null
@@ -175,6 +191,9 @@ class CatalogWarehouse(Warehouse):
         )
 
     def exists(self, table: str) -> bool:
+        other = self._elsewhere(table)
+        if other is not None:
+            return self.spark.catalog.tableExists(other)
         name = self._quoted(table)
         if not self.spark.catalog.tableExists(name):
             return False
@@ -209,10 +228,13 @@ class CatalogWarehouse(Warehouse):
 
         ``read`` and ``unload`` of a query text look at the tables it names in the same way.
         """
-        entries = [self.entry(n) for n in names]
-        by_bucket = all(e.spread.by_bucket for e in entries if e.buckets)
+        entries = [None if self._elsewhere(n) else self.entry(n) for n in names]
+        by_bucket = all(e.spread.by_bucket for e in entries if e and e.buckets)
         frames = []
         for name, entry in zip(names, entries):
+            if entry is None:
+                frames.append(self.spark.table(quote_name(name)))
+                continue
             frame = self.spark.table(self._quoted(name))
             if entry.buckets and not by_bucket:
                 reader = self.spark.read.format(entry.provider).schema(frame.schema)
@@ -253,12 +275,19 @@ class CatalogWarehouse(Warehouse):
         Spark's file tables forget them, and are enforced when rows are loaded."""
         if self.exists(table):
             return
+        other = self._elsewhere(table)
+        if other is not None:
+            self._refuse_layout(table, Distribution.of(distribution))
+            self.spark.sql(f"CREATE TABLE {other} ({ddl_for(schema)}){_properties(table_options)}")
+            return
         layout = Distribution.of(distribution).check(schema).sized(0)
         self._create_entry(table, schema, layout, table_options or {}, self._version_dir(table))
 
     def drop_table(self, table: str) -> None:
         """Remove the entry, if present.  Its files, when they are ours, go when the session ends."""
-        if self.exists(table):
+        if self.exists(table) and self._elsewhere(table):
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._elsewhere(table)}")
+        elif self.exists(table):
             location = self.entry(table).location
             self.spark.sql(f"DROP TABLE IF EXISTS {self._quoted(table)}")
             self._retire(location)
@@ -300,6 +329,12 @@ class CatalogWarehouse(Warehouse):
     def _append(
         self, df: DataFrame, table: str, match: str = "name", files: StagedDataset | None = None
     ) -> int:
+        other = self._elsewhere(table)
+        if other is not None:
+            frame = align(df, self.schema_of(table), match, table)
+            counted = Observation()
+            frame.observe(counted, F.count(F.lit(1)).alias("rows")).writeTo(other).append()
+            return counted.get["rows"]
         entry = self.entry(table)
         frame = align(df, self.schema_of(table), match, table)
         if not entry.buckets:
@@ -314,6 +349,8 @@ class CatalogWarehouse(Warehouse):
         there were and those to come; a batch found begun is looked at by the table's rows, which are
         counted from file footers: all there, it is done; none there, it is inserted; else somebody
         wrote beside it, which is an error."""
+        if self._elsewhere(table):
+            raise OptionError(f"{table}: batches of a stream are kept with tables of spark_catalog only")
         key = f"stagehouse.batch.{stream or 'stream'}"
         kept = json.loads(self.entry(table).properties.get(key, "{}"))
         if kept.get("done", -1) >= number:
@@ -355,6 +392,9 @@ class CatalogWarehouse(Warehouse):
         """
         not_null = [f.name for f in df.schema.fields if not f.nullable]
         frame = guard_not_null(df, not_null, table)
+        if self._elsewhere(table):
+            self._publish_elsewhere(frame, table, layout, table_options, replace)
+            return
         version = self._version_dir(table)
         building = self._beside(table, "new")
         try:
@@ -374,6 +414,39 @@ class CatalogWarehouse(Warehouse):
             self._discard(building, table, version)
             raise
 
+    def _publish_elsewhere(
+        self,
+        frame: DataFrame,
+        table: str,
+        layout: Distribution,
+        table_options: Mapping[str, str],
+        replace: bool,
+    ) -> None:
+        """A table of another catalog, by that catalog's own writer.  A replacement that the catalog
+        cannot make in one step would lose the old rows if it failed, so it is refused."""
+        self._refuse_layout(table, layout)
+        catalog = split_name(table)[0]
+        if replace:
+            jvm_catalog = self.spark._jsparkSession.sessionState().catalogManager().catalog(catalog)
+            staging = "org.apache.spark.sql.connector.catalog.StagingTableCatalog"
+            if not self.spark._jvm.java.lang.Class.forName(staging).isInstance(jvm_catalog):
+                raise OptionError(
+                    f"catalog {catalog} cannot replace {table} in one step; drop the table and write it "
+                    "anew, or append"
+                )
+        writer = frame.writeTo(self._elsewhere(table))
+        for key, value in table_options.items():
+            writer = writer.tableProperty(key, value)
+        if replace:
+            writer.createOrReplace()
+        else:
+            writer.create()
+
+    @staticmethod
+    def _refuse_layout(table: str, layout: Distribution) -> None:
+        if layout.kind != "round_robin" or layout.partitions or layout.other:
+            raise OptionError(f"{table}: layouts are for tables of spark_catalog; its catalog has its own")
+
     def _beside(self, table: str, word: str) -> str:
         """A fresh name in the database of the table."""
         return ".".join([*map(quote_part, self._parts(table)[:-1]), f"{word}_{uuid.uuid4().hex}"])

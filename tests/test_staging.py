@@ -111,7 +111,7 @@ w = CatalogWarehouse(spark, {str(tmp_path / "t")!r}, {str(tmp_path / "s")!r}, lo
 spark.range(5).createOrReplaceTempView("v")
 w.read(table="v"); w.read(table="v", location="l"); kept = w.unload("v", location="l")
 w.write(spark.range(5), "t"); w.write(spark.range(6), "t", mode="overwrite")
-import os; print(len(os.listdir({str(tmp_path / "s")!r})), len(os.listdir({str(tmp_path / "l")!r})), len(os.listdir({str(tmp_path / "t" / "t")!r})))
+import os; print(len([n for n in os.listdir({str(tmp_path / "s")!r}) if not n.endswith((".lease", ".crc"))]), len(os.listdir({str(tmp_path / "l")!r})), len(os.listdir({str(tmp_path / "t" / "t")!r})))
 """
     done = subprocess.run(
         [sys.executable, "-c", code], capture_output=True, text=True, timeout=120, cwd=tmp_path
@@ -120,3 +120,59 @@ import os; print(len(os.listdir({str(tmp_path / "s")!r})), len(os.listdir({str(t
     assert os.listdir(tmp_path / "s") == []
     assert len(os.listdir(tmp_path / "l")) == 1
     assert len(os.listdir(tmp_path / "t" / "t")) == 1
+
+
+def test_expired_directories_go_and_live_ones_stay(spark, tmp_path):
+    base = str(tmp_path / "area")
+    dead, live = StagingArea(spark, base, lease_hours=-1), StagingArea(spark, base)
+    lost = stage(spark.range(3), dead)  # its process is killed: nobody releases it
+    held = stage(spark.range(4), live)
+    kept = dead.new_dir()
+    dead.keep(kept)
+    (tmp_path / "area" / "run_of_somebody").mkdir()
+    later = StagingArea(spark, base)
+    left = {p.name for p in (tmp_path / "area").iterdir() if not p.name.startswith(".")}
+    names = {held.path.rsplit("/", 1)[1], kept.rsplit("/", 1)[1], "run_of_somebody"}
+    assert left == names | {held.path.rsplit("/", 1)[1] + ".lease"}
+    assert lost.path.rsplit("/", 1)[1] not in left and held.scan().count() == 4
+    assert later.sweep() == [] and len(later) == 0
+
+
+def test_leases_are_renewed_and_end_with_the_directory(spark, tmp_path):
+    base = str(tmp_path / "area")
+    area = StagingArea(spark, base, lease_hours=-1)
+    staged = stage(spark.range(3), area)
+    area.lease_hours = 1
+    area.renew()
+    assert StagingArea(spark, base).sweep() == [] and staged.scan().count() == 3
+    area.release(staged.path)
+    assert [p for p in (tmp_path / "area").iterdir() if not p.name.startswith(".")] == []
+    assert area.covers(f"{base}/x") is False
+    area.register(base)
+    assert area.covers(f"{base}/x/y") and not area.covers(base)
+
+
+def test_a_killed_process_leaves_what_the_next_one_sweeps(spark, tmp_path):
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    base = str(tmp_path / "area")
+    code = f"""
+import os, sys
+sys.path.insert(0, {str(Path(__file__).parents[1])!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+from stagehouse.sources.staging import StagingArea, stage
+stage(spark.range(5), StagingArea(spark, {base!r}, lease_hours=1 / 3600))
+pid = spark._jvm.java.lang.ProcessHandle.current().pid()
+os.kill(pid, 9)
+os._exit(9)
+"""
+    assert subprocess.run([sys.executable, "-c", code], timeout=120).returncode == 9
+    import time
+
+    assert [p for p in (tmp_path / "area").iterdir() if p.is_dir()]
+    time.sleep(1.5)
+    assert len(StagingArea(spark, base).sweep()) in (0, 1)
+    assert not [p for p in (tmp_path / "area").iterdir() if p.is_dir()]
