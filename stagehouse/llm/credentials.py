@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stagehouse.llm.storage import written
+from stagehouse.llm.storage import inner_names, own_names, written
 
 SCOPE = 200
 #: The patterns of the parts.
@@ -252,7 +252,8 @@ def redact(docs: DataFrame, *, mark: str = "[SECRET]", scope: int = SCOPE) -> Da
     """``docs`` with every reported span of ``text`` replaced by ``mark`` and ``n_chars``, if there, set
     anew.  Only texts with weak candidates take part in the join; the others stay where they are."""
     own = docs.columns
-    scan = scanned(docs.select(*[F.col(f"`{c}`") for c in own]))
+    inner = inner_names(own, "doc_id", "text")
+    scan = scanned(docs.toDF(*inner))
     plain = scan.where(F.size("weak") == 0).withColumn("spans", F.col("base"))
     asked = _keyed(scan.where(F.size("weak") > 0))
     scan = written(asked.select("k1", "k2", "base", "weak"), "credentials")
@@ -260,18 +261,16 @@ def redact(docs: DataFrame, *, mark: str = "[SECRET]", scope: int = SCOPE) -> Da
     joined = asked.join(linked, ["k1", "k2"], "left").withColumn(
         "spans", F.array_sort(F.concat("base", F.coalesce("linked", F.array().cast(PART))))
     )
-    every = plain.select(*[f"`{c}`" for c in own], "spans").union(
-        joined.select(*[f"`{c}`" for c in own], "spans")
-    )
+    every = plain.select(*inner, "spans").union(joined.select(*inner, "spans"))
     text = F.when(
         F.size("spans") > 0, _redacted(F.col("text"), F.col("spans"), mark)
     ).otherwise(F.col("text"))
     out = every.withColumn("text", text)
     if "n_chars" in own:
-        kind = dict(docs.dtypes)["n_chars"]
-        length = F.when(F.size("spans") > 0, F.length("text").cast(kind))
-        out = out.withColumn("n_chars", F.coalesce(length, "n_chars"))
-    return out.select(*[f"`{c}`" for c in own])
+        name = inner[own.index("n_chars")]
+        length = F.when(F.size("spans") > 0, F.length("text").cast(dict(docs.dtypes)["n_chars"]))
+        out = out.withColumn(name, F.coalesce(length, name))
+    return own_names(out, inner, own)
 
 
 def _sql_hits(kind: str, pattern: str, group: int, test: str) -> str:

@@ -2,7 +2,7 @@
 
 Both tokenizers end every token before white space, so the ids of a text are the ids of its
 chunks one after the other.  A worker keeps the chunks it has seen in sorted arrays of bounded
-size; only new ones go to the tokenizers library.
+size, known by one hash and checked by a second one; only new ones go to the tokenizers library.
 """
 
 from __future__ import annotations
@@ -41,15 +41,17 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.with_ids = with_ids
+        self.seed = 0
         self._clear()
 
     def _clear(self) -> None:
         self.keys = np.zeros(0, np.uint64)
+        self.checks = np.zeros(0, np.uint64)
         self.counts = np.zeros(0, np.int32)
         self.first = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def _learn(self, data: np.ndarray, hashes: np.ndarray, starts, ends) -> None:
+    def _learn(self, data: np.ndarray, hashes: np.ndarray, checks, starts, ends) -> None:
         if len(self.keys) + len(hashes) > KEPT_CHUNKS:
             self._clear()
         raw = data.tobytes()
@@ -70,12 +72,14 @@ class ChunkEncoder:
         keys = np.concatenate([self.keys, hashes])
         order = np.argsort(keys, kind="stable")
         self.keys = keys[order]
+        self.checks = np.concatenate([self.checks, checks])[order]
         self.counts = np.concatenate([self.counts, counts])[order]
         self.first = np.concatenate([self.first, first])[order]
 
     def places(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Where each chunk stands in ``counts`` and ``first``."""
-        hashes = span_hashes(data, starts, ends, EXACT_BYTES)
+        hashes = span_hashes(data, starts, ends, EXACT_BYTES, 2 * self.seed)
+        checks = span_hashes(data, starts, ends, EXACT_BYTES, 2 * self.seed + 1)
         distinct, at, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         where = np.searchsorted(self.keys, distinct)
         if len(self.keys):
@@ -85,9 +89,15 @@ class ChunkEncoder:
         if new.any():
             if len(self.keys) + int(new.sum()) > KEPT_CHUNKS:
                 new[:] = True  # the worker starts anew, with all chunks of this slice
-            self._learn(data, distinct[new], starts[at[new]], ends[at[new]])
+            first = at[new]
+            self._learn(data, distinct[new], checks[first], starts[first], ends[first])
             where = np.searchsorted(self.keys, distinct)
-        return where[inverse]
+        places = where[inverse]
+        if len(places) and np.any(self.checks[places] != checks):
+            self.seed += 1  # two chunks share a hash: other hashes, from the beginning
+            self._clear()
+            return self.places(data, starts, ends)
+        return places
 
     def counts_of(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         place = self.places(data, starts, ends)

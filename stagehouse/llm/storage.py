@@ -8,6 +8,7 @@ import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stagehouse.plans.workspace import work_folder
 from stagehouse.sources.staging import hadoop_path
@@ -45,3 +46,13 @@ def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
     """``mapInArrow`` with a function of this package."""
     ship_package(df.sparkSession)
     return df.mapInArrow(function, schema)
+
+
+def inner_names(columns: list[str], *kept: str) -> list[str]:
+    """Names under which a stage holds the columns it was given: no name of its own clashes with them.
+    ``kept`` stay as they are."""
+    return [c if c in kept else f"own_column_{i}" for i, c in enumerate(columns)]
+
+
+def own_names(df: DataFrame, inner: list[str], columns: list[str]) -> DataFrame:
+    return df.select(*[F.col(i).alias(c) for i, c in zip(inner, columns, strict=True)])

@@ -1,22 +1,22 @@
 """Words and chunks of whole texts, as arrays over the bytes of Arrow batches.
 
-A word is known by a 64-bit hash of its bytes.  Hashes of all words of a batch come from one
-running sum, so no Python object is made per word.  Two words of one comparison share a hash with
-a chance of about 1 in 10^19.
+A word is known by a 64-bit hash of its bytes, mixed eight bytes at a time for all words of a batch
+together, so no Python object is made per word; only words of over ``LONG_SPAN`` bytes go one by one
+through BLAKE2.  Two words of one comparison share a hash with a chance of about 1 in 10^19.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 1 << 20
 SLICE_BYTES = 2 << 20
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+LONG_SPAN = 128
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_EIGHT = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)  # masks of the last bytes
 
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(9, 14)]] = True
@@ -39,23 +39,10 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def _byte_values(lower: bool) -> np.ndarray:
-    values = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
-    if lower:
-        values[65:91] = values[97:123]
-    return values
-
-
-EXACT_BYTES, LOWER_BYTES = _byte_values(False), _byte_values(True)
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        for i, base in enumerate((_BASE, _INVERSE)):
-            steps = np.full(max(n, BLOCK + 1), base, np.uint64)
-            steps[0] = 1
-            _powers[i] = np.multiply.accumulate(steps)
-    return _powers[0], _powers[1]
+#: What a byte counts as: itself, or its lower-case letter.
+EXACT_BYTES = np.arange(256, dtype=np.uint8)
+LOWER_BYTES = EXACT_BYTES.copy()
+LOWER_BYTES[65:91] += 32
 
 
 def text_slices(
@@ -118,31 +105,36 @@ def chunk_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def span_hashes(
-    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = LOWER_BYTES
+    data: np.ndarray,
+    starts: np.ndarray,
+    ends: np.ndarray,
+    values: np.ndarray = LOWER_BYTES,
+    seed: int = 0,
 ) -> np.ndarray:
-    """A hash of the bytes of each span (spans ascending), block by block."""
-    out = np.empty(len(starts), np.uint64)
-    at = 0
-    while at < len(starts):
-        to = max(int(np.searchsorted(ends, starts[at] + BLOCK, "right")), at + 1)
-        low, high = int(starts[at]), int(ends[to - 1])
-        power, inverse = _power_tables(high - low + 1)
-        sums = np.zeros(high - low + 1, np.uint64)
-        np.cumsum(values[data[low:high]] * power[: high - low], out=sums[1:])
-        first = starts[at:to] - low
-        out[at:to] = (sums[ends[at:to] - low] - sums[first]) * inverse[first]
-        at = to
-    return mix(out)
+    """A hash of the bytes of each span.  Every step is a bijection of the hash so far and of the eight
+    bytes taken in, so spans that differ in one place only never share a hash."""
+    size = (ends - starts).astype(np.int64)
+    out = mix((size.astype(np.uint64) + np.uint64(1 + seed)) * _STEP)
+    if not len(data):
+        return out
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data if values is EXACT_BYTES else values[data]
+    words = np.ndarray(len(data), "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    active, at = np.flatnonzero((size > 0) & (size <= LONG_SPAN)), 0
+    while len(active):
+        left = size[active] - at
+        taken = words[starts[active] + at] & _EIGHT[np.minimum(left, 8)]
+        out[active] = mix((out[active] ^ mix(taken + _STEP)) * _STEP + np.uint64(at + 1))
+        at += 8
+        active = active[left > 8]
+    for i in np.flatnonzero(size > LONG_SPAN):
+        raw = padded[starts[i] : ends[i]].tobytes()
+        key = seed.to_bytes(8, "little")
+        digest = hashlib.blake2b(raw, digest_size=8, key=key).digest()
+        out[i] = int.from_bytes(digest, "little")
+    return out
 
 
 def rows_of(bounds: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """The row that holds each position."""
     return np.searchsorted(bounds, starts, "right") - 1
-
-
-def counts_by_row(rows: np.ndarray, n: int) -> np.ndarray:
-    return np.bincount(rows, minlength=n)
-
-
-def sums_by_row(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    return np.bincount(rows, weights=values, minlength=n)

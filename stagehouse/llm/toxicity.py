@@ -33,7 +33,7 @@ from stagehouse.llm.features import (
     sparse,
     word_features,
 )
-from stagehouse.llm.storage import map_batches
+from stagehouse.llm.storage import inner_names, map_batches, own_names
 from stagehouse.llm.text import text_slices
 
 BITS = 20
@@ -186,6 +186,7 @@ def score_toxicity(docs: DataFrame, model: LinearModel, threshold: float = 0.3)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` below the threshold, with their own columns."""
-    scored = score_toxicity(docs, fit(docs, labels), threshold)
-    return scored.where(F.col("predicted") == 0).select(*[f"`{c}`" for c in docs.columns])
+    """The rows of ``docs`` below the threshold, with their own columns, whatever their names."""
+    inner = inner_names(docs.columns, "text")
+    scored = score_toxicity(docs.toDF(*inner), fit(docs, labels), threshold)
+    return own_names(scored.where(F.col("predicted") == 0), inner, docs.columns)
