@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stagehouse.llm.graph import components
-from stagehouse.llm.storage import map_batches, ship_package, written
+from stagehouse.llm.storage import inner_names, map_batches, own_names, written
 from stagehouse.llm.text import mix, rows_of, span_hashes, text_slices, word_spans
 
 SLOT_BITS = 19
@@ -48,6 +48,7 @@ LEAST_PARITY_BITS = 1024
 FINE_SLOTS = 8
 #: Rounds in which only likeliest partners are compared, before all that are left are.
 ROUNDS = 1
+_GROUP = ("sig", "class", "r", "c")  # what a group of blocks is known by
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _PAIR = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -86,7 +87,7 @@ def _slot(hashes: np.ndarray, bits: int) -> np.ndarray:
 
 
 def summarize(docs: DataFrame, n: int) -> DataFrame:
-    """Two kinds of rows: (doc_id, key, n_shingles) per document, and, per task, how many
+    """Two kinds of rows: (doc_id, tag, key, n_shingles) per document (doc_id, tag, text), and, per task, how many
     shingles fell into each of 2^SLOT_BITS slots (slot, total)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,6 +98,7 @@ def summarize(docs: DataFrame, n: int) -> DataFrame:
             size = np.diff(cut)
             yield _record(
                 doc_id=part.column(0),
+                tag=part.column(1),
                 key=pa.array(set_keys(cut, shingles), mask=size == 0),
                 n_shingles=pa.array(size),
                 slot=pa.nulls(len(size), pa.int64()),
@@ -105,11 +107,16 @@ def summarize(docs: DataFrame, n: int) -> DataFrame:
         used = np.flatnonzero(total)
         none = pa.nulls(len(used), pa.int64())
         yield _record(
-            doc_id=none, key=none, n_shingles=none, slot=pa.array(used), total=pa.array(total[used])
+            doc_id=none,
+            tag=none,
+            key=none,
+            n_shingles=none,
+            slot=pa.array(used),
+            total=pa.array(total[used]),
         )
 
     return map_batches(
-        docs, rows, "doc_id long, key long, n_shingles long, slot long, total long"
+        docs, rows, "doc_id long, tag long, key long, n_shingles long, slot long, total long"
     )
 
 
@@ -363,13 +370,11 @@ def block_pairs(members: DataFrame, sets: DataFrame, percent: int, best_only: bo
         "sig", "class", f"{blocks('size')} AS r", f"{block('n_odd')} AS c", *rest
     )
 
-    def pairs(group: pa.Table) -> pa.Table:
-        keys, n, root, odd = (np.array(group[c]) for c in ("key", "n", "root", "is_odd"))
-        parity = group["parity"].to_pylist()
+    def pairs(keys, n, root, odd, parity) -> dict[str, list]:
         least = min(map(len, parity))
         parity = np.stack([folded(p, least) for p in parity]).view(np.uint64)
         left, right = np.flatnonzero(~odd), np.flatnonzero(odd)
-        a, b, sizes = [], [], []
+        out = {"a": [], "b": [], "sizes": []}
         for i in right:
             differ = np.bitwise_count(parity[left] ^ parity[i]).sum(1, dtype=np.int64)
             may = (
@@ -380,22 +385,47 @@ def block_pairs(members: DataFrame, sets: DataFrame, percent: int, best_only: bo
             found = left[may]
             if best_only and len(found):
                 found = found[[np.argmin(differ[may])]]
-            a.append(np.minimum(keys[found], keys[i]))
-            b.append(np.maximum(keys[found], keys[i]))
-            sizes.append(n[found].astype(np.int64) + n[i])
-        found = {"a": a, "b": b, "sizes": sizes}
-        none = [np.zeros(0, np.int64)]
-        return pa.table({name: np.concatenate(parts or none) for name, parts in found.items()})
+            out["a"].append(np.minimum(keys[found], keys[i]))
+            out["b"].append(np.maximum(keys[found], keys[i]))
+            out["sizes"].append(n[found].astype(np.int64) + n[i])
+        return out
 
-    ship_package(members.sparkSession)
-    grouped = one.union(other).groupBy("sig", "class", "r", "c")
-    return grouped.applyInArrow(pairs, "a long, b long, sizes long")
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Groups stand together; one may go on in the next batch, so its last one waits."""
+        held = None
+        for batch in (*batches, None):
+            if batch is not None:
+                now = pa.Table.from_batches([batch])
+                held = now if held is None else pa.concat_tables([held, now])
+            if held is None or not held.num_rows:
+                continue
+            group = np.stack([np.array(held[c], np.int64) for c in _GROUP])
+            starts = np.flatnonzero(np.any(group[:, 1:] != group[:, :-1], axis=0)) + 1
+            starts = [0, *starts.tolist(), held.num_rows]
+            ready = starts if batch is None else starts[:-1]
+            done = held.slice(0, ready[-1])
+            keys, n, root, odd = (np.array(done[c]) for c in ("key", "n", "root", "is_odd"))
+            parity = done["parity"].to_pylist()
+            found = {"a": [], "b": [], "sizes": []}
+            for low, high in zip(ready[:-1], ready[1:], strict=True):
+                if odd[low:high].any() and not odd[low:high].all():
+                    cut = slice(low, high)
+                    for c, parts in pairs(keys[cut], n[cut], root[cut], odd[cut], parity[cut]).items():
+                        found[c] += parts
+            none = [np.zeros(0, np.int64)]
+            yield _record(**{c: pa.array(np.concatenate(parts or none)) for c, parts in found.items()})
+            held = held.slice(ready[-1])
+
+    met = one.union(other).select(*_GROUP, "key", "n", "root", "is_odd", "parity")
+    grouped = met.repartition(*_GROUP).sortWithinPartitions(*_GROUP)
+    return map_batches(grouped, rows, "a long, b long, sizes long")
 
 
 def set_components(docs: DataFrame, frequent: np.ndarray, n: int, percent: int) -> DataFrame:
     """(node, root) of the keys of sets that are similar to another: any two that a chain of similar
     sets connects have the same root."""
-    sigs = signatures(docs, frequent, n, percent)
+    # dealt out once: the grouping and the join read the same shuffle
+    sigs = signatures(docs, frequent, n, percent).repartition("sig")
     shared = (
         sigs.groupBy("sig")
         .agg(F.min("key").alias("low"), F.max("key").alias("high"))
@@ -457,6 +487,12 @@ def set_components(docs: DataFrame, frequent: np.ndarray, n: int, percent: int)
         if pairs.isEmpty():
             break
         roots = _joined(roots, linked(pairs, sets, percent))
+        # a member without a likely partner now has none later on, when more are connected
+        hit = pairs.select(F.col("a").alias("hit")).union(pairs.select("b")).distinct()
+        large = large.join(hit, F.col("key") == F.col("hit"), "left").withColumn(
+            "odd", F.col("odd") & F.col("hit").isNotNull()
+        )
+        large = written(large.drop("hit"), "large")
     return roots
 
 
@@ -506,10 +542,17 @@ def similarity_classes(
     """(doc_id, n_shingles, component_id) per row of ``docs``: two documents link when
     100 * |intersection| >= percent * |union|; component_id is the smallest id reachable."""
     picked = docs.select(
-        F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
+        F.col(id_column).cast("long").alias("doc_id"),
+        F.lit(None).cast("long").alias("tag"),
+        F.col(text_column).alias("text"),
     )
+    return _classified(picked, words, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def _classified(picked: DataFrame, words: int, percent: int) -> DataFrame:
+    """(doc_id, tag, root, n_shingles, component_id) per row of ``picked`` (doc_id, tag, text)."""
     summary = written(summarize(picked, words), "summary")
-    rows = summary.where("slot IS NULL").select("doc_id", "key", "n_shingles")
+    rows = summary.where("slot IS NULL").select("doc_id", "tag", "key", "n_shingles")
     frequent = frequent_slots(summary)
     roots = set_components(picked.select("text"), frequent, words, percent)
     least = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"))
@@ -521,9 +564,11 @@ def similarity_classes(
     )
     classes = rooted.join(
         rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root"
-    ).select("key", "component_id")
+    ).select("key", "root", "component_id")
     return rows.join(classes, "key", "left").select(
         "doc_id",
+        "tag",
+        "root",
         "n_shingles",
         F.when(F.col("key").isNull(), F.col("doc_id"))
         .otherwise(F.col("component_id"))
@@ -532,12 +577,22 @@ def similarity_classes(
 
 
 def one_per_class(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` without those that have a smaller id in their class; of rows with the same
-    id and class one stays.  Rows with null ids and empty texts stay."""
-    classes = similarity_classes(docs, words=words, percent=percent).distinct()
-    kept = classes.where("doc_id = component_id AND n_shingles > 0").select("doc_id", "n_shingles")
-    alone = docs.where("doc_id IS NULL OR text IS NULL OR NOT text RLIKE '[^\\\\x20\\\\x09-\\\\x0D]'")
-    first = docs.join(kept.select("doc_id").distinct(), "doc_id", "left_semi").where(
-        "text RLIKE '[^\\\\x20\\\\x09-\\\\x0D]'"
+    """The rows of ``docs`` without those that have a smaller id in their class.  An id may come with
+    several texts: one row stays of each id and class, so texts of different classes all do.  Rows with
+    null ids and empty texts stay."""
+    inner = inner_names(docs.columns, "doc_id", "text")
+    held = docs.toDF(*inner).withColumn("tag", F.xxhash64("text"))
+    has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    picked = held.select(F.col("doc_id").cast("long").alias("doc_id"), "tag", "text")
+    first = (
+        _classified(picked, words, percent)
+        .where("doc_id = component_id AND n_shingles > 0")
+        .groupBy("doc_id", "root")
+        .agg(F.min("tag").alias("tag"))
+        .select("doc_id", "tag")
+        .distinct()
     )
-    return first.select(docs.columns).dropDuplicates(["doc_id"]).unionByName(alone)
+    alone = held.where(F.col("doc_id").isNull() | ~has_words)
+    kept = held.where(has_words).join(first, ["doc_id", "tag"], "left_semi")
+    kept = kept.dropDuplicates(["doc_id", "tag"])
+    return own_names(kept.select(*inner).unionByName(alone.select(*inner)), inner, docs.columns)
