@@ -37,6 +37,8 @@ from pyspark.sql import functions as F
 from stagehouse.llm.storage import map_batches
 from stagehouse.llm.text import MARKS, mix, rows_of, span_hashes, text_slices, word_spans
 
+#: Block entries that are looked at together; bounds what a search holds, whatever the test items.
+MOST_ENTRIES = 1 << 19
 UNIT_WORDS, UNIT_STEP, SHINGLE, BLOCK_UNITS = 64, 16, 5, 16
 #: Shingles that a question or an answer must have to be a leak without the other: eight words.
 LEAST_SIDE = 4
@@ -224,22 +226,45 @@ def search(index: BlockMaxIndex, rows: np.ndarray, words: np.ndarray, threshold:
     size = len(index.vocabulary)
     pair = np.unique(passage * size + term)
     passage, term = pair // size, pair % size
+    found = [
+        _scored(index, passage[low:high], term[low:high], threshold)
+        for low, high in _portions(passage, np.diff(index.block_first)[term])
+    ]
+    passage, unit, score = (np.concatenate(parts) for parts in zip(*found, strict=True))
+    first = cell_first[passage]
+    row_end = np.searchsorted(rows, rows[first], "right")
+    return first, np.minimum(first + 2 * UNIT_WORDS, row_end), unit, score
+
+
+def _portions(passage: np.ndarray, entries: np.ndarray) -> list[tuple[int, int]]:
+    """Runs of whole passages with about ``MOST_ENTRIES`` block entries together, or one passage."""
+    after = np.cumsum(entries)
+    ends = np.append(np.flatnonzero(np.diff(passage)) + 1, len(passage))  # ends of passages
+    out, low = [], 0
+    while low < len(passage):
+        most = (after[low - 1] if low else 0) + MOST_ENTRIES
+        at = int(np.searchsorted(after[ends - 1], most, "right")) - 1
+        high = int(ends[max(at, np.searchsorted(ends, low, "right"))])
+        out.append((low, high))
+        low = high
+    return out or [(0, 0)]
+
+
+def _scored(index: BlockMaxIndex, passage: np.ndarray, term: np.ndarray, threshold: float):
+    """(passage, unit, score) of the pairs at the threshold or above.  Block maxima are summed for all
+    terms of a passage first; only postings of blocks whose sum reaches the threshold are looked at."""
     blocks = int(index.block.max()) + 1
     source, entry = _expand(index.block_first[term], index.block_first[term + 1])
-    key = passage[source] * blocks + index.block[entry]
-    bound = np.bincount(key, weights=index.block_most[entry])
-    open_ = bound[key] >= threshold - 1e-9
-    key, entry = key[open_], entry[open_]
+    cell, key = np.unique(passage[source] * blocks + index.block[entry], return_inverse=True)
+    open_ = np.bincount(key, weights=index.block_most[entry])[key] >= threshold - 1e-9
+    key, entry = cell[key[open_]], entry[open_]
     source, posting = _expand(index.posting_first[entry], index.posting_first[entry + 1])
     n_units = len(index.units.words)
     key = (key[source] // blocks) * n_units + index.unit[posting]
     distinct, inverse = np.unique(key, return_inverse=True)
     score = np.bincount(inverse, weights=index.weight[posting], minlength=len(distinct))
     good = score >= threshold - 1e-9
-    passage, unit = distinct[good] // n_units, distinct[good] % n_units
-    first = cell_first[passage]
-    row_end = np.searchsorted(rows, rows[first], "right")
-    return first, np.minimum(first + 2 * UNIT_WORDS, row_end), unit, score[good]
+    return distinct[good] // n_units, distinct[good] % n_units, score[good]
 
 
 def leaks_of(index: BlockMaxIndex, data, bounds, threshold: float, least_overlap: float):

@@ -428,8 +428,13 @@ def set_components(docs: DataFrame, frequent: np.ndarray, n: int, percent: int)
     sigs = signatures(docs, frequent, n, percent).repartition("sig")
     shared = (
         sigs.groupBy("sig")
-        .agg(F.min("key").alias("low"), F.max("key").alias("high"))
-        .where("low < high")
+        .agg(
+            F.min("key").alias("low"),
+            F.max("key").alias("high"),
+            F.min("n").alias("n"),
+            F.min("rare").alias("rare"),
+        )
+        .where("low < high AND n >= 0 AND rare >= 0")  # all columns, or the shuffles would differ
         .select("sig")
     )
     buckets = written(sigs.join(shared, "sig", "left_semi"), "buckets")

@@ -7,8 +7,10 @@ through BLAKE2.  Two words of one comparison share a hash with a chance of about
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +68,24 @@ def text_slices(
             part = bounds[at : to + 1]
             yield batch.slice(at, to - at), data[part[0] : part[-1]], part - part[0]
             at = to
+        del batch, texts, bounds, data, part
+        give_back()
+
+
+def give_back() -> None:
+    """Free memory goes back to the machine: a Python worker outlives its task beside a JVM."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(_libc(), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+@lru_cache(1)
+def _libc():
+    try:
+        return ctypes.CDLL("libc.so.6")
+    except OSError:  # another C library, which has no such call
+        return None
 
 
 def word_spans(

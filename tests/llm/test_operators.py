@@ -634,3 +634,25 @@ def test_texts_of_one_id_stay_if_their_classes_differ(documents):
     found = [(i, t) for none, i, t in kept if not none and t]
     assert [i for i, _ in found] == [2, 2] and {t[0] for _, t in found} == {"b", "c"}
     assert (True, 0, b) in kept and (False, 9, "") in kept and len(kept) == 4
+
+
+def test_search_in_portions_finds_the_same(monkeypatch):
+    r = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(60)]
+    items = [(i, " ".join(r.choice(vocabulary) for _ in range(40))) for i in range(30)]
+    units = decontaminate.Units.of(items)
+    seen: dict[int, int] = {}
+    for item in units.items:
+        for term in np.unique(item.words).view(np.int64).tolist():
+            seen[term] = seen.get(term, 0) + 1
+    index = decontaminate.BlockMaxIndex.build(units, seen, 30, 40.0)
+    texts = [items[3][1], "", " ".join(r.choice(vocabulary) for _ in range(500)), "none here"]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    bounds = np.cumsum([0, *map(len, texts)])
+    found = []
+    for most in (1 << 19, 1, 700):
+        monkeypatch.setattr(decontaminate, "MOST_ENTRIES", most)
+        rows, words = decontaminate.words_of(data, bounds)
+        parts = decontaminate.search(index, rows, words, 0.5)
+        found.append(sorted(zip(*(p.round(9).tolist() for p in parts))))
+    assert found[0] == found[1] == found[2] and found[0]
