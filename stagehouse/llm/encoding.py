@@ -11,7 +11,7 @@ import os
 
 import numpy as np
 
-from stagehouse.llm.text import EXACT_BYTES, chunk_spans, rows_of, span_hashes
+from stagehouse.llm.text import chunk_spans, rows_of, span_hash_pairs
 
 #: Chunks that a worker keeps before it starts anew.
 KEPT_CHUNKS = 1_000_000
@@ -78,8 +78,7 @@ class ChunkEncoder:
 
     def places(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Where each chunk stands in ``counts`` and ``first``."""
-        hashes = span_hashes(data, starts, ends, EXACT_BYTES, 2 * self.seed)
-        checks = span_hashes(data, starts, ends, EXACT_BYTES, 2 * self.seed + 1)
+        hashes, checks = span_hash_pairs(data, starts, ends, self.seed)
         distinct, at, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         where = np.searchsorted(self.keys, distinct)
         if len(self.keys):

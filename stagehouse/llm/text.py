@@ -18,6 +18,7 @@ import pyarrow as pa
 SLICE_BYTES = 2 << 20
 LONG_SPAN = 128
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_OTHER_STEP = np.uint64(0xD6E8FEB86659FD93)
 _EIGHT = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)  # masks of the last bytes
 
 SPACES = np.zeros(256, bool)
@@ -125,34 +126,46 @@ def chunk_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def span_hashes(
-    data: np.ndarray,
-    starts: np.ndarray,
-    ends: np.ndarray,
-    values: np.ndarray = LOWER_BYTES,
-    seed: int = 0,
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = LOWER_BYTES
 ) -> np.ndarray:
     """A hash of the bytes of each span.  Every step is a bijection of the hash so far and of the eight
     bytes taken in, so spans that differ in one place only never share a hash."""
+    return _hashed(data, starts, ends, values, 0, False)[0]
+
+
+def span_hash_pairs(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of the exact bytes of each span, made by different steps."""
+    return _hashed(data, starts, ends, EXACT_BYTES, seed, True)
+
+
+def _hashed(data, starts, ends, values, seed: int, second: bool):
     size = (ends - starts).astype(np.int64)
     out = mix((size.astype(np.uint64) + np.uint64(1 + seed)) * _STEP)
+    other = out + _STEP if second else None
     if not len(data):
-        return out
+        return out, other
     padded = np.zeros(len(data) + 8, np.uint8)
     padded[: len(data)] = data if values is EXACT_BYTES else values[data]
     words = np.ndarray(len(data), "<u8", padded, strides=(1,))  # the eight bytes from each place on
     active, at = np.flatnonzero((size > 0) & (size <= LONG_SPAN)), 0
     while len(active):
         left = size[active] - at
-        taken = words[starts[active] + at] & _EIGHT[np.minimum(left, 8)]
-        out[active] = mix((out[active] ^ mix(taken + _STEP)) * _STEP + np.uint64(at + 1))
+        taken = mix((words[starts[active] + at] & _EIGHT[np.minimum(left, 8)]) + _STEP)
+        if second:
+            so_far = other[active] * _OTHER_STEP
+            other[active] = (so_far ^ (so_far >> np.uint64(29))) + taken
+        out[active] = mix((out[active] ^ taken) * _STEP + np.uint64(at + 1))
         at += 8
         active = active[left > 8]
     for i in np.flatnonzero(size > LONG_SPAN):
         raw = padded[starts[i] : ends[i]].tobytes()
-        key = seed.to_bytes(8, "little")
-        digest = hashlib.blake2b(raw, digest_size=8, key=key).digest()
-        out[i] = int.from_bytes(digest, "little")
-    return out
+        digest = hashlib.blake2b(raw, digest_size=16, key=seed.to_bytes(8, "little")).digest()
+        out[i] = int.from_bytes(digest[:8], "little")
+        if second:
+            other[i] = int.from_bytes(digest[8:], "little")
+    return out, other
 
 
 def rows_of(bounds: np.ndarray, starts: np.ndarray) -> np.ndarray:

@@ -569,13 +569,13 @@ def test_structured_words_have_their_own_hashes_and_ids(spark, documents):
 def test_two_chunks_with_one_hash_are_told_apart(monkeypatch):
     from stagehouse.llm import encoding
 
-    real = encoding.span_hashes
+    real = encoding.span_hash_pairs
 
-    def weak(data, starts, ends, values, seed):
-        found = real(data, starts, ends, values, seed)
-        return found % np.uint64(3) if seed == 0 else found
+    def weak(data, starts, ends, seed):
+        found, check = real(data, starts, ends, seed)
+        return (found % np.uint64(3) if seed == 0 else found), check
 
-    monkeypatch.setattr(encoding, "span_hashes", weak)
+    monkeypatch.setattr(encoding, "span_hash_pairs", weak)
     made = encoding.ChunkEncoder(tokenizer_path("word_bpe_49k.json"), True)
     text = " ".join(f"word{i} x{i * 7919}" for i in range(50))
     data = np.frombuffer(text.encode(), np.uint8)
