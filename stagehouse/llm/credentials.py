@@ -3,15 +3,13 @@
 Base spans are found in every whole text: assignments of a secret, access identifiers, long
 hexadecimal runs.  Weak candidates are parts that mean little alone: short assigned secrets, account names,
 mixed runs of letters and digits, endpoints.  An interval join within scopes decides about them:
-two parts are near if at most ``SCOPE`` code points of one text lie between them (``gaps``), or, as in
-the registered query's SQL text, if their starts are at most that far apart; what is near by starts is near
-by gaps.  ``redact`` measures gaps.  A weak
-secret needs a near identifier or endpoint, a weak identifier a near secret, an endpoint both.
+two parts are near if at most ``SCOPE`` code points of one text lie between them.  A weak secret needs a near identifier or endpoint, a weak identifier a near secret, an endpoint both.
 
 The join is on cells of ``SCOPE`` code points.  Parts of a cell are reduced to the least start and
 greatest end of each role first; a weak part meets its own cells and the two beside them, and those two
 numbers decide exactly, since the range that it asks for is wider than a cell.  So work grows with the number
-of parts and their length, however many share a text.
+of parts and their length, however many share a text; positions come from running sums in blocks, overlaps with
+base spans from halving.
 
 Positions are code points, ends exclusive.  Null texts are empty.  Rows that are equal in id and text get
 the same result; null ids stay null.  Other columns are ignored by ``credential_spans`` and kept
@@ -20,12 +18,17 @@ by ``redact``.  Weak parts that overlap a base span are not reported again.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stagehouse.llm.storage import inner_names, own_names, written
 
 SCOPE = 200
+#: Array entries that one level of a running sum takes together; code points that one piece of a redacted
+#: text is cut from.
+BLOCK, TEXT_BLOCK = 64, 1024
 #: The patterns of the parts.
 ASSIGN = (
     r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
@@ -52,43 +55,121 @@ ROLES = {
 PART = "array<struct<start:long,kind:int,end:long>>"
 
 
-def _found(text: Column, pattern: str, value_group: int = 0) -> Column:
-    """array<struct<start, end, value>> of the matches: what stands between matches and the matches
-    themselves, laid end to end, give the positions."""
-    gaps = F.split(text, pattern, -1)
-    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    value = F.regexp_extract_all(text, F.lit(pattern), F.lit(value_group))
-    kind = "struct<at:long,out:array<struct<start:long,end:long,value:string>>>"
-    none = F.from_json(F.lit('{"at": 0, "out": []}'), kind)
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of ``value``, which is evaluated once however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _running(values: Column, join: Callable[[Column, Column], Column], levels: int = 3) -> Column:
+    """The running sums, or greatest values, of an array of longs that are not negative: in blocks, whose
+    last values are run through in the same way, so that the work stays in proportion to the array."""
+    none = F.array().cast("array<long>")
+
+    def add(so_far: Column, value: Column) -> Column:
+        last = F.coalesce(F.get(so_far, F.size(so_far) - 1), F.lit(0).cast("long"))
+        return F.array_append(so_far, join(last, value))
+
+    if levels == 0:
+        return F.aggregate(values, none, add)
+
+    def in_blocks(all_values: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(all_values), F.lit(BLOCK))
+        blocks = F.transform(
+            starts, lambda at: F.aggregate(F.slice(all_values, at, BLOCK), none, add)
+        )
+        return _let(blocks, carried)
+
+    def carried(blocks: Column) -> Column:
+        lasts = _running(F.transform(blocks, lambda b: F.element_at(b, -1)), join, levels - 1)
+
+        def shifted(carries: Column) -> Column:
+            before = lambda i: F.coalesce(F.get(carries, i - 1), F.lit(0).cast("long"))
+            return F.flatten(
+                F.transform(
+                    blocks,
+                    lambda block, i: _let(
+                        before(i), lambda carry: F.transform(block, lambda v: join(carry, v))
+                    ),
+                )
+            )
+
+        return _let(lasts, shifted)
+
+    return F.when(F.size(values) <= BLOCK, F.aggregate(values, none, add)).otherwise(
+        _let(values, in_blocks)
+    )
+
 
-    def step(so_far: Column, one: Column) -> Column:
-        start = so_far["at"] + F.length(one["gap"])
-        end = start + F.length(one["whole"])
-        match = F.struct(start.alias("start"), end.alias("end"), one["value"].alias("value"))
-        return F.struct(end.alias("at"), F.array_append(so_far["out"], match).alias("out"))
+def _sum(one: Column, other: Column) -> Column:
+    return one + other
 
+
+def _parts(text: Column, pattern: str, kind: Callable[[Column], Column], group: int = 0) -> Column:
+    """The matches as parts, ``kind`` of the matched value each; those without a kind go.  What stands
+    between matches and the matches themselves, laid end to end, give the positions."""
     pieces = F.arrays_zip(
-        F.slice(gaps, 1, F.size(whole)).alias("gap"), whole.alias("whole"), value.alias("value")
+        F.split(text, pattern, -1).alias("gap"),
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("whole"),
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("value"),
     )
-    return F.aggregate(pieces, none, step, lambda done: done["out"])
 
+    def placed(found: Column) -> Column:
+        lengths = F.transform(
+            found, lambda one: (F.length(one["gap"]) + F.length(one["whole"])).cast("long")
+        )
 
-def _parts(text: Column, pattern: str, rules: list[tuple[str, object]], group: int = 0) -> Column:
-    """The matches as parts: each rule names a kind and a test of the matched value."""
-    found = _found(text, pattern, group)
+        def part(ends: Column, one: Column, i: Column) -> Column:
+            end = F.get(ends, i)
+            return F.struct(
+                (end - F.length(one["whole"])).alias("start"),
+                kind(one["value"]).alias("kind"),
+                end.alias("end"),
+            )
 
-    def of_kind(kind: str, test) -> Column:
-        number = F.lit(KINDS.index(kind)).alias("kind")
-        return F.transform(
-            F.filter(found, lambda m: test(m["value"])),
-            lambda m: F.struct(m["start"].alias("start"), number, m["end"].alias("end")),
+        return _let(
+            _running(lengths, _sum),
+            lambda ends: F.transform(found, lambda one, i: part(ends, one, i)),
         )
 
-    kinds = [of_kind(kind, test) for kind, test in rules]
-    parts = (kinds[0] if len(kinds) == 1 else F.concat(*kinds)).cast(PART)
+    matches = F.filter(pieces, lambda one: one["whole"].isNotNull())
+    parts = F.filter(_let(matches, placed), lambda part: part["kind"].isNotNull()).cast(PART)
     return F.when(text.rlike(pattern), parts).otherwise(F.array().cast(PART))
 
 
+def _kind(name: str) -> Column:
+    return F.lit(KINDS.index(name))
+
+
+def _apart(parts: Column, base: Column) -> Column:
+    """``parts`` that overlap none of ``base``, which is sorted: of the spans that start before the part's
+    end, found by halving, the greatest end decides."""
+
+    def among(furthest: Column) -> Column:
+        halvings = F.sequence(F.lit(0), F.ceil(F.log2(F.size(base) + F.lit(1))).cast("int"))
+
+        def overlaps(part: Column) -> Column:
+            def halve(range_: Column, _: Column) -> Column:
+                middle = F.floor((range_["lo"] + range_["hi"]) / 2).cast("int")
+                right = F.get(base, middle)["start"] < part["end"]
+                open_ = range_["lo"] < range_["hi"]
+                return F.struct(
+                    F.when(open_ & right, middle + 1).otherwise(range_["lo"]).alias("lo"),
+                    F.when(open_ & ~right, middle).otherwise(range_["hi"]).alias("hi"),
+                )
+
+            every = F.struct(F.lit(0).alias("lo"), F.size(base).alias("hi"))
+            starting = F.aggregate(halvings, every, halve, lambda range_: range_["lo"])
+            end = F.get(furthest, starting - 1)
+            return F.coalesce(end > part["start"], F.lit(False))
+
+        return F.filter(parts, lambda part: ~overlaps(part))
+
+    ends = F.transform(base, lambda b: b["end"])
+    return F.when((F.size(base) == 0) | (F.size(parts) == 0), parts).otherwise(
+        _let(_running(ends, F.greatest), among)
+    )
+
+
 def _mixed(value: Column) -> Column:
     return value.rlike("[a-z]") & value.rlike("[A-Z]") & value.rlike("[0-9]")
 
@@ -96,37 +177,30 @@ def _mixed(value: Column) -> Column:
 def scanned(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """``docs`` with ``base`` and ``weak``, both sorted arrays of parts."""
     text = F.coalesce(F.col(text_column), F.lit(""))
-    anything = lambda value: F.lit(True)
     assigned = _parts(
         text,
         ASSIGN,
-        [
-            ("assign", lambda v: F.length(v) >= 6),
-            ("weak_assign", lambda v: F.length(v) < 6),
-        ],
+        lambda v: F.when(F.length(v) >= 6, _kind("assign")).otherwise(_kind("weak_assign")),
         2,
     )
     first = docs.withColumn("assigned", assigned).withColumn(
         "base",
         F.array_sort(
             F.concat(
-                F.filter("assigned", lambda p: p["kind"] == KINDS.index("assign")),
-                _parts(text, ACCESS, [("access", anything)]),
-                _parts(text, HEX, [("hex", anything)]),
+                F.filter("assigned", lambda p: p["kind"] == _kind("assign")),
+                _parts(text, ACCESS, lambda v: _kind("access")),
+                _parts(text, HEX, lambda v: _kind("hex")),
             )
         ),
     )
-    overlaps = lambda p: F.exists(
-        "base", lambda b: (b["start"] < p["end"]) & (p["start"] < b["end"])
-    )
     weak = F.concat(
-        F.filter("assigned", lambda p: p["kind"] == KINDS.index("weak_assign")),
-        _parts(text, ACCOUNT, [("weak_access", anything)]),
-        _parts(text, MIXED, [("weak_secret", _mixed)]),
-        _parts(text, ENDPOINT, [("endpoint", anything)]),
+        F.filter("assigned", lambda p: p["kind"] == _kind("weak_assign")),
+        _parts(text, ACCOUNT, lambda v: _kind("weak_access")),
+        _parts(text, MIXED, lambda v: F.when(_mixed(v), _kind("weak_secret"))),
+        _parts(text, ENDPOINT, lambda v: _kind("endpoint")),
     )
     return first.withColumn(
-        "weak", F.array_sort(F.filter(weak, lambda p: ~overlaps(p)))
+        "weak", F.array_sort(_let(weak, lambda parts: _apart(parts, F.col("base"))))
     ).drop("assigned")
 
 
@@ -136,7 +210,7 @@ def _keyed(docs: DataFrame, text_column: str = "text") -> DataFrame:
     )
 
 
-def linked_parts(scan: DataFrame, scope: int = SCOPE, gaps: bool = False) -> DataFrame:
+def linked_parts(scan: DataFrame, scope: int = SCOPE) -> DataFrame:
     """(k1, k2, linked): the weak parts of each text that complementary parts stand near to."""
     roles = F.array(*[F.lit(ROLES[k]) for k in KINDS])
     some = scan.where(F.size("weak") > 0).select("k1", "k2", "base", "weak").distinct()
@@ -148,7 +222,7 @@ def linked_parts(scan: DataFrame, scope: int = SCOPE, gaps: bool = False) -> Dat
         "part",
         roles[F.col("part.kind")].alias("role"),
         F.col("part.start").alias("lo"),
-        F.col("part.end" if gaps else "part.start").alias("hi"),
+        F.col("part.end").alias("hi"),
     )
 
     def cell(more: int) -> Column:
@@ -199,7 +273,6 @@ def credential_spans(
     docs: DataFrame,
     *,
     scope: int = SCOPE,
-    gaps: bool = False,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
@@ -209,7 +282,7 @@ def credential_spans(
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
     )
     scan = written(_keyed(scanned(picked)).drop("text"), "credentials")
-    all_rows = scan.join(linked_parts(scan, scope, gaps), ["k1", "k2"], "left")
+    all_rows = scan.join(linked_parts(scan, scope), ["k1", "k2"], "left")
     linked = F.coalesce("linked", F.array().cast(PART))
     count = lambda kind: F.size(
         F.filter("base", lambda p: p["kind"] == KINDS.index(kind))
@@ -224,41 +297,52 @@ def credential_spans(
 
 
 def _redacted(text: Column, parts: Column, mark: str) -> Column:
-    none = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+    """``text`` with ``mark`` for each run of overlapping ``parts``, which are sorted.  What stays is cut from
+    blocks of the text, not from its start, and joined once."""
 
-    def step(so_far: Column, part: Column) -> Column:
-        before = F.substring(
-            text, (so_far["at"] + 1).cast("int"), (part["start"] - so_far["at"]).cast("int")
-        )
-        fresh = part["start"] >= so_far["at"]
-        return F.struct(
-            F.greatest(so_far["at"], part["end"]).alias("at"),
-            F.when(fresh, F.concat(so_far["out"], before, F.lit(mark)))
-            .otherwise(so_far["out"])
-            .alias("out"),
-        )
+    def pieces(blocks: Column) -> Column:
+        def between(start: Column, end: Column) -> Column:
+            numbers = F.sequence(
+                F.floor(start / TEXT_BLOCK), F.floor((end - 1) / TEXT_BLOCK), F.lit(1).cast("long")
+            )
+            cut = F.transform(
+                numbers,
+                lambda n: F.substring(
+                    F.get(blocks, n.cast("int")),
+                    (F.greatest(start - n * TEXT_BLOCK, F.lit(0)) + 1).cast("int"),
+                    (end - F.greatest(start, n * TEXT_BLOCK)).cast("int"),
+                ),
+            )
+            return F.when(end > start, F.array_join(cut, "")).otherwise("")
 
-    return F.aggregate(
-        parts,
-        none,
-        step,
-        lambda done: F.concat(
-            done["out"], F.substring(text, (done["at"] + 1).cast("int"), F.length(text))
-        ),
-    )
+        def piece(furthest: Column, part: Column, i: Column) -> Column:
+            at = F.coalesce(F.get(furthest, i - 1), F.lit(0).cast("long"))
+            return F.when(
+                part["start"] >= at, F.concat(between(at, part["start"]), F.lit(mark))
+            ).otherwise("")
+
+        def joined(furthest: Column) -> Column:
+            rest = between(F.element_at(furthest, -1), F.length(text).cast("long"))
+            marked = F.transform(parts, lambda part, i: piece(furthest, part, i))
+            return F.concat(F.array_join(marked, ""), rest)
+
+        ends = F.transform(parts, lambda part: part["end"])
+        return _let(_running(ends, F.greatest), joined)
+
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{TEXT_BLOCK}}}"), F.lit(0))
+    return _let(blocks, pieces)
 
 
 def redact(docs: DataFrame, *, mark: str = "[SECRET]", scope: int = SCOPE) -> DataFrame:
     """``docs`` with every reported span of ``text`` replaced by ``mark`` and ``n_chars``, if there, set
-    anew.  Only texts with weak candidates take part in the join; the others stay where they are."""
+    anew.  The rows are written once with what was found in them, so no pattern runs twice; only texts with
+    weak candidates take part in the join."""
     own = docs.columns
     inner = inner_names(own, "doc_id", "text")
-    scan = scanned(docs.toDF(*inner))
+    scan = written(_keyed(scanned(docs.toDF(*inner))), "credentials")
     plain = scan.where(F.size("weak") == 0).withColumn("spans", F.col("base"))
-    asked = _keyed(scan.where(F.size("weak") > 0))
-    scan = written(asked.select("k1", "k2", "base", "weak"), "credentials")
-    linked = linked_parts(scan, scope, gaps=True)
-    joined = asked.join(linked, ["k1", "k2"], "left").withColumn(
+    asked = scan.where(F.size("weak") > 0)
+    joined = asked.join(linked_parts(scan, scope), ["k1", "k2"], "left").withColumn(
         "spans", F.array_sort(F.concat("base", F.coalesce("linked", F.array().cast(PART))))
     )
     every = plain.select(*inner, "spans").union(joined.select(*inner, "spans"))
@@ -303,7 +387,7 @@ def oracle() -> str:
     span = f"[{names}][kind + 1] || ':' || s || ':' || e"
     near = (
         "EXISTS (SELECT 1 FROM p q WHERE q.rid = p.rid AND q.role = '{}' AND "
-        f"abs(q.s - p.s) <= {SCOPE})"
+        f"q.s <= p.e + {SCOPE} AND q.e >= p.s - {SCOPE})"
     )
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),

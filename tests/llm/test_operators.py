@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import random
+import time
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -286,6 +287,28 @@ def test_credentials(spark, documents):
     assert credentials.redact(docs).columns == docs.columns
 
 
+def test_many_parts_in_one_text(spark, documents):
+    # positions over several levels of blocks, overlaps by halving, redaction from blocks of the text
+    several = "é😀 token: abcdefgh https://h.example.com/a user: bob " + "ab12" * 8 + " "
+    n = 5000
+    docs = documents((1, several * n), (2, "😀" * 5000 + "token=abcdef" + "x" * 5000))
+    started = time.perf_counter()
+    found = {r.doc_id: r for r in credentials.credential_spans(docs).collect()}
+    clean = {r.doc_id: r.text for r in credentials.redact(docs).collect()}
+    assert time.perf_counter() - started < 60
+    spans = [
+        f"{kind}:{i * len(several) + start}:{i * len(several) + end}"
+        for i in range(n)
+        for kind, start, end in (
+            ("assign", 3, 18), ("endpoint", 19, 42), ("weak_access", 43, 52), ("hex", 53, 85)
+        )
+    ]
+    assert found[1].spans.split(",") == spans and (found[1].n_assign, found[1].n_hex) == (n, n)
+    assert clean[1] == "é😀 [SECRET] [SECRET] [SECRET] [SECRET] " * n
+    assert found[2].spans == f"assign:5000:{5000 + 12 + 5000}"  # the value runs on to the end
+    assert clean[2] == "😀" * 5000 + "[SECRET]"
+
+
 def test_parts_beside_a_long_part_are_redacted(spark, documents):
     token, url = "token=" + "aB3." * 100, "https://h.example.com/" + "p" * 2500
     texts = [
@@ -310,7 +333,7 @@ def test_parts_beside_a_long_part_are_redacted(spark, documents):
                      for _ in range(random.randint(2, 9))) for _ in range(60)]
     scan = credentials.scanned(documents(*enumerate(texts))).collect()
     role = lambda p: credentials.ROLES[credentials.KINDS[p.kind]]
-    found = credentials.credential_spans(documents(*enumerate(texts)), gaps=True).collect()
+    found = credentials.credential_spans(documents(*enumerate(texts))).collect()
     spans = {r.doc_id: r.spans for r in found}
     for r in scan:
         kept = list(r.base)
