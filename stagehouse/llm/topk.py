@@ -11,23 +11,24 @@ What is left is verified by exact integer products, and the bound rises from buc
 
 Components are floor(scale * x).  Vectors that are null, empty or hold null or non-finite components take no
 part, nor do null ids.  Vectors meet only those of the same number of components.  Of rows with the
-same id the least vector counts.  Ties go to the smaller id.  Fewer candidates than k give all.
+same id the least vector counts.  Components and scores beyond 64 bits count as the nearest number that fits.
+Ties go to the smaller id.  Fewer candidates than k give all.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
-
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stagehouse.llm.storage import map_batches, ship_package, written
+from stagehouse.llm.storage import ship_package, written
 
 BUCKET_VECTORS, QUERY_BLOCK, HEAD_VECTORS = 4096, 512, 2048
 HIGH_COSINE = 0.5
+MOST = 2**63 - 1
 FOCUS = 3
 
 
@@ -52,11 +53,17 @@ def quantized(vectors: DataFrame, scale: int, id_column: str, vector_column: str
 
 
 def products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Exact integer products: in doubles where every partial sum fits, else in 64-bit integers."""
-    most = float(np.abs(queries).max(initial=0)) * float(np.abs(vectors).max(initial=0))
-    if most * queries.shape[1] < 2**53:
+    """Exact integer products: in doubles where every partial sum fits, else in 64-bit integers, else in
+    integers of any length, of which those beyond 64 bits become the nearest that fits."""
+    most = 1.0 * queries.shape[1]
+    for side in (queries, vectors):
+        most *= float(np.abs(side.astype(float)).max(initial=0))
+    if most < 2**53:
         return np.rint(queries.astype(float) @ vectors.astype(float).T).astype(np.int64)
-    return queries @ vectors.T
+    if most < 2**62:
+        return queries @ vectors.T
+    exact = queries.astype(object) @ vectors.astype(object).T
+    return np.clip(exact, -MOST, MOST).astype(np.int64)
 
 
 def best_in_bucket(
@@ -105,57 +112,70 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 1), np.int64)
 
 
-def head_bounds(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
-    """``queries`` with ``bound``: the k-th best score among the longest vectors of their number of
-    components, or the least double where those are fewer than k."""
-    dims = [r[0] for r in candidates.select("dims").distinct().collect()]
-    heads = {}
-    for d in dims:
-        rows = (
-            candidates.where(F.col("dims") == d)
-            .orderBy(F.desc("norm"), "vec_id")
-            .limit(max(64, HEAD_VECTORS * 64 // d))
-            .select("vec_id", "v")
-            .toArrow()
-        )
-        heads[d] = (rows["vec_id"].to_numpy(), _matrix(rows["v"]))
-    shared = queries.sparkSession.sparkContext.broadcast(heads)  # bounded by HEAD_VECTORS
+def head_bounds(queries: DataFrame, candidates: DataFrame, k: int, blocks: int) -> DataFrame:
+    """``queries`` with ``bound`` and ``block``: the k-th best score among the longest vectors of their number
+    of components, or the least double where those are fewer than k."""
+    longest = Window.partitionBy("dims").orderBy(F.desc("norm"), "vec_id")
+    heads = (
+        candidates.withColumn("place", F.row_number().over(longest))
+        .where(f"place <= {HEAD_VECTORS} AND place <= greatest(64, {HEAD_VECTORS * 64} div dims)")
+        .select("dims", "vec_id", "v")
+    )
+    block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block")
+    asked = queries.select("dims", block, "vec_id", "v", "norm")
+    held = heads.join(asked.select("dims", "block").distinct(), "dims")
 
-    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for query_id, v in zip(
-                batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True
-            ):
-                ids, vectors = shared.value[len(v)]
-                scores = products(np.array([v], np.int64), vectors)[0][ids != query_id]
+    def bound(asked: pa.Table, held: pa.Table) -> pa.Table:
+        out = []
+        if asked.num_rows:
+            ids, vectors = held["vec_id"].to_numpy(), _matrix(held["v"])
+            for query_id, v in zip(asked["vec_id"].to_pylist(), _matrix(asked["v"]), strict=True):
+                scores = products(v[None, :], vectors)[0][ids != query_id]
                 enough = len(scores) >= k
                 out.append(float(-np.partition(-scores, k - 1)[k - 1]) if enough else -math.inf)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(out)], names=["vec_id", "v", "norm", "dims", "bound"]
-            )
+        return asked.append_column("bound", pa.array(out, pa.float64()))
 
-    picked = queries.select("vec_id", "v", "norm", "dims")
-    return map_batches(
-        picked, bound, "vec_id long, v array<long>, norm double, dims int, bound double"
+    ship_package(queries.sparkSession)
+    asked, held = asked.toDF(*asked.columns), held.toDF(*held.columns)
+    return (
+        asked.groupBy("dims", "block")
+        .cogroup(held.groupBy("dims", "block"))
+        .applyInArrow(
+            bound, "dims int, block int, vec_id long, v array<long>, norm double, bound double"
+        )
     )
 
 
-def bucket_edges(candidates: DataFrame) -> dict[int, list[float]]:
-    """For each number of components, the norms that part its buckets, falling."""
+def bucket_edges(candidates: DataFrame) -> dict[int, np.ndarray]:
+    """For each number of components with more than a bucket's vectors, the norms that part its buckets,
+    rising."""
     out = {}
-    for d, n in candidates.groupBy("dims").count().collect():
-        parts = max(1, math.ceil(n / BUCKET_VECTORS))
-        marks = [i / parts for i in range(1, parts)]
+    many = candidates.groupBy("dims").count().where(f"count > {BUCKET_VECTORS}")
+    for d, n in many.collect():
+        parts = math.ceil(n / BUCKET_VECTORS)
         found = (
             candidates.where(F.col("dims") == d)
-            .agg(F.percentile_approx("norm", [float(m) for m in marks] or [0.5], 10_000))
+            .agg(F.percentile_approx("norm", [i / parts for i in range(1, parts)], 10_000))
             .first()[0]
         )
-        out[d] = sorted(set(found), reverse=True) if marks else []
+        out[d] = np.unique(np.array(found, float))
     return out
 
 
+def _bucket_of(edges: dict[int, np.ndarray]):
+    """A function of (dims, length): the bucket of that length, 0 for the longest."""
+
+    def bucket(dims: pd.Series, length: pd.Series) -> pd.Series:
+        dims, length = dims.to_numpy(), length.to_numpy()
+        out = np.zeros(len(dims), np.int32)
+        for d in np.unique(dims):
+            own, marks = dims == d, edges.get(int(d), np.zeros(0))
+            out[own] = len(marks) - np.searchsorted(marks, length[own], "left")
+        return pd.Series(out)
+
+    return F.pandas_udf(bucket, "int")
+
+
 def top_k(
     vectors: DataFrame,
     is_query: Column,
@@ -168,51 +188,47 @@ def top_k(
     """(query_id, rank, vec_id, score) for the rows of ``vectors`` whose id meets ``is_query`` (a
     condition on ``vec_id``)."""
     candidates = written(quantized(vectors, scale, id_column, vector_column), "vectors")
-    queries = written(head_bounds(candidates.where(is_query), candidates, k), "queries")
-    edges = bucket_edges(candidates)
+    asked = candidates.where(is_query)
+    blocks = max(1, math.ceil(asked.count() / QUERY_BLOCK))
+    queries = written(head_bounds(asked, candidates, k, blocks), "queries")
     spark = vectors.sparkSession
+    ship_package(spark)
+    bucket_of = _bucket_of(bucket_edges(candidates))  # a number per BUCKET_VECTORS vectors
+    placed = candidates.withColumn("bucket", bucket_of("dims", "norm"))
     # buckets that hold many equal norms are cut further, by id
-    rows = [
-        (d, b, float(low), float(high))
-        for d, marks in edges.items()
-        for b, (high, low) in enumerate(
-            zip([math.inf, *marks], [*marks, -math.inf], strict=True)
-        )
-    ]
-    table = spark.createDataFrame(rows, "dims int, bucket int, low double, high double")
-    table = F.broadcast(table)  # one row per BUCKET_VECTORS vectors: numbers only
-    inside = (F.col("norm") > F.col("low")) & (F.col("norm") <= F.col("high"))
-    placed = candidates.join(table, "dims").where(inside)
     size = placed.groupBy("dims", "bucket").agg(
         F.count("*").alias("n"), F.max("norm").alias("longest")
     )
-    sizes = F.broadcast(
-        size.withColumn("parts", F.ceil(F.col("n") / (2 * BUCKET_VECTORS)).cast("int"))
+    sizes = written(
+        size.withColumn("parts", F.ceil(F.col("n") / (2 * BUCKET_VECTORS)).cast("int")), "sizes"
     )
     group = ["dims", "bucket", "part", "block"]
-    blocks = max(1, math.ceil(queries.count() / QUERY_BLOCK))
+    # buckets fall in length: a query visits all down to the length that its bound asks for
+    needed = F.when(
+        (F.col("bound") > 0) & (F.col("norm") > 0), F.col("bound") * (1 - 1e-9) / F.col("norm")
+    ).otherwise(F.lit(0.0))
     query_side = (
-        queries.join(sizes, "dims")
+        queries.withColumn("last", bucket_of("dims", needed))
+        .withColumn("bucket", F.explode(F.sequence(F.lit(0), F.col("last"))))
+        .join(sizes, ["dims", "bucket"])
         .where("bound <= 0 OR norm * longest >= bound * (1 - 1e-9)")
         .select(
             "dims",
             "bucket",
             F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-            F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"),
+            "block",
             "vec_id",
             "v",
             "norm",
             "bound",
         )
     )
-    vector_side = placed.join(sizes.select("dims", "bucket", "parts"), ["dims", "bucket"]).select(
-        "dims",
-        "bucket",
-        F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int").alias("part"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-        "vec_id",
-        "v",
-        "norm",
+    asking = query_side.select(*group).distinct()
+    vector_side = (
+        placed.join(sizes.select("dims", "bucket", "parts"), ["dims", "bucket"])
+        .withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
+        .join(asking, group[:3])  # one copy for each block of queries that comes here
+        .select(*group, "vec_id", "v", "norm")
     )
 
     def search(asked: pa.Table, held: pa.Table) -> pa.Table:
@@ -234,7 +250,6 @@ def top_k(
                 out["score"] += scores.tolist()
         return pa.table({n: pa.array(x, pa.int64()) for n, x in out.items()})
 
-    ship_package(spark)
     query_side = query_side.toDF(*query_side.columns)  # columns of their own on either side
     vector_side = vector_side.toDF(*vector_side.columns)
     found = (

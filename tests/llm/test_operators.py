@@ -112,6 +112,34 @@ def test_top_k_handles_odd_vectors(spark, monkeypatch):
     assert rows(topk.top_k(df.limit(0), F.expr("vec_id % 2 = 0"))) == []
 
 
+def test_topk_over_many_buckets(spark, monkeypatch):
+    # buckets of 8 vectors, blocks of 4 queries, two numbers of components, equal lengths, zero vectors
+    for name, value in (("BUCKET_VECTORS", 8), ("QUERY_BLOCK", 4), ("HEAD_VECTORS", 4)):
+        monkeypatch.setattr(topk, name, value)
+    random.seed(9)
+    vectors = [[random.gauss(0, 1) * (1 + i % 7) for _ in range(3 + i % 2)] for i in range(300)]
+    vectors += [[0.0, 0.0, 0.0]] * 5 + [[1.0, 2.0, 2.0]] * 40 + [[-1.0, -2.0, -2.0]] * 20
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    whole = [[int(np.floor(256 * x)) for x in v] for v in vectors]
+    want = set()
+    for q in range(0, len(whole), 3):
+        scores = sorted(
+            (-sum(a * b for a, b in zip(whole[q], v, strict=True)), i)
+            for i, v in enumerate(whole)
+            if i != q and len(v) == len(whole[q])
+        )
+        want |= {(q, rank, i, -s) for rank, (s, i) in enumerate(scores[:5], 1)}
+    found = topk.top_k(df, F.expr("vec_id % 3 = 0")).collect()
+    assert {tuple(r) for r in found} == want and len(found) == len(want)
+
+    # scores beyond 64 bits are the nearest that fits
+    huge = spark.createDataFrame(
+        [(0, [1e300, 1.0]), (1, [1e300, 0.0]), (2, [-1e300, 0.0])], "vec_id long, embedding array<double>"
+    )
+    found = topk.top_k(huge, F.expr("vec_id = 0")).collect()
+    assert [tuple(r)[2:] for r in sorted(found)] == [(1, 2**63 - 1), (2, 1 - 2**63)]
+
+
 # 2 -----------------------------------------------------------------------------------------------
 
 
