@@ -7,7 +7,7 @@ to the buckets that remain, in blocks of queries.  In a bucket the bound gives a
 of its own.  Where it is high, coordinates prune: a unit vector can reach cosine t with the query only
 if its coordinate at the query's largest ones lies in a narrow interval.  Else length prunes: the
 bucket is sorted by length, and vectors too short to reach the bound at cosine 1 end the scan.
-What is left is verified by exact integer products, and the bound rises from bucket to bucket.
+What is left is verified by exact integer products; buckets are searched side by side, with one bound.
 
 Components are floor(scale * x).  Vectors that are null, empty or hold null or non-finite components take no
 part, nor do null ids.  Vectors meet only those of the same number of components.  Of rows with the
@@ -71,7 +71,7 @@ def best_in_bucket(
 ) -> tuple[np.ndarray, np.ndarray]:
     """(ids, scores) of the bucket's vectors that may be among the k best, best first."""
     if bound <= 0 or norm == 0:
-        pick = np.arange(len(bucket.ids))  # nothing can be pruned below a positive bound
+        pick = slice(None)  # nothing can be pruned below a positive bound
     else:
         slack = bound * (1 - 1e-9)
         local = slack / (norm * bucket.norms[0]) if bucket.norms[0] else 2.0
@@ -79,9 +79,9 @@ def best_in_bucket(
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         # length: the bucket is sorted by length, longest first
         reach = int(np.searchsorted(-bucket.norms, -slack / norm, "right"))
-        pick = np.arange(reach)
+        pick = slice(reach)
         if local >= HIGH_COSINE:
-            unit = query / norm
+            pick, unit = np.arange(reach), query / norm
             for f in np.argsort(-np.abs(unit), kind="stable")[:FOCUS]:
                 width = math.sqrt((1 - local**2) * max(0.0, 1 - unit[f] ** 2)) + 1e-9
                 at = bucket.units[pick, f]
@@ -89,8 +89,10 @@ def best_in_bucket(
                 at = bucket.units[pick, f]
                 pick = pick[(at <= unit[f] * local + width) | (unit[f] > 0)]
     ids = bucket.ids[pick]
-    scores = products(query[None, :], bucket.vectors[pick])[0]
-    other = ids != query_id
+    scores = bucket.scores(query, pick)
+    other = (ids != query_id) & (scores >= bound)
+    if other.sum() > k:
+        other &= scores >= np.partition(scores[other], -k)[-k]
     ids, scores = ids[other], scores[other]
     order = np.lexsort((ids, -scores))[:k]
     return ids[order], scores[order]
@@ -102,7 +104,15 @@ class Bucket:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, norms: np.ndarray):
         order = np.lexsort((ids, -norms))
         self.ids, self.vectors, self.norms = ids[order], vectors[order], norms[order]
-        self.units = self.vectors / np.maximum(self.norms, 1e-12)[:, None]
+        self.doubles = self.vectors.astype(float)
+        self.units = self.doubles / np.maximum(self.norms, 1e-12)[:, None]
+        self.most = float(np.abs(self.doubles).max(initial=0))
+
+    def scores(self, query: np.ndarray, pick: slice | np.ndarray) -> np.ndarray:
+        asked = query.astype(float)
+        if self.most * float(np.abs(asked).max(initial=0)) * len(query) < 2**53:
+            return np.rint(self.doubles[pick] @ asked).astype(np.int64)
+        return products(query[None, :], self.vectors[pick])[0]
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
