@@ -90,7 +90,7 @@ def best_in_bucket(
                 pick = pick[(at <= unit[f] * local + width) | (unit[f] > 0)]
     ids = bucket.ids[pick]
     scores = bucket.scores(query, pick)
-    other = (ids != query_id) & (scores >= bound)
+    other = (ids != query_id) & (scores >= bound - abs(bound) * 1e-9)
     if other.sum() > k:
         other &= scores >= np.partition(scores[other], -k)[-k]
     ids, scores = ids[other], scores[other]
