@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from stagehouse.llm.graph import components
 from stagehouse.llm.storage import inner_names, map_batches, own_names, written
-from stagehouse.llm.text import mix, rows_of, span_hashes, text_slices, word_spans
+from stagehouse.llm.text import give_back, mix, rows_of, span_hashes, text_slices, word_spans
 
 SLOT_BITS = 19
 FILTER_BITS = 20
@@ -196,6 +196,37 @@ def signatures(docs: DataFrame, frequent: np.ndarray, n: int, percent: int) -> D
     return map_batches(docs.select("text"), rows, "sig long, key long, n int, rare int")
 
 
+def shared_signatures(sigs: DataFrame) -> DataFrame:
+    """The rows of ``sigs`` (sig, key, n, rare), each once, whose signature two sets or more have.  One shuffle:
+    rows of a signature stand together, in the order of their keys, and only the last one waits for
+    the next, so a task holds one batch, however many sets share a signature."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, is_shared = None, False  # the last row, and whether the one before has its signature
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = pa.Table.from_batches([batch])
+            if held is not None:
+                now = pa.concat_tables([held, now])
+            sig, key = (now[c].to_numpy() for c in ("sig", "key"))
+            again = (sig[1:] == sig[:-1]) & (key[1:] == key[:-1])
+            once = np.concatenate([[True], ~again])
+            now, sig = now.filter(pa.array(once)), sig[once]
+            same = sig[1:] == sig[:-1]
+            before = np.concatenate([[is_shared], same])
+            yield from now.slice(0, len(sig) - 1).filter(pa.array(before[:-1] | same)).to_batches()
+            held, is_shared = now.slice(len(sig) - 1), bool(before[-1])
+            held = pa.Table.from_pylist(held.to_pylist(), held.schema)  # not a view of the batch
+            del batch, now
+            give_back()
+        if is_shared:
+            yield from held.to_batches()
+
+    dealt = sigs.repartition("sig").sortWithinPartitions("sig", "key")
+    return map_batches(dealt, rows, "sig long, key long, n int, rare int")
+
+
 def _bits(keys: DataFrame) -> np.ndarray:
     """A bit per slot of keys, 2^FILTER_BITS of them: which sets may be wanted."""
     slots = keys.select(F.expr(f"shiftrightunsigned(key, {64 - FILTER_BITS})").alias("slot"))
@@ -280,6 +311,8 @@ def likely(pairs: DataFrame, sets: DataFrame, percent: int, column: str = "parit
             keep = differ <= _differ_at_most(batch.column(2).to_numpy(), percent)
             a, b, sizes = (batch.column(i) for i in range(3))
             yield _record(a=a, b=b, sizes=sizes, differ=pa.array(differ)).filter(pa.array(keep))
+            del batch, sides, a, b, sizes
+            give_back()
 
     both = pairs.join(_side(sets, column, "a", "left"), "a").join(
         _side(sets, column, "b", "right"), "b"
@@ -300,6 +333,8 @@ def _named(sets: DataFrame, column: str, pairs: DataFrame) -> DataFrame:
         for batch in batches:
             keep = _has_bit(wanted.value, np.asarray(batch.column(0), np.int64))
             yield batch.filter(pa.array(keep))
+            del batch
+            give_back()
 
     return map_batches(sets.select("key", column), named, f"key long, {column} binary")
 
@@ -317,6 +352,8 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 for a, b in zip(batch.column(2), batch.column(3), strict=True)
             ]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            del batch
+            give_back()
 
     some = _named(sets, "shingles", near)
     both = near.join(_side(some, "shingles", "a", "left"), "a").join(
@@ -424,21 +461,7 @@ def block_pairs(members: DataFrame, sets: DataFrame, percent: int, best_only: bo
 def set_components(docs: DataFrame, frequent: np.ndarray, n: int, percent: int) -> DataFrame:
     """(node, root) of the keys of sets that are similar to another: any two that a chain of similar
     sets connects have the same root."""
-    # dealt out once: the grouping and the join read the same shuffle
-    sigs = signatures(docs, frequent, n, percent).repartition("sig")
-    shared = (
-        sigs.groupBy("sig")
-        .agg(
-            F.min("key").alias("low"),
-            F.max("key").alias("high"),
-            F.min("n").alias("n"),
-            F.min("rare").alias("rare"),
-        )
-        .where("low < high AND n >= 0 AND rare >= 0")  # all columns, or the shuffles would differ
-        .select("sig")
-    )
-    buckets = written(sigs.join(shared, "sig", "left_semi"), "buckets")
-    distinct = buckets.distinct()  # copies in several slices give the same rows
+    distinct = written(shared_signatures(signatures(docs, frequent, n, percent)), "buckets")
     hubs = distinct.groupBy("sig").agg(
         F.min(F.struct("rare", "key", "n")).alias("hub"),
         F.count("*").alias("size"),

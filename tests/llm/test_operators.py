@@ -315,6 +315,28 @@ def test_credentials(spark, documents):
     assert credentials.redact(docs).columns == docs.columns
 
 
+def test_signatures_of_one_set_go(spark):
+    # copies of a row, signatures that go on over many batches, in one partition and in several
+    random.seed(5)
+    rows_ = [(random.randrange(400), random.randrange(60), 5, 1) for _ in range(600)]
+    rows_ += [(7, k, 5, 1) for k in range(100, 400)] * 2 + [(1000, 1, 5, 1)] * 50
+    sets = defaultdict(set)
+    for sig, key, *_ in rows_:
+        sets[sig].add(key)
+    want = sorted((s, k, 5, 1) for s, keys in sets.items() if len(keys) > 1 for k in keys)
+    sigs = spark.createDataFrame(rows_, "sig long, key long, n int, rare int")
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    for size in (1, 7, 10_000):
+        spark.conf.set(setting, size)
+        try:
+            found = jaccard.shared_signatures(sigs).collect()
+        finally:
+            spark.conf.set(setting, before)
+        assert sorted(map(tuple, found)) == want
+    assert jaccard.shared_signatures(sigs.limit(0)).count() == 0
+
+
 def test_many_parts_in_one_text(spark, documents):
     # positions over several levels of blocks, overlaps by halving, redaction from blocks of the text
     several = "é😀 token: abcdefgh https://h.example.com/a user: bob " + "ab12" * 8 + " "
