@@ -38,7 +38,9 @@ from stagehouse.llm.storage import map_batches
 from stagehouse.llm.text import MARKS, mix, rows_of, span_hashes, text_slices, word_spans
 
 #: Block entries that are looked at together; bounds what a search holds, whatever the test items.
-MOST_ENTRIES = 1 << 19
+MOST_ENTRIES = 1 << 18
+#: Bytes of passages that a task searches together.
+PASSAGE_BYTES = 1 << 20
 UNIT_WORDS, UNIT_STEP, SHINGLE, BLOCK_UNITS = 64, 16, 5, 16
 #: Shingles that a question or an answer must have to be a leak without the other: eight words.
 LEAST_SIDE = 4
@@ -340,7 +342,7 @@ def find_leaks(
         shared = docs.sparkSession.sparkContext.broadcast(index)  # at most one part of the items
 
         def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for part, data, bounds in text_slices(batches):
+            for part, data, bounds in text_slices(batches, limit=PASSAGE_BYTES):
                 found = leaks_of(shared.value, data, bounds, threshold, least_overlap)
                 ids = part.column(0)
                 rows = [(ids[row].as_py(), *rest) for row, *rest in found]
@@ -371,7 +373,7 @@ def _without(docs: DataFrame, index: BlockMaxIndex, threshold: float, least: flo
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, bounds in text_slices(batches):
+        for part, data, bounds in text_slices(batches, limit=PASSAGE_BYTES):
             clean = np.ones(part.num_rows, bool)
             clean[[row for row, *_ in leaks_of(shared.value, data, bounds, threshold, least)]] = False
             yield part.filter(pa.array(clean))
