@@ -24,11 +24,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def encoder(path: str, with_ids: bool) -> ChunkEncoder:
+def encoder(path: str, with_ids: bool, kind: type[ChunkEncoder] | None = None) -> ChunkEncoder:
     """The encoder of this worker; it outlives a task where Spark reuses workers."""
-    key = (path, with_ids)
+    key = (path, with_ids, kind)
     if key not in _encoders:
-        _encoders[key] = ChunkEncoder(path, with_ids)
+        _encoders[key] = (kind or ChunkEncoder)(path, with_ids)
     return _encoders[key]
 
 
@@ -39,6 +39,7 @@ class ChunkEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
+        self.path = path
         self.tokenizer = Tokenizer.from_file(path)
         self.with_ids = with_ids
         self.seed = 0
@@ -61,8 +62,7 @@ class ChunkEncoder:
                 raw[a:b].decode("utf-8", "replace")
                 for a, b in zip(starts[at : at + 20_000], ends[at : at + 20_000], strict=True)
             ]
-            encoded = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-            found += [np.array(e.ids, np.uint32) if self.with_ids else len(e) for e in encoded]
+            found += self._found(chunks)
         counts = np.array([len(f) for f in found] if self.with_ids else found, np.int32)
         first = np.zeros(len(counts), np.int64)
         if self.with_ids:
@@ -76,6 +76,10 @@ class ChunkEncoder:
         self.counts = np.concatenate([self.counts, counts])[order]
         self.first = np.concatenate([self.first, first])[order]
 
+    def _found(self, chunks: list[str]) -> list:
+        encoded = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
+        return [np.array(e.ids, np.uint32) if self.with_ids else len(e) for e in encoded]
+
     def places(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Where each chunk stands in ``counts`` and ``first``."""
         hashes, checks = span_hash_pairs(data, starts, ends, self.seed)

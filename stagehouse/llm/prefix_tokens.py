@@ -5,7 +5,9 @@ the count at the end of chunk k is the count at the end of chunk k - 1 plus that
 running sum, kept per document.  Within a chunk, ``PrefixTable`` keeps, for every prefix of a
 pre-token, the last token of its encoding: of all tokens that end there, the one that the token
 before it leaves standing.  A count is then one more than the count before that token.
-Questions about budgets and cuts are answered from these tables; no text is encoded again.
+The count of a whole chunk, once per distinct chunk of a worker, is the last of its prefixes, and
+questions about budgets and cuts are answered from these tables too.  The tokenizers library counts
+distinct chunks only to check them: a difference fails the task.
 
 Null texts are empty and have no tokens.  Very long texts are taken in slices of whole rows; a
 single row is held as a whole.  Repeated rows are counted each; other columns stay as they are.
@@ -21,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from stagehouse.llm.encoding import encoder, tokenizer_path
+from stagehouse.llm.encoding import ChunkEncoder, encoder, tokenizer_path
 from stagehouse.llm.storage import map_batches
 from stagehouse.llm.text import chunk_spans, rows_of, text_slices
 
@@ -50,63 +52,102 @@ class PrefixTable:
 
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        self.letters = byte_letters()
-        self.vocab = spec["model"]["vocab"]
-        pairs = (m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"])
-        self.rank = {(a, b): r for r, (a, b) in enumerate(pairs)}
-        self.halves = {a + b: (a, b) for a, b in self.rank}
-        # lengths of the tokens that end in two given letters, the longest first
-        sizes: dict[str, set[int]] = {}
-        for token in self.vocab:
-            if len(token) == 1 or token in self.halves:
-                sizes.setdefault(token[-2:], set()).add(len(token))
-        self.sizes = {end: sorted(found, reverse=True) for end, found in sizes.items()}
+        byte = {letter: b for b, letter in enumerate(byte_letters())}
+        number = spec["model"]["vocab"]
+        names = {t: bytes(byte[c] for c in t) for t in number if byte.keys() >= set(t)}
+        self.size = max(number.values()) + 1
+        # by number of a token: its halves and the rank of the merge that makes it, -1 for a byte
+        self.left, self.right, self.made = ([-1] * self.size for _ in range(3))
+        self.rank: dict[int, int] = {}
+        for r, pair in enumerate(spec["model"]["merges"]):
+            a, b = pair if isinstance(pair, list) else pair.split(" ")
+            whole = number[a + b]
+            self.rank[number[a] * self.size + number[b]] = r
+            self.left[whole], self.right[whole], self.made[whole] = number[a], number[b], r
+        self.number = {
+            name: number[t] for t, name in names.items() if len(name) == 1 or self.made[number[t]] >= 0
+        }
+        # lengths, from 3 on, of the tokens that end in three given bytes, the longest first
+        sizes: dict[bytes, set[int]] = {}
+        for name in self.number:
+            if len(name) > 2:
+                sizes.setdefault(name[-3:], set()).add(len(name))
+        self.sizes = {end: (*sorted(found, reverse=True), 2, 1) for end, found in sizes.items()}
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.pattern = regex.compile(PRE_TOKENS)
         self.spaces = regex.compile(r"\s+")
-        self.stands = lru_cache(1 << 16)(self._stands)
+        self.stands = lru_cache(1 << 17)(self._stands)
         self._cached = lru_cache(1 << 15)(self._of_pre_token)
 
-    def _stands(self, left: str, right: str) -> bool:
-        """No merge across the border of the two tokens comes before those that made them."""
+    def _stands(self, border: int) -> bool:
+        """No merge across the border of two tokens (left * size + right) comes before those that
+        made them."""
+        left, right = divmod(border, self.size)
         limit = len(self.rank)
         while True:
-            rank = self.rank.get((left, right))
-            if rank is not None and rank < limit:
+            if self.rank.get(left * self.size + right, limit) < limit:
                 return False
-            made_left = self.rank.get(self.halves.get(left, ()), -1)
-            made_right = self.rank.get(self.halves.get(right, ()), -1)
+            made_left, made_right = self.made[left], self.made[right]
             if made_left > made_right:
                 limit = made_left
-                left = self.halves[left][1]
+                left = self.right[left]
             else:
                 if made_right < 0:
                     return True
                 limit = made_right + 1
-                right = self.halves[right][0]
+                right = self.left[right]
 
     def of_pre_token(self, token: str) -> list[int]:
         """Counts after each byte of a pre-token; index 0 is the empty prefix."""
         return self._cached(token) if len(token) <= 64 else self._of_pre_token(token)
 
     def _of_pre_token(self, token: str) -> list[int]:
-        text = "".join(self.letters[b] for b in token.encode())
-        count, last = [0], [""]
-        for end in range(1, len(text) + 1):
-            sizes = self.sizes.get(text[end - 2 : end], ()) if end > 1 else ()
-            for size in (*sizes, 1):
-                start = end - size
+        count, last = [0], [-1]
+        self._extend(token.encode(), count, last)
+        return count
+
+    def _extend(self, text: bytes, count: list[int], last: list[int]) -> None:
+        """Carries the counts, and the last token, of the first prefixes of ``text`` on to all."""
+        number, sizes, size, stands = self.number, self.sizes, self.size, self.stands
+        for end in range(len(count), len(text) + 1):
+            for length in sizes.get(text[end - 3 : end], (2, 1)) if end > 2 else (2, 1):
+                start = end - length
                 if start < 0:
                     continue
-                piece = text[start:end]
-                if piece in self.vocab and (size == 1 or piece in self.halves):
-                    if not start or self.stands(last[start], piece):
-                        count.append(count[start] + 1)
-                        last.append(piece)
-                        break
+                piece = number.get(text[start:end])
+                if piece is not None and (not start or stands(last[start] * size + piece)):
+                    count.append(count[start] + 1)
+                    last.append(piece)
+                    break
             else:
-                raise ValueError(f"the vocabulary has no token for a byte of {token!r}")
-        return count
+                raise ValueError(f"the vocabulary has no token for a byte of {text!r}")
+
+    def totals(self, chunks: list[str]) -> list[int]:
+        """The count of each whole chunk.  Their pre-tokens are taken in order of their bytes, so that
+        each goes on from the table of the prefix it shares with the one before."""
+        split, extra = [], []
+        for chunk in chunks:
+            if any(special in chunk for special in self.special):
+                parts = self._split(chunk)
+                split.append([t for t, special in parts if not special])
+                extra.append(len(parts) - len(split[-1]))
+            else:
+                split.append(self.pattern.findall(chunk))
+                extra.append(0)
+        whole = {}
+        count, last, before = [0], [-1], b""
+        for token in sorted({t for parts in split for t in parts}):
+            text = token.encode()
+            same = 0
+            for a, b in zip(text, before, strict=False):
+                if a != b:
+                    break
+                same += 1
+            del count[same + 1 :], last[same + 1 :]
+            self._extend(text, count, last)
+            whole[token] = count[-1]
+            before = text
+        return [n + sum(whole[t] for t in parts) for n, parts in zip(extra, split, strict=True)]
 
     def of_chunk(self, chunk: str) -> list[int]:
         """Counts after each character of a chunk; index 0 is the empty prefix.  In linear time: what a
@@ -159,6 +200,17 @@ class PrefixTable:
         return sum(1 if s else self.of_pre_token(t)[-1] for t, s in self._split(text))
 
 
+class PrefixEncoder(ChunkEncoder):
+    """Counts chunks by their prefix tables.  The tokenizers library is asked as well, as a check."""
+
+    def _found(self, chunks: list[str]) -> list[int]:
+        counts = prefix_table(self.path).totals(chunks)
+        for chunk, n, own in zip(chunks, counts, super()._found(chunks), strict=True):
+            if n != own:
+                raise ValueError(f"{n} tokens by prefix tables, {own} by the library, in {chunk!r}")
+        return counts
+
+
 _tables: dict[str, PrefixTable] = {}
 
 
@@ -182,7 +234,8 @@ def count_tokens(
     * ``fit_chars``: the longest prefix, in code points, of at most ``limit`` tokens,
     * with ``keep_prefixes``, ``prefix_tokens``: the count at every code point, 0 first.
 
-    Columns of these names in ``docs`` give way.
+    Columns of these names in ``docs`` give way.  ``tokenizer`` is the file of a byte-level vocabulary
+    with ranked merges.
     """
     path = tokenizer or tokenizer_path("byte_bpe_50k.json")
     made = ["n_bytes long", "n_tokens long", "over_limit boolean", "fit_chars long"]
@@ -192,7 +245,7 @@ def count_tokens(
     picked = docs.select(*[f"`{c}`" for c in kept], f"`{text_column}`")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path, with_ids=False)
+        encode = encoder(path, with_ids=False, kind=PrefixEncoder)
         for part, data, bounds in text_slices(batches, text_column):
             starts, ends = chunk_spans(data, bounds)
             after = np.concatenate([[0], np.cumsum(encode.counts_of(data, starts, ends))])

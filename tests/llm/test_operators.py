@@ -270,6 +270,34 @@ def test_prefix_counts(spark, documents):
         assert r.over_limit == (r.n_tokens > 9) and r.lang == "en"
 
 
+def test_counts_come_from_prefix_tables(spark, documents, monkeypatch):
+    """The table gives the count of each distinct chunk; the library only checks it."""
+    path = tokenizer_path("byte_bpe_50k.json")
+    library = tokenizers.Tokenizer.from_file(path)
+    table = prefix_tokens.prefix_table(path)
+    r = random.Random(9)
+    letters = ["a", "aa", "th", "e", "ing", " ", "  ", "\n", "'s", "'", "1", "22", "!", "==", "é",
+               "中", "𝄞", "<|endoftext|>", "<|", "Ä", "\u3000", "ß", "x"]
+    chunks = ["", *("".join(r.choices(letters, k=r.randint(1, 12))) for _ in range(3000))]
+    chunks += ["a" * 999, " " * 77, "ab" * 300]
+    want = [len(library.encode(c, add_special_tokens=False)) for c in chunks]
+    assert table.totals(chunks) == want
+
+    asked = []
+    real = prefix_tokens.PrefixTable.totals
+    monkeypatch.setattr(
+        prefix_tokens.PrefixTable, "totals", lambda self, c: asked.extend(c) or real(self, c)
+    )
+    mine = prefix_tokens.PrefixEncoder(path, False)
+    data = np.frombuffer(b"one two one", np.uint8)
+    starts, ends = chunk_spans(data, np.array([0, len(data)]))
+    assert mine.counts_of(data, starts, ends).tolist() == [1, 1, 1]
+    assert sorted(asked) == [" one", " two", "one"]
+    monkeypatch.setattr(prefix_tokens.PrefixTable, "totals", lambda self, c: [7] * len(c))
+    with pytest.raises(ValueError, match="by the library"):
+        prefix_tokens.PrefixEncoder(path, False).counts_of(data, starts, ends)
+
+
 def test_worker_starts_anew_when_full(monkeypatch):
     from stagehouse.llm import encoding
 
