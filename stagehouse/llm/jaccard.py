@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stagehouse.llm.graph import components
-from stagehouse.llm.storage import inner_names, map_batches, own_names, written
+from stagehouse.llm.storage import dropped, inner_names, map_batches, own_names, written
 from stagehouse.llm.text import give_back, mix, rows_of, span_hashes, text_slices, word_spans
 
 SLOT_BITS = 19
@@ -248,6 +248,10 @@ def parity_of(shingles: np.ndarray, slots_each: int = 1) -> bytes:
     return np.packbits(slots & 1).tobytes()
 
 
+def fine_parity_of(shingles: np.ndarray) -> bytes:
+    return parity_of(shingles, FINE_SLOTS)
+
+
 def folded(parity: bytes, size: int) -> np.ndarray:
     """The same parity over fewer slots, ``size`` bytes."""
     return np.bitwise_xor.reduce(np.frombuffer(parity, np.uint8).reshape(-1, size), axis=0)
@@ -258,8 +262,9 @@ def parity_difference(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(folded(a, size) ^ folded(b, size)).sum())
 
 
-def candidate_sets(docs: DataFrame, keys: DataFrame, n: int) -> DataFrame:
-    """(key, parity, fine, shingles) of the documents whose key may be in ``keys``; copies once per slice."""
+def _wanted(docs: DataFrame, keys: DataFrame, n: int, columns: dict) -> DataFrame:
+    """(key, then the binary ``columns``, each a function of a set) of the documents whose key may be in
+    ``keys``; copies once per slice."""
     wanted = docs.sparkSession.sparkContext.broadcast(_bits(keys))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,14 +276,22 @@ def candidate_sets(docs: DataFrame, keys: DataFrame, n: int) -> DataFrame:
             found = [shingles[cut[i] : cut[i + 1]] for i in pick]
             yield _record(
                 key=pa.array(keys[pick]),
-                parity=pa.array([parity_of(f) for f in found], pa.binary()),
-                fine=pa.array([parity_of(f, FINE_SLOTS) for f in found], pa.binary()),
-                shingles=pa.array([f.tobytes() for f in found], pa.binary()),
+                **{c: pa.array([of(f) for f in found], pa.binary()) for c, of in columns.items()},
             )
 
-    return map_batches(
-        docs.select("text"), rows, "key long, parity binary, fine binary, shingles binary"
-    )
+    schema = ", ".join(["key long", *(f"{c} binary" for c in columns)])
+    return map_batches(docs.select("text"), rows, schema)
+
+
+def candidate_sets(docs: DataFrame, keys: DataFrame, n: int) -> DataFrame:
+    """(key, parity, fine) of the documents whose key may be in ``keys``."""
+    return _wanted(docs, keys, n, {"parity": parity_of, "fine": fine_parity_of})
+
+
+def whole_sets(docs: DataFrame, keys: DataFrame, n: int) -> DataFrame:
+    """(key, shingles) likewise: made anew from the texts whenever whole sets are compared, since all of
+    them together take more room than the texts."""
+    return _wanted(docs, keys, n, {"shingles": np.ndarray.tobytes})
 
 
 def _set(raw: bytes) -> np.ndarray:
@@ -324,10 +337,13 @@ def likely(pairs: DataFrame, sets: DataFrame, percent: int, column: str = "parit
     )
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("key")).union(pairs.select("b"))
+
+
 def _named(sets: DataFrame, column: str, pairs: DataFrame) -> DataFrame:
     """(key, ``column``) of the sets that ``pairs``, a written table, may name."""
-    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b"))
-    wanted = pairs.sparkSession.sparkContext.broadcast(_bits(keys))
+    wanted = pairs.sparkSession.sparkContext.broadcast(_bits(_ends(pairs)))
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -339,9 +355,11 @@ def _named(sets: DataFrame, column: str, pairs: DataFrame) -> DataFrame:
     return map_batches(sets.select("key", column), named, f"key long, {column} binary")
 
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def linked(
+    pairs: DataFrame, sets: DataFrame, docs: DataFrame, n: int, percent: int
+) -> DataFrame:
     """The rows of ``pairs`` (a, b, sizes; a written table) whose sets are similar, as (a, b).  Whole
-    sets are moved only for pairs that the finer parities allow."""
+    sets are made and moved only for pairs that the finer parities allow."""
     near = likely(pairs, _named(sets, "fine", pairs), percent, "fine")
     near = written(near.select("a", "b"), "near")
 
@@ -355,7 +373,7 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             del batch
             give_back()
 
-    some = _named(sets, "shingles", near)
+    some = whole_sets(docs, _ends(near), n)
     both = near.join(_side(some, "shingles", "a", "left"), "a").join(
         _side(some, "shingles", "b", "right"), "b"
     )
@@ -475,6 +493,7 @@ def set_components(docs: DataFrame, frequent: np.ndarray, n: int, percent: int)
         ),
         "members",
     )
+    dropped(distinct)
     sets = written(candidate_sets(docs, members, n), "sets")
     to_hub = (
         members.where(f"key <> hub AND {_sizes_fit('n', 'hub_n', percent)}")
@@ -483,7 +502,7 @@ def set_components(docs: DataFrame, frequent: np.ndarray, n: int, percent: int)
     )
     to_hub = written(likely(to_hub, sets, percent), "to_hub")
     none = to_hub.select(F.col("a").alias("node"), F.col("b").alias("root")).limit(0)
-    roots = _connect(none, to_hub, sets, percent)
+    roots = _connect(none, to_hub, sets, docs, n, percent)
     rooted = _with_root(_with_root(members, roots, "key", "root"), roots, "hub", "hub_root")
     rooted = rooted.withColumn("odd", F.col("root") != F.col("hub_root"))
     sizes = rooted.groupBy("sig").agg(
@@ -495,6 +514,7 @@ def set_components(docs: DataFrame, frequent: np.ndarray, n: int, percent: int)
         .select("sig", "key", "n", "odd", "size", "root"),
         "mixed",
     )
+    dropped(members)
     small = mixed.where(f"size <= {SMALL_BUCKET}")
     left = small.where("odd").selectExpr("sig", "key AS a", "n AS n_a", "root AS root_a")
     right = small.selectExpr("sig", "key AS b", "n AS n_b", "root AS root_b", "odd")
@@ -506,7 +526,8 @@ def set_components(docs: DataFrame, frequent: np.ndarray, n: int, percent: int)
         .distinct()
     )
     large = mixed.where(f"size > {SMALL_BUCKET}")
-    roots = _connect(roots, written(likely(pairs, sets, percent), "likely"), sets, percent)
+    pairs = written(likely(pairs, sets, percent), "likely")
+    roots = _connect(roots, pairs, sets, docs, n, percent)
     if large.isEmpty():
         return roots
     for best_only in [True] * ROUNDS + [False]:
@@ -514,7 +535,7 @@ def set_components(docs: DataFrame, frequent: np.ndarray, n: int, percent: int)
         pairs = written(block_pairs(rooted, sets, percent, best_only).distinct(), "blocks")
         if pairs.isEmpty():
             break
-        roots = _joined(roots, linked(pairs, sets, percent))
+        roots = _joined(roots, linked(pairs, sets, docs, n, percent))
         # a member without a likely partner now has none later on, when more are connected
         hit = pairs.select(F.col("a").alias("hit")).union(pairs.select("b")).distinct()
         large = large.join(hit, F.col("key") == F.col("hit"), "left").withColumn(
@@ -524,7 +545,9 @@ def set_components(docs: DataFrame, frequent: np.ndarray, n: int, percent: int)
     return roots
 
 
-def _connect(roots: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _connect(
+    roots: DataFrame, pairs: DataFrame, sets: DataFrame, docs: DataFrame, n: int, percent: int
+) -> DataFrame:
     """``roots`` (node, root) with the links among ``pairs`` (a, b, sizes, differ).  Each node's likeliest
     partner in another component is looked at first, for some rounds that join components; then all
     pairs still apart."""
@@ -536,7 +559,7 @@ def _connect(roots: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int)
         apart = written(apart.select("a", "b", "sizes"), "apart")
         if apart.isEmpty():
             break
-        roots = _joined(roots, linked(apart, sets, percent))
+        roots = _joined(roots, linked(apart, sets, docs, n, percent))
     return roots
 
 

@@ -588,6 +588,63 @@ def test_parities_never_say_more_than_sets(slots_each):
             assert jaccard.parity_difference(*both) <= len(np.setxor1d(base, other))
 
 
+def test_written_tables_leave_no_shuffle_files_and_can_go(spark):
+    from stagehouse.llm.storage import dropped, written
+
+    tracker = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: {
+        x for x in tracker.getAllFiles().mkString("|").split("|") if x.endswith(".data")
+    }
+    before = held()
+    made = written(spark.range(1000).selectExpr("id % 7 AS k").repartition(5, "k"), "kept")
+    until = time.time() + 20  # they go in the background
+    while held() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not held() - before
+    assert made.count() == 1000
+    folder = made.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:").replace("//", "/")
+    assert os.path.isdir(folder)
+    dropped(made)
+    assert not os.path.exists(folder)
+
+
+def test_compared_sets_are_not_kept(spark, documents, monkeypatch):
+    """Tables of shingles would take more room than the texts; those that are read no more go."""
+    made, gone = [], []
+    real = jaccard.written
+    monkeypatch.setattr(jaccard, "written", lambda df, name: made.append((name, df)) or real(df, name))
+    monkeypatch.setattr(jaccard, "dropped", lambda *tables: gone.extend(tables))
+    words = [f"w{i}" for i in range(400)]
+    rows = [" ".join(words), " ".join([*words[:-1], "x"]), " ".join(words[::-1])]
+    classes = jaccard.similarity_classes(documents(*enumerate(rows))).collect()
+    assert {r.doc_id: r.component_id for r in classes} == {0: 0, 1: 0, 2: 2}
+    assert made and not any("shingles" in df.columns for _, df in made)
+    assert len(gone) == 2
+
+
+def test_texts_are_encoded_in_small_slices(monkeypatch):
+    import pyarrow as pa
+
+    sizes = []
+    real = best_fit.encoder
+
+    def spied(path, with_ids):
+        made = real(path, with_ids)
+        encode = type("Spy", (), {})()
+        encode.encode = lambda data, bounds: sizes.append(len(data)) or made.encode(data, bounds)
+        return encode
+
+    monkeypatch.setattr(best_fit, "encoder", spied)
+    text = "some words of a text " * 5000
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(40), pa.int64()), pa.array([text] * 40)], names=["doc_id", "text"]
+    )
+    path = tokenizer_path("word_bpe_49k.json")
+    found = list(best_fit.encoded_documents(iter([batch]), path, 2))
+    assert [i for i, _ in found] == list(range(40)) and len({ids.tobytes() for _, ids in found}) == 1
+    assert max(sizes) <= 1 << 20 and sum(sizes) == 40 * len(text)
+
+
 def test_components(spark):
     random.seed(2)
     edges = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 140)] + [(7, 7)]
