@@ -35,6 +35,9 @@ def encoder(path: str, with_ids: bool, kind: type[ChunkEncoder] | None = None) -
 class ChunkEncoder:
     """``with_ids`` keeps the ids of each chunk, else only their number."""
 
+    #: Chunks that the library holds at once, each as an object of some hundred bytes or more.
+    batch = 2_000
+
     def __init__(self, path: str, with_ids: bool):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -56,19 +59,19 @@ class ChunkEncoder:
         if len(self.keys) + len(hashes) > KEPT_CHUNKS:
             self._clear()
         raw = data.tobytes()
-        found = []
-        for at in range(0, len(hashes), 20_000):
+        counts, ids = np.zeros(len(hashes), np.int32), [self.ids]
+        for at in range(0, len(hashes), self.batch):
             chunks = [
                 raw[a:b].decode("utf-8", "replace")
-                for a, b in zip(starts[at : at + 20_000], ends[at : at + 20_000], strict=True)
+                for a, b in zip(starts[at : at + self.batch], ends[at : at + self.batch], strict=True)
             ]
-            found += self._found(chunks)
-        counts = np.array([len(f) for f in found] if self.with_ids else found, np.int32)
+            counts[at : at + len(chunks)], made = self._found(chunks)
+            ids.append(made)
         first = np.zeros(len(counts), np.int64)
         if self.with_ids:
             np.cumsum(counts[:-1], out=first[1:])
             first += len(self.ids)
-            self.ids = np.concatenate([self.ids, *found])
+            self.ids = np.concatenate(ids)
         keys = np.concatenate([self.keys, hashes])
         order = np.argsort(keys, kind="stable")
         self.keys = keys[order]
@@ -76,9 +79,13 @@ class ChunkEncoder:
         self.counts = np.concatenate([self.counts, counts])[order]
         self.first = np.concatenate([self.first, first])[order]
 
-    def _found(self, chunks: list[str]) -> list:
+    def _found(self, chunks: list[str]) -> tuple[list[int], np.ndarray | None]:
+        """How many ids each chunk has, and, if wanted, the ids of all one after the other."""
         encoded = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        return [np.array(e.ids, np.uint32) if self.with_ids else len(e) for e in encoded]
+        if not self.with_ids:
+            return [len(e) for e in encoded], None
+        ids = [e.ids for e in encoded]
+        return [len(i) for i in ids], np.fromiter((k for i in ids for k in i), np.uint32)
 
     def places(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Where each chunk stands in ``counts`` and ``first``."""

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from stagehouse.llm.best_fit import CapacityTree, best_fit, encoded_documents, first_sequence_id
 from stagehouse.llm.storage import map_batches
 from stagehouse.llm.encoding import tokenizer_path
+from stagehouse.llm.text import give_back
 
 TIERS = (512, 1024, 2048, 4096)
 LAYOUT = pa.schema(
@@ -214,13 +215,15 @@ def pack_documents(
                     rows.append((doc_id, start, n, crc, len(ids), number, offset, size, step))
                     offset += n
                 number += 1
-            window, held = [], 0
+            window, held, packed = [], 0, []
             for at in range(0, len(rows), 20_000):
                 columns = zip(*rows[at : at + 20_000], strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(columns, LAYOUT, strict=True)],
                     schema=LAYOUT,
                 )
+            del rows, groups
+            give_back()
 
         for doc_id, ids in encoded_documents(batches, path, end_id):
             window.append((doc_id, ids))
