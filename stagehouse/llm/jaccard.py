@@ -1,8 +1,8 @@
 """Similarity join on word shingles, with signatures of token combinations.
 
-A document's set holds the hashes of its distinct shingles.  All sets order shingles alike: rare
-ones first.  Two sets of similarity t or more differ by at most m = n - ceil(t n) shingles of
-either, so they share a shingle among the first m + 1.  Shingles of frequent classes are poor
+A document's set holds the hashes of its distinct shingles.  All sets order shingles alike, by how
+many of all sets fall into their slots: rare ones first.  Two sets of similarity t or more differ by
+at most m = n - ceil(t n) shingles of either, so they share a shingle among the first m + 1.  Shingles of frequent classes are poor
 signatures (a passage that many documents share), so they are indexed in pairs: the prefix is
 extended until rare shingles, plus the frequent ones of each of ``GROUPS`` groups less one per
 group, make m + 1; then the sets share a rare shingle or two frequent ones of a group.  Sets too
@@ -11,9 +11,9 @@ do both, so that any two sets that may be linked have one way in common.
 
 Equal sets are one node.  Nodes under one signature form a bucket.  No bucket is expanded into
 pairs: its members are compared with a hub, the member with the fewest rare shingles (the text
-that near copies came from), and only those not linked to it are compared with the others:
-pairwise in small buckets, block by block in large ones.  Each is compared with its likeliest partner
-first, then with those it is not connected with yet.  A comparison looks at parities first: bit i tells whether a
+that near copies came from), and only those not linked to it are compared with the others: within
+the task that holds a small bucket, block by block in large ones; only pairs that may be links become
+rows.  Each is compared with its likeliest partner first, then with those it is not connected with yet.  A comparison looks at parities first: bit i tells whether a
 set has an odd number of shingles in slot i, so two sets differ by at least as many shingles as
 their parities by bits.  What may still be similar is looked at again in finer parities, whose bound
 is closer, and then decided on the whole sets.  So every link between different texts counts for
@@ -26,6 +26,7 @@ nothing.  Repeated rows get the same class.  A null id is the smallest of no cla
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -124,25 +125,31 @@ def _record(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
-def frequent_slots(summary: DataFrame) -> np.ndarray:
-    """The slots that hold clearly more than chance would give them, as 2^SLOT_BITS counts (0 for
-    the others): a fixed size, whatever the input."""
+def slot_counts(summary: DataFrame) -> np.ndarray:
+    """How many shingles of all sets each slot holds, 2^SLOT_BITS counts: a fixed size, whatever the
+    input."""
     sums = summary.where("slot IS NOT NULL").groupBy("slot").agg(F.sum("total").alias("total"))
     found = sums.toArrow()
     out = np.zeros(1 << SLOT_BITS, np.int64)
     out[found["slot"].to_numpy()] = found["total"].to_numpy()
-    mean = out.mean()
-    out[out <= mean + 5 * np.sqrt(mean) + 8] = 0
     return out
 
 
-def signatures_of(shingles: np.ndarray, frequent: np.ndarray, percent: int):
-    """(signatures, rare shingles in the prefix) of one set."""
+def frequent_from(counts: np.ndarray) -> int:
+    """The least count that is clearly more than chance would give a slot."""
+    mean = counts.mean()
+    return int(mean + 5 * np.sqrt(mean) + 8) + 1
+
+
+def signatures_of(shingles: np.ndarray, counts: np.ndarray, frequent: int, percent: int):
+    """(signatures, rare shingles in the prefix) of one set.  Shingles of the emptiest slots come
+    first, among the rare ones too: a passage that some documents share fills its slots a little, and
+    would make a bucket of those documents wherever it came first."""
     n = len(shingles)
     spare = n - (percent * n + 99) // 100
-    often = frequent[_slot(shingles, SLOT_BITS)]
-    order = np.argsort(often, kind="stable")
-    ordered, often = shingles[order], often[order] > 0
+    count = counts[_slot(shingles, SLOT_BITS)]
+    order = np.argsort(count, kind="stable")
+    ordered, often = shingles[order], count[order] >= frequent
     rare = int((~often[: spare + 1]).sum())
     out = []
     if n * percent < LEAST_PAIRED * 100 or n * 100 > MOST_PAIRED * percent:
@@ -165,10 +172,11 @@ def signatures_of(shingles: np.ndarray, frequent: np.ndarray, percent: int):
     return np.unique(np.concatenate(out)), rare
 
 
-def signatures(docs: DataFrame, frequent: np.ndarray, n: int, percent: int) -> DataFrame:
+def signatures(docs: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataFrame:
     """(sig, key, n, rare): the signatures of every document's set."""
     context = docs.sparkSession.sparkContext
-    counts = context.broadcast(frequent)  # 2^SLOT_BITS numbers
+    frequent = frequent_from(counts)
+    slots = context.broadcast(counts)  # 2^SLOT_BITS numbers
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data, bounds in text_slices(batches):
@@ -180,7 +188,8 @@ def signatures(docs: DataFrame, frequent: np.ndarray, n: int, percent: int) -> D
                 if int(keys[i]) in done:
                     continue
                 done.add(int(keys[i]))
-                found, few = signatures_of(shingles[cut[i] : cut[i + 1]], counts.value, percent)
+                own = shingles[cut[i] : cut[i + 1]]
+                found, few = signatures_of(own, slots.value, frequent, percent)
                 sigs.append(found)
                 key.append(np.full(len(found), keys[i]))
                 size.append(np.full(len(found), cut[i + 1] - cut[i], np.int32))
@@ -384,6 +393,69 @@ def _sizes_fit(a: str, b: str, percent: int) -> str:
     return f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})"
 
 
+def _whole_groups(
+    batches: Iterator[pa.RecordBatch], by: tuple[str, ...]
+) -> Iterator[tuple[pa.Table, list[int]]]:
+    """Rows in portions of whole groups, which stand together, and the groups' bounds in them.  A group
+    may go on in the next batch, so the last one waits."""
+    held = None
+    for batch in itertools.chain(batches, [None]):
+        if batch is not None:
+            now = pa.Table.from_batches([batch])
+            held = now if held is None else pa.concat_tables([held, now])
+        if held is None or not held.num_rows:
+            continue
+        group = np.stack([np.array(held[c], np.int64) for c in by])
+        starts = np.flatnonzero(np.any(group[:, 1:] != group[:, :-1], axis=0)) + 1
+        starts = [0, *starts.tolist(), held.num_rows]
+        ready = starts if batch is None else starts[:-1]
+        yield held.slice(0, ready[-1]), ready
+        held = held.slice(ready[-1])
+
+
+def bucket_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, sizes, differ) in small buckets whose parities allow a link and whose ``root`` differs.
+    ``members`` (sig, key, n, odd, root): a bucket is one group, in which odd members meet all others;
+    only pairs that may be links become rows."""
+    parities = sets.groupBy("key").agg(F.min("parity").alias("parity"))
+
+    def pairs(keys, n, root, odd, parity) -> Iterator[tuple[np.ndarray, ...]]:
+        size = np.array([len(p) for p in parity])
+        # by size: the parities of sets that have that many bytes or more
+        cuts = {
+            s: np.stack([folded(p, s) if len(p) >= s else np.zeros(s, np.uint8) for p in parity])
+            for s in np.unique(size).tolist()
+        }
+        for i in np.flatnonzero(odd):
+            sizes = n.astype(np.int64) + n[i]
+            may = (root != root[i]) & (~odd | (keys[i] < keys))
+            may &= 100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])
+            common = np.minimum(size, size[i])
+            for s in np.unique(common[may]).tolist():
+                j = np.flatnonzero(may & (common == s))
+                found = cuts[s].view(np.uint64)
+                differ = np.bitwise_count(found[j] ^ found[i]).sum(1, dtype=np.int64)
+                near = differ <= _differ_at_most(sizes[j], percent)
+                j, differ = j[near], differ[near]
+                yield np.minimum(keys[j], keys[i]), np.maximum(keys[j], keys[i]), sizes[j], differ
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for done, ready in _whole_groups(batches, ("sig",)):
+            columns = [np.array(done[c]) for c in ("key", "n", "root", "odd")]
+            parity = done["parity"].to_pylist()
+            found = [(np.zeros(0, np.int64),) * 4]
+            for low, high in zip(ready[:-1], ready[1:], strict=True):
+                found += pairs(*(c[low:high] for c in columns), parity[low:high])
+            parts = [np.concatenate(c) for c in zip(*found, strict=True)]
+            yield _record(**dict(zip(("a", "b", "sizes", "differ"), map(pa.array, parts), strict=True)))
+            del done, parity, parts
+            give_back()
+
+    met = members.join(parities, "key").select("sig", "key", "n", "odd", "root", "parity")
+    grouped = met.repartition("sig").sortWithinPartitions("sig")
+    return map_batches(grouped, rows, "a long, b long, sizes long, differ long").distinct()
+
+
 def block_pairs(members: DataFrame, sets: DataFrame, percent: int, best_only: bool) -> DataFrame:
     """(a, b, sizes) in large buckets whose parities allow a link and whose ``root`` differs.  ``members``
     (sig, key, n, odd, root): each bucket is cut by size, so that odd members meet those of their own
@@ -446,19 +518,7 @@ def block_pairs(members: DataFrame, sets: DataFrame, percent: int, best_only: bo
         return out
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Groups stand together; one may go on in the next batch, so its last one waits."""
-        held = None
-        for batch in (*batches, None):
-            if batch is not None:
-                now = pa.Table.from_batches([batch])
-                held = now if held is None else pa.concat_tables([held, now])
-            if held is None or not held.num_rows:
-                continue
-            group = np.stack([np.array(held[c], np.int64) for c in _GROUP])
-            starts = np.flatnonzero(np.any(group[:, 1:] != group[:, :-1], axis=0)) + 1
-            starts = [0, *starts.tolist(), held.num_rows]
-            ready = starts if batch is None else starts[:-1]
-            done = held.slice(0, ready[-1])
+        for done, ready in _whole_groups(batches, _GROUP):
             keys, n, root, odd = (np.array(done[c]) for c in ("key", "n", "root", "is_odd"))
             parity = done["parity"].to_pylist()
             found = {"a": [], "b": [], "sizes": []}
@@ -469,17 +529,16 @@ def block_pairs(members: DataFrame, sets: DataFrame, percent: int, best_only: bo
                         found[c] += parts
             none = [np.zeros(0, np.int64)]
             yield _record(**{c: pa.array(np.concatenate(parts or none)) for c, parts in found.items()})
-            held = held.slice(ready[-1])
 
     met = one.union(other).select(*_GROUP, "key", "n", "root", "is_odd", "parity")
     grouped = met.repartition(*_GROUP).sortWithinPartitions(*_GROUP)
     return map_batches(grouped, rows, "a long, b long, sizes long")
 
 
-def set_components(docs: DataFrame, frequent: np.ndarray, n: int, percent: int) -> DataFrame:
+def set_components(docs: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataFrame:
     """(node, root) of the keys of sets that are similar to another: any two that a chain of similar
     sets connects have the same root."""
-    distinct = written(shared_signatures(signatures(docs, frequent, n, percent)), "buckets")
+    distinct = written(shared_signatures(signatures(docs, counts, n, percent)), "buckets")
     hubs = distinct.groupBy("sig").agg(
         F.min(F.struct("rare", "key", "n")).alias("hub"),
         F.count("*").alias("size"),
@@ -515,18 +574,9 @@ def set_components(docs: DataFrame, frequent: np.ndarray, n: int, percent: int)
         "mixed",
     )
     dropped(members)
-    small = mixed.where(f"size <= {SMALL_BUCKET}")
-    left = small.where("odd").selectExpr("sig", "key AS a", "n AS n_a", "root AS root_a")
-    right = small.selectExpr("sig", "key AS b", "n AS n_b", "root AS root_b", "odd")
-    pairs = (
-        left.join(right, "sig")
-        .where("root_a <> root_b AND (NOT odd OR a < b)")
-        .where(_sizes_fit("n_a", "n_b", percent))
-        .selectExpr("least(a, b) AS a", "greatest(a, b) AS b", "n_a + n_b AS sizes")
-        .distinct()
-    )
     large = mixed.where(f"size > {SMALL_BUCKET}")
-    pairs = written(likely(pairs, sets, percent), "likely")
+    small = mixed.where(f"size <= {SMALL_BUCKET}")
+    pairs = written(bucket_pairs(small, sets, percent), "likely")
     roots = _connect(roots, pairs, sets, docs, n, percent)
     if large.isEmpty():
         return roots
@@ -604,8 +654,8 @@ def _classified(picked: DataFrame, words: int, percent: int) -> DataFrame:
     """(doc_id, tag, root, n_shingles, component_id) per row of ``picked`` (doc_id, tag, text)."""
     summary = written(summarize(picked, words), "summary")
     rows = summary.where("slot IS NULL").select("doc_id", "tag", "key", "n_shingles")
-    frequent = frequent_slots(summary)
-    roots = set_components(picked.select("text"), frequent, words, percent)
+    counts = slot_counts(summary)
+    roots = set_components(picked.select("text"), counts, words, percent)
     least = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"))
     rooted = written(
         least.join(roots, F.col("key") == F.col("node"), "left").select(

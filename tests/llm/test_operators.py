@@ -622,6 +622,80 @@ def test_compared_sets_are_not_kept(spark, documents, monkeypatch):
     assert len(gone) == 2
 
 
+def made_rows(monkeypatch):
+    """Counts, by name, of the rows that ``jaccard`` writes and of the pairs it joins with parities."""
+    made = {"pairs": 0}
+    real, likely = jaccard.written, jaccard.likely
+
+    def counted(df, name):
+        out = real(df, name)
+        made[name] = made.get(name, 0) + out.count()
+        return out
+
+    def joined(pairs, *rest):
+        made["pairs"] += pairs.count()
+        return likely(pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "written", counted)
+    monkeypatch.setattr(jaccard, "likely", joined)
+    return made
+
+
+def test_small_buckets_make_no_rows_of_their_pairs(spark, documents, monkeypatch):
+    # texts of one passage, too short beyond it to be told apart by their first shingles
+    made = made_rows(monkeypatch)
+    passage = [f"p{i}" for i in range(92)]
+    texts = [" ".join([*passage, *(f"w{k}_{i}" for i in range(8))]) for k in range(28)]
+    texts += [f"{texts[3]} more", f"{texts[5]} more", f"x {texts[5]}"]
+    docs = list(enumerate(texts))
+    found = {r[0]: r[1:] for r in rows(jaccard.similarity_classes(documents(*docs)))}
+    assert found == brute_classes(docs, 3, 90)
+    assert {found[i][1] for i in (28, 29, 30)} == {3, 5}
+    assert made["mixed"] >= 28  # they did share a bucket
+    assert made["pairs"] <= 3 * len(docs) and made["likely"] <= len(docs)
+
+
+@pytest.mark.parametrize("copies", [4, 8])
+def test_a_passage_of_some_texts_makes_no_bucket(spark, documents, monkeypatch, copies):
+    # their own shingles are rarer, and enough to tell them apart
+    made = made_rows(monkeypatch)
+    passage = [f"p{i}" for i in range(60)]
+    texts = [" ".join([*(f"w{k}_{i}" for i in range(40)), *passage]) for k in range(copies)]
+    docs = list(enumerate(texts))
+    found = {r[0]: r[1:] for r in rows(jaccard.similarity_classes(documents(*docs)))}
+    assert found == brute_classes(docs, 3, 90)
+    assert made["buckets"] == 0
+
+
+def test_pairs_of_a_bucket_are_those_a_join_would_leave(spark):
+    rng = np.random.default_rng(9)
+    base = np.unique(rng.integers(0, 1 << 63, 1100, np.uint64))
+    whole = {k: np.union1d(base[: 900 + 10 * k], rng.integers(0, 1 << 63, 40 * (k % 4), np.uint64))
+             for k in range(20)}
+    members = spark.createDataFrame(
+        [(k % 3, k, len(x), k % 4 > 0, k // 2) for k, x in whole.items()]
+        + [(7, k, len(x), k % 5 > 0, k % 7) for k, x in whole.items()],
+        "sig long, key long, n int, odd boolean, root long",
+    )
+    sets = spark.createDataFrame(
+        [(k, bytearray(jaccard.parity_of(x))) for k, x in whole.items()], "key long, parity binary"
+    )
+    left = members.where("odd").selectExpr("sig", "key AS a", "n AS n_a", "root AS root_a")
+    right = members.selectExpr("sig", "key AS b", "n AS n_b", "root AS root_b", "odd")
+    pairs = (
+        left.join(right, "sig")
+        .where("root_a <> root_b AND (NOT odd OR a < b)")
+        .where("100 * least(n_a, n_b) >= 90 * greatest(n_a, n_b)")
+        .selectExpr("least(a, b) AS a", "greatest(a, b) AS b", "n_a + n_b AS sizes")
+        .distinct()
+    )
+    want = sorted(rows(jaccard.likely(pairs, sets, 90)))
+    assert len({len(jaccard.parity_of(x)) for x in whole.values()}) > 1
+    assert 0 < len(want) < pairs.count()
+    assert sorted(rows(jaccard.bucket_pairs(members, sets, 90))) == want
+    assert rows(jaccard.bucket_pairs(members.limit(0), sets, 90)) == []
+
+
 def test_texts_are_encoded_in_small_slices(monkeypatch):
     import pyarrow as pa
 
