@@ -132,6 +132,8 @@ def slot_counts(summary: DataFrame) -> np.ndarray:
     found = sums.toArrow()
     out = np.zeros(1 << SLOT_BITS, np.int64)
     out[found["slot"].to_numpy()] = found["total"].to_numpy()
+    del found
+    give_back()
     return out
 
 
@@ -241,6 +243,7 @@ def _bits(keys: DataFrame) -> np.ndarray:
     slots = keys.select(F.expr(f"shiftrightunsigned(key, {64 - FILTER_BITS})").alias("slot"))
     out = np.zeros(1 << FILTER_BITS, bool)
     out[slots.distinct().toArrow()["slot"].to_numpy()] = True
+    give_back()
     return np.packbits(out)
 
 

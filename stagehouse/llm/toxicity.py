@@ -34,10 +34,12 @@ from stagehouse.llm.features import (
     word_features,
 )
 from stagehouse.llm.storage import inner_names, map_batches, own_names
-from stagehouse.llm.text import text_slices
+from stagehouse.llm.text import give_back, text_slices
 
 BITS = 20
 PREFIXES = (5, 7)
+#: Features that the driver sums up at a time.
+PORTION = 1 << 18
 
 
 @dataclass
@@ -53,7 +55,9 @@ class LabelModel:
     def posterior(self, votes: np.ndarray) -> np.ndarray:
         """A voter counts less the more it goes together with others that speak in the row."""
         weight = np.log(self.toxic) - np.log(self.clean)
-        voice = votes / (1 + votes @ self.together)
+        voice = votes @ self.together
+        voice += 1
+        np.divide(votes, voice, out=voice)
         return sigmoid(self.silent + voice @ weight)
 
 
@@ -66,10 +70,13 @@ def fit_label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 8) -> La
         toxic = (belief @ votes + 0.02) / (belief.sum() + 1)
         clean = ((1 - belief) @ votes + 0.02) / ((1 - belief).sum() + 1)
         toxic = np.maximum(toxic, 1.05 * clean)  # a voter never speaks against its own vote
-        residual = votes - np.outer(belief, toxic) - np.outer(1 - belief, clean)
+        residual = np.outer(belief, toxic)  # in place: the driver holds all votes
+        np.subtract(votes, residual, out=residual)
+        residual -= np.outer(1 - belief, clean)
         spread = np.sqrt((residual**2).sum(0)) + 1e-9
         together = np.maximum((residual.T @ residual) / np.outer(spread, spread), 0)
         np.fill_diagonal(together, 0)
+        del residual
         share = (belief[none].sum() + 0.1) / (none.sum() + 1)
         share = min(max(share, 1e-3), 0.5)
         model = LabelModel(toxic, clean, together, float(np.log(share / (1 - share))))
@@ -79,8 +86,12 @@ def fit_label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 8) -> La
 
 def association(row, feature, belief, size: int):
     """Log odds of each feature for belief, shrunk, and the rows that have it."""
-    have = np.bincount(feature, minlength=size)
-    toxic = np.bincount(feature, weights=belief[row], minlength=size)
+    have, toxic = np.zeros(size, np.int64), np.zeros(size)
+    belief = belief.astype(float)
+    for at in range(0, len(feature), PORTION):  # in order, so sums are those of one pass
+        part = feature[at : at + PORTION]
+        np.add.at(have, part, 1)
+        np.add.at(toxic, part, belief[row[at : at + PORTION]])
     n, total = len(belief), belief.sum()
     odds = np.log((toxic + 0.5) / (total + 1)) - np.log((have - toxic + 0.5) / (n - total + 1))
     return odds, have, toxic
@@ -143,9 +154,25 @@ def fit(
     most_features: int = 4096,
     least_rows: int = 8,
 ) -> LinearModel:
-    """The classifier, from the rows of ``docs`` that ``labels`` (doc_id, toxic) names."""
+    """The classifier, from the rows of ``docs`` that ``labels`` (doc_id, toxic) names.  The driver gives
+    back what the sample took there."""
+    try:
+        return _fitted(docs, labels, fit_rows, most_voters, most_features, least_rows)
+    finally:
+        give_back()
+
+
+def _fitted(
+    docs: DataFrame,
+    labels: DataFrame,
+    fit_rows: int,
+    most_voters: int,
+    most_features: int,
+    least_rows: int,
+) -> LinearModel:
     sample = labelled_sample(docs, labels, "toxic", fit_rows)
     row, feature, _, label = sparse(sampled_features(sample, presence, BITS))
+    give_back()
     label = (label > 0).astype(np.int64)
     none = np.zeros(0, np.int64)
     if not len(label) or label.min() == label.max():

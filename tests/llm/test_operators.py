@@ -6,6 +6,7 @@ import os
 import random
 import time
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -480,6 +481,47 @@ def test_label_model_prefers_reliable_voters():
     assert twice == pytest.approx(model.posterior(np.array([[0, 1.0, 0, 0]]))[0], abs=0.1)
 
 
+def test_label_model_holds_few_copies_of_the_votes():
+    votes = (np.random.default_rng(1).random((4000, 200)) < 0.1).astype(np.float32)
+    start = np.where(votes.sum(1) > 20, 0.9, 0.05)
+    tracemalloc.start()
+    try:
+        toxicity.fit_label_model(votes, start, rounds=3)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 3 * 8 * votes.size
+
+
+def test_driver_gives_memory_back(spark, documents, monkeypatch):
+    given = []
+    monkeypatch.setattr(toxicity, "give_back", lambda: given.append("fit"))
+    monkeypatch.setattr(jaccard, "give_back", lambda: given.append("sets"))
+    docs = documents(*((i, f"word{i % 7} bad{i % 2}") for i in range(40)))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    toxicity.fit(docs, labels)
+    assert given == ["fit", "fit"]
+    jaccard.slot_counts(spark.sql("SELECT 3L AS slot, 2L AS total"))
+    jaccard._bits(spark.sql("SELECT 5L AS key"))
+    assert given == ["fit", "fit", "sets", "sets"]
+
+
+def test_association_sums_in_portions():
+    random = np.random.default_rng(3)
+    row = np.sort(random.integers(0, 500, 900_000)).astype(np.int32)
+    feature = random.integers(0, 1 << 12, len(row)).astype(np.int32)
+    belief = random.random(500)
+    tracemalloc.start()
+    try:
+        odds, have, toxic = toxicity.association(row, feature, belief, 1 << 12)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 8 * len(row)  # no second array as long as the sample
+    assert (have == np.bincount(feature, minlength=1 << 12)).all()
+    assert (toxic == np.bincount(feature, weights=belief[row], minlength=1 << 12)).all()
+
+
 # 9 -----------------------------------------------------------------------------------------------
 
 
